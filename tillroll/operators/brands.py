@@ -24,9 +24,14 @@ from tillroll.operators.rank import global_dense_rank, top_k_dense, top_n_ranked
 
 TimeBound = str | _dt.date | _dt.datetime | None
 
-# Money is summed exactly in cents, so a total does not depend on the order in
-# which thousands of tasks add their partial sums.
-MONEY = "decimal(18,2)"
+
+def cents(amount) -> F.Column:
+    """An amount rounded to whole cents, as BIGINT.
+
+    Money is summed exactly in cents, so a total does not depend on the order
+    in which thousands of tasks add their partial sums.
+    """
+    return F.rint(amount * 100).cast("bigint")
 
 
 def _window(df: DataFrame, col: str, start: TimeBound, end: TimeBound) -> DataFrame:
@@ -93,30 +98,33 @@ def brand_spend(
 ) -> DataFrame:
     """Total cleaned spend per brand for receipts of recently created users.
 
-    Spend per item is cleaned quantity times cleaned price; the total is
-    summed in DECIMAL(18,2) cents and returned as DOUBLE. Brands are
+    Spend per item is cleaned quantity times cleaned price, rounded to whole
+    cents; totals are exact sums of cents, returned as DOUBLE. Brands are
     dense-ranked by total, largest first; a NULL total (a brand whose every
     item lacks a quantity or price) ranks first, as in Postgres.
 
     Columns: brand_name, total_spend, rank.
     """
     cohort_receipts = _cohort_receipts(receipts, users, months, exclude_roles)
+    # BIGINT cents per brand code (map-side partial sums of longs), then a
+    # DECIMAL(38,0) sum over the per-code rows per brand name.
     per_code = (
-        items.select(
-            "receipt_id",
-            "brand_code",
-            spend(clean_quantity(), clean_price()).cast(MONEY).alias("spend"),
-        )
+        items.select("receipt_id", "brand_code", cents(spend(clean_quantity(), clean_price())).alias("c"))
         .join(cohort_receipts, "receipt_id")
         .groupBy("brand_code")
-        .agg(F.sum("spend").alias("spend"))
+        .agg(F.sum("c").alias("c"))
     )
     totals = (
         per_code.join(_brand_names(brands), "brand_code")
         .groupBy("brand_name")
-        .agg(F.sum("spend").cast("double").alias("total_spend"))
+        .agg(F.sum(F.col("c").cast("decimal(38,0)")).alias("total_cents"))
+    )
+    # Ranked on the exact total (same value on every evaluation), returned as
+    # DOUBLE currency units.
+    ranked = global_dense_rank(totals, "total_cents", "rank", descending=True, nulls_first=nulls_first)
+    return ranked.select(
+        "brand_name", (F.col("total_cents").cast("double") / 100).alias("total_spend"), "rank"
     )
-    return global_dense_rank(totals, "total_spend", "rank", descending=True, nulls_first=nulls_first)
 
 
 def brand_transactions(

@@ -28,14 +28,10 @@ events    events                   event_id, ts (used by the hourly audit)
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Fixed values of the mapping.
-STATUS_BY_ORDER_STATUS = {"F": "FINISHED", "O": "REJECTED"}
-OTHER_STATUS = "PENDING"
 STAFF_SEGMENT = "MACHINERY"
 STAFF_ROLE = "staff"
 CONSUMER_ROLE = "consumer"
@@ -43,103 +39,141 @@ BRAND_CODE_PREFIX = "BC"
 USER_EPOCH = _dt.datetime(1995, 1, 1)
 
 
+# Column types of the driver's parquet tables. Declaring them
+# skips schema inference (a footer read per table, a Spark job on a directory
+# of many files) and pins the types the views rely on.
+TABLE_SCHEMAS: dict[str, str] = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table; known tables with their declared schema."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# The views are written as SQL expressions and applied with ``selectExpr``:
+# the JVM parses them in one call, instead of one Python-to-JVM round trip per
+# column function.
+RECEIPTS_EXPR = (
+    "o_orderkey as id",
+    "o_custkey as user_id",
+    "o_orderdate as create_date",
+    "case o_orderstatus when 'F' then 'FINISHED' when 'O' then 'REJECTED' else 'PENDING' end as status",
+    "case when o_orderkey % 7 = 0 then cast(null as bigint) else o_orderkey % 11 end as purchased_item_count",
+)
+ITEMS_EXPR = (
+    "l_orderkey as receipt_id",
+    "l_linenumber as line_no",
+    "case when l_partkey % 5 = 0 then cast(null as string) "
+    f"else concat('{BRAND_CODE_PREFIX}', cast(l_partkey as string)) end as brand_code",
+    "case when l_linenumber % 7 = 0 then 'ITEM NOT FOUND' when l_linenumber % 5 = 0 then ' ' "
+    "when l_linenumber % 4 = 0 then cast(null as string) else l_returnflag end as description",
+    "case when l_linenumber % 3 = 0 then cast(null as bigint) "
+    "else cast(l_quantity as bigint) end as quantity_purchased",
+    "case when l_linenumber % 2 = 0 then cast(null as bigint) "
+    "else cast(l_quantity as bigint) + l_orderkey % 2 end as user_flagged_quantity",
+    "case when l_linenumber % 4 = 0 then cast(null as double) else l_extendedprice end as final_price",
+    "case when l_linenumber % 5 = 0 then cast(null as string) "
+    "else cast(cast(l_extendedprice as decimal(18,2)) as string) end as user_flagged_price",
+    "case when l_linenumber = 1 then cast(cast(l_tax as decimal(18,2)) as string) end as original_price",
+)
+USERS_EXPR = (
+    "c_custkey as id",
+    f"timestamp_ntz'{USER_EPOCH.isoformat(sep=' ')}' + make_dt_interval(cast(c_custkey as int)) as created_date",
+    f"case when c_mktsegment = '{STAFF_SEGMENT}' then '{STAFF_ROLE}' else '{CONSUMER_ROLE}' end as role",
+)
+BRANDS_EXPR = (
+    f"concat('{BRAND_CODE_PREFIX}', cast(p_partkey as string)) as brand_code",
+    "p_brand as name",
+    "p_type as category",
+)
 
 
 def receipts_view(orders: DataFrame) -> DataFrame:
-    status = F.when(F.col("o_orderstatus") == "F", F.lit(STATUS_BY_ORDER_STATUS["F"])).when(
-        F.col("o_orderstatus") == "O", F.lit(STATUS_BY_ORDER_STATUS["O"])
-    ).otherwise(F.lit(OTHER_STATUS))
-    key = F.col("o_orderkey")
-    return orders.select(
-        key.alias("id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_orderdate").alias("create_date"),
-        status.alias("status"),
-        F.when(key % 7 == 0, F.lit(None).cast("bigint"))
-        .otherwise(key % 11)
-        .alias("purchased_item_count"),
-    )
+    return orders.selectExpr(*RECEIPTS_EXPR)
 
 
 def items_view(lineitem: DataFrame) -> DataFrame:
-    line = F.col("l_linenumber")
-    part = F.col("l_partkey")
-    qty = F.col("l_quantity").cast("bigint")
-    price_text = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
-    return lineitem.select(
-        F.col("l_orderkey").alias("receipt_id"),
-        line.alias("line_no"),
-        F.when(part % 5 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(BRAND_CODE_PREFIX), part.cast("string")))
-        .alias("brand_code"),
-        F.when(line % 7 == 0, F.lit("ITEM NOT FOUND"))
-        .when(line % 5 == 0, F.lit(" "))
-        .when(line % 4 == 0, F.lit(None).cast("string"))
-        .otherwise(F.col("l_returnflag"))
-        .alias("description"),
-        F.when(line % 3 == 0, F.lit(None).cast("bigint")).otherwise(qty).alias("quantity_purchased"),
-        F.when(line % 2 == 0, F.lit(None).cast("bigint"))
-        .otherwise(qty + F.col("l_orderkey") % 2)
-        .alias("user_flagged_quantity"),
-        F.when(line % 4 == 0, F.lit(None).cast("double"))
-        .otherwise(F.col("l_extendedprice"))
-        .alias("final_price"),
-        F.when(line % 5 == 0, F.lit(None).cast("string")).otherwise(price_text).alias("user_flagged_price"),
-        F.when(line == 1, F.col("l_tax").cast("decimal(18,2)").cast("string")).alias("original_price"),
-    )
+    return lineitem.selectExpr(*ITEMS_EXPR)
 
 
 def users_view(customer: DataFrame) -> DataFrame:
-    created = F.lit(USER_EPOCH.isoformat(sep=" ")).cast("timestamp_ntz") + F.make_dt_interval(
-        days=F.col("c_custkey").cast("int")
-    )
-    return customer.select(
-        F.col("c_custkey").alias("id"),
-        created.alias("created_date"),
-        F.when(F.col("c_mktsegment") == STAFF_SEGMENT, F.lit(STAFF_ROLE))
-        .otherwise(F.lit(CONSUMER_ROLE))
-        .alias("role"),
-    )
+    return customer.selectExpr(*USERS_EXPR)
 
 
 def brands_view(part: DataFrame) -> DataFrame:
-    return part.select(
-        F.concat(F.lit(BRAND_CODE_PREFIX), F.col("p_partkey").cast("string")).alias("brand_code"),
-        F.col("p_brand").alias("name"),
-        F.col("p_type").alias("category"),
-    )
+    return part.selectExpr(*BRANDS_EXPR)
 
 
 def events_view(events: DataFrame) -> DataFrame:
     return events.select("event_id", "ts")
 
 
-@dataclass(frozen=True)
 class Tables:
-    """The receipt tables of one data directory."""
+    """The receipt tables of one data directory, read on first use.
 
-    receipts: DataFrame
-    items: DataFrame
-    users: DataFrame
-    brands: DataFrame
-    events: DataFrame
+    A query touches only the tables it names, so a report on receipts alone
+    never lists or opens the item files.
+    """
+
+    _VIEWS = {
+        "receipts": ("orders", receipts_view),
+        "items": ("lineitem", items_view),
+        "users": ("customer", users_view),
+        "brands": ("part", brands_view),
+        "events": ("events", events_view),
+    }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._cache: dict[str, DataFrame] = {}
 
     @classmethod
     def from_dir(cls, spark: SparkSession, sf_dir: str) -> "Tables":
-        return cls(
-            receipts=receipts_view(read_table(spark, sf_dir, "orders")),
-            items=items_view(read_table(spark, sf_dir, "lineitem")),
-            users=users_view(read_table(spark, sf_dir, "customer")),
-            brands=brands_view(read_table(spark, sf_dir, "part")),
-            events=events_view(read_table(spark, sf_dir, "events")),
-        )
+        return cls(spark, sf_dir)
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            source, view = self._VIEWS[name]
+            self._cache[name] = view(read_table(self.spark, self.sf_dir, source))
+        return self._cache[name]
+
+    @property
+    def receipts(self) -> DataFrame:
+        return self._get("receipts")
+
+    @property
+    def items(self) -> DataFrame:
+        return self._get("items")
+
+    @property
+    def users(self) -> DataFrame:
+        return self._get("users")
+
+    @property
+    def brands(self) -> DataFrame:
+        return self._get("brands")
+
+    @property
+    def events(self) -> DataFrame:
+        return self._get("events")
 
     def register(self, prefix: str = "") -> None:
         """Register the tables as temp views (``receipts``, ``items``, ...)."""
-        for name in ("receipts", "items", "users", "brands", "events"):
-            getattr(self, name).createOrReplaceTempView(prefix + name)
+        for name in self._VIEWS:
+            self._get(name).createOrReplaceTempView(prefix + name)
 
 
 # The same mapping as SQL text (DuckDB dialect; also valid Spark SQL apart
