@@ -19,6 +19,15 @@ from tillroll.operators import audit
 from tillroll.operators.brands import brand_receipts_by_month, brand_spend, brand_transactions
 from tillroll.operators.cohort import recent_users
 from tillroll.operators.status import FINISHED_AND_REJECTED, item_totals_by_status
+from tillroll.sources import schemas
+from tillroll.sources.documents import (
+    load_brands,
+    load_items,
+    load_receipts,
+    load_users,
+    parse_documents,
+)
+from tillroll.sources.roundtrip import brand_documents, receipt_documents, user_documents
 from tillroll.sources.tables import STAFF_ROLE, Tables
 
 # Fixed parameters of the registered queries.
@@ -151,7 +160,7 @@ def brand_code_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metabrite_price_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _t(spark, sf_dir).items
-    return items.where(F.col("original_price").isNotNull())
+    return items.where(F.col("original_meta_brite_item_price").isNotNull())
 
 
 # --- coverage -----------------------------------------------------------------
@@ -201,6 +210,43 @@ def items_saturation_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(F.col("share").alias("rewards_items_saturation"))
 
 
+# --- document loading (documents rendered from the tables, parsed back) ------
+
+
+def load_receipts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    docs = parse_documents(receipt_documents(t.receipts), schemas.RECEIPT)
+    return load_receipts(docs).select("id", "user_id", "status", "create_date", "purchased_item_count")
+
+
+def load_items_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    docs = parse_documents(receipt_documents(t.receipts, t.items), schemas.RECEIPT)
+    return load_items(docs).select(
+        "receipt_id",
+        "item_number",
+        "brand_code",
+        "description",
+        "final_price",
+        "quantity_purchased",
+        "user_flagged_quantity",
+        "user_flagged_price",
+        "original_meta_brite_item_price",
+    )
+
+
+def load_users_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = parse_documents(user_documents(_t(spark, sf_dir).users), schemas.USER)
+    return load_users(docs).select("id", "created_date", "role")
+
+
+def load_brands_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = parse_documents(brand_documents(_t(spark, sf_dir).brands), schemas.BRAND)
+    return load_brands(docs).select(
+        "id", "barcode", "barcode_text", "brand_code", "name", "category", "cpg_ref", "cpg_id"
+    )
+
+
 QUERIES: dict[str, Query] = {
     # composites of SURVEY 2.12
     "top_brands_by_month": top_brands_by_month,
@@ -225,4 +271,8 @@ QUERIES: dict[str, Query] = {
     "blank_descriptions": blank_descriptions,
     "brand_code_presence": brand_code_presence,
     "metabrite_price_present": metabrite_price_present,
+    "load_receipts": load_receipts_q,
+    "load_items": load_items_q,
+    "load_users": load_users_q,
+    "load_brands": load_brands_q,
 }

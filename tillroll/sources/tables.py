@@ -16,7 +16,7 @@ receipts  orders                   id, user_id, create_date, status,
 items     lineitem                 receipt_id, line_no, brand_code,
                                    description, quantity_purchased,
                                    user_flagged_quantity, final_price,
-                                   user_flagged_price, original_price
+                                   user_flagged_price, original_meta_brite_item_price
 users     customer                 id, created_date, role
 brands    part                     brand_code, name, category
 events    events                   event_id, ts (used by the hourly audit)
@@ -86,7 +86,7 @@ ITEMS_EXPR = (
     "case when l_linenumber % 4 = 0 then cast(null as double) else l_extendedprice end as final_price",
     "case when l_linenumber % 5 = 0 then cast(null as string) "
     "else cast(cast(l_extendedprice as decimal(18,2)) as string) end as user_flagged_price",
-    "case when l_linenumber = 1 then cast(cast(l_tax as decimal(18,2)) as string) end as original_price",
+    "case when l_linenumber = 1 then cast(cast(l_tax as decimal(18,2)) as string) end as original_meta_brite_item_price",
 )
 USERS_EXPR = (
     "c_custkey as id",
@@ -193,7 +193,7 @@ select l_orderkey as receipt_id, l_linenumber as line_no,
   case when l_linenumber % 2 = 0 then null else cast(l_quantity as bigint) + l_orderkey % 2 end as user_flagged_quantity,
   case when l_linenumber % 4 = 0 then null else l_extendedprice end as final_price,
   case when l_linenumber % 5 = 0 then null else cast(cast(l_extendedprice as decimal(18,2)) as varchar) end as user_flagged_price,
-  case when l_linenumber = 1 then cast(cast(l_tax as decimal(18,2)) as varchar) end as original_price
+  case when l_linenumber = 1 then cast(cast(l_tax as decimal(18,2)) as varchar) end as original_meta_brite_item_price
 from lineitem""",
     "users": """
 select c_custkey as id,
