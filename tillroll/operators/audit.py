@@ -208,3 +208,12 @@ def month_gaps(df: DataFrame, ts_col: str, name: str = "month") -> DataFrame:
     )
     seen = df.select(month_start(ts_col).alias(name)).distinct()
     return months.join(seen, name, "left_anti")
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "copies") -> DataFrame:
+    """Key values that occur in more than one row, with their row count.
+
+    A join on such a key fans out (every matching row pairs with every
+    copy); this audit lists where that happens.
+    """
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)

@@ -158,3 +158,30 @@ def brand_transactions(
     if limit is None:
         return global_dense_rank(totals, "total_transactions", "rank")
     return top_n_ranked(totals, "total_transactions", limit, tie_cols=("brand_name",))
+
+
+def brand_receipts_latest_month(
+    receipts: DataFrame, items: DataFrame, brands: DataFrame, k: int = 5
+) -> DataFrame:
+    """:func:`brand_receipts_by_month` for the latest month that has receipts.
+
+    The month is a scalar subquery (``date_trunc('month', max(create_date))``)
+    rather than a fixed date, so the report follows the data.
+    """
+    latest = receipts.select(month_start(F.max("create_date"))).scalar()
+    recent = receipts.where(F.col("create_date") >= latest)
+    return brand_receipts_by_month(recent, items, brands, k=k)
+
+
+def receipts_without_brands(receipts: DataFrame, items: DataFrame, brands: DataFrame) -> DataFrame:
+    """Receipts none of whose items joins to a brand (left anti join).
+
+    Columns: id, status, create_date.
+    """
+    branded = (
+        items.select("receipt_id", "brand_code")
+        .join(brands.select("brand_code"), "brand_code", "left_semi")
+        .select("receipt_id")
+    )
+    r = receipts.select("id", "status", "create_date")
+    return r.join(branded, r["id"] == branded["receipt_id"], "left_anti")

@@ -67,3 +67,39 @@ def quantity_with_receipt_fallback(receipts: DataFrame, items: DataFrame) -> Dat
         "purchased_item_count",
         F.coalesce("item_quantity", "purchased_item_count").alias("items_total"),
     )
+
+
+def status_totals_by_month(
+    receipts: DataFrame, items: DataFrame, statuses: Sequence[str] | None = FINISHED_AND_REJECTED
+) -> DataFrame:
+    """Cleaned item quantities per (month, status) with ROLLUP subtotals.
+
+    Rows with a NULL status are month totals; the row with NULL month and
+    status is the grand total.
+
+    Columns: month, status, total_items.
+    """
+    from tillroll.functions.dates import month_start
+
+    r = receipts.select(F.col("id").alias("receipt_id"), "status", month_start("create_date").alias("month"))
+    if statuses is not None:
+        r = r.where(F.col("status").isin(*statuses))
+    per_receipt = (
+        items.select("receipt_id", clean_quantity().alias("q"))
+        .groupBy("receipt_id")
+        .agg(F.sum("q").alias("q"))
+    )
+    return per_receipt.join(r, "receipt_id").rollup("month", "status").agg(F.sum("q").alias("total_items"))
+
+
+def item_totals_with_fallback(
+    receipts: DataFrame, items: DataFrame, statuses: Sequence[str] | None = FINISHED_AND_REJECTED
+) -> DataFrame:
+    """Items per status using :func:`quantity_with_receipt_fallback`.
+
+    Columns: status, total_items.
+    """
+    per_receipt = quantity_with_receipt_fallback(receipts, items)
+    if statuses is not None:
+        per_receipt = per_receipt.where(F.col("status").isin(*statuses))
+    return per_receipt.groupBy("status").agg(F.sum("items_total").alias("total_items"))

@@ -16,9 +16,22 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.cleaning import clean_price, clean_quantity
 from tillroll.operators import audit
-from tillroll.operators.brands import brand_receipts_by_month, brand_spend, brand_transactions
+from tillroll.operators.brands import (
+    brand_receipts_by_month,
+    brand_receipts_latest_month,
+    brand_spend,
+    brand_transactions,
+    receipts_without_brands,
+)
 from tillroll.operators.cohort import recent_users
-from tillroll.operators.status import FINISHED_AND_REJECTED, item_totals_by_status
+from tillroll.operators.quality import apply_value_map, flag_counts, standardize_text
+from tillroll.operators.status import (
+    FINISHED_AND_REJECTED,
+    item_totals_by_status,
+    item_totals_with_fallback,
+    status_totals_by_month,
+)
+from tillroll.operators.upsert import latest_per_key
 from tillroll.sources import schemas
 from tillroll.sources.documents import (
     load_brands,
@@ -28,7 +41,8 @@ from tillroll.sources.documents import (
     parse_documents,
 )
 from tillroll.sources.roundtrip import brand_documents, receipt_documents, user_documents
-from tillroll.sources.tables import STAFF_ROLE, Tables
+from tillroll.sources.tables import STAFF_ROLE, TABLE_SCHEMAS, Tables
+from tillroll.streaming.upsert import read_latest, scratch_target, start_upsert_stream
 
 # Fixed parameters of the registered queries.
 TOP_MONTH = ("1998-02-01", "1998-03-01")  # Q1: one month, end exclusive
@@ -247,6 +261,71 @@ def load_brands_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- extensions described in the reference as next steps ---------------------
+
+# Fixed value: known-equal description values mapped to one value (NULL = unknown).
+DESCRIPTION_MAP = {"ITEM NOT FOUND": None}
+
+
+def top_brands_latest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return brand_receipts_latest_month(t.receipts, t.items, t.brands, k=TOP_K)
+
+
+def status_totals_by_month_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return status_totals_by_month(t.receipts, t.items, FINISHED_AND_REJECTED)
+
+
+def item_totals_with_fallback_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return item_totals_with_fallback(t.receipts, t.items, FINISHED_AND_REJECTED)
+
+
+def receipts_without_brands_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return receipts_without_brands(t.receipts, t.items, t.brands)
+
+
+def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.month_gaps(_t(spark, sf_dir).receipts, "create_date")
+
+
+def description_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _t(spark, sf_dir).items.select(standardize_text("description").alias("description"))
+    mapped = apply_value_map(items, "description", DESCRIPTION_MAP)
+    return mapped.groupBy("description").agg(F.count(F.lit(1)).alias("items"))
+
+
+def item_flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flag_counts(_t(spark, sf_dir).items)
+
+
+def duplicate_brand_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.duplicate_keys(_t(spark, sf_dir).brands, ["brand_code"])
+
+
+def duplicate_item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.duplicate_keys(_t(spark, sf_dir).items, ["receipt_id", "line_no"])
+
+
+def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_per_key(_t(spark, sf_dir).events, "user_id", "ts", tie_breakers=("event_id",))
+
+
+def latest_event_per_user_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same result through a Structured Streaming upsert of the events file."""
+    stream = (
+        spark.readStream.schema(TABLE_SCHEMAS["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    )
+    target = scratch_target(spark, "latest-event-per-user")
+    query = start_upsert_stream(stream, target, "user_id", "ts", tie_breakers=("event_id",))
+    query.awaitTermination()
+    return read_latest(spark, target)
+
+
 QUERIES: dict[str, Query] = {
     # composites of SURVEY 2.12
     "top_brands_by_month": top_brands_by_month,
@@ -275,4 +354,16 @@ QUERIES: dict[str, Query] = {
     "load_items": load_items_q,
     "load_users": load_users_q,
     "load_brands": load_brands_q,
+    # extensions
+    "top_brands_latest_month": top_brands_latest_month,
+    "status_totals_by_month": status_totals_by_month_q,
+    "item_totals_with_fallback": item_totals_with_fallback_q,
+    "receipts_without_brands": receipts_without_brands_q,
+    "missing_months": missing_months,
+    "description_values": description_values,
+    "item_flag_counts": item_flag_counts,
+    "duplicate_brand_codes": duplicate_brand_codes,
+    "duplicate_item_lines": duplicate_item_lines,
+    "latest_event_per_user": latest_event_per_user,
+    "latest_event_per_user_stream": latest_event_per_user_stream,
 }

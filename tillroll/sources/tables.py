@@ -19,7 +19,7 @@ items     lineitem                 receipt_id, line_no, brand_code,
                                    user_flagged_price, original_meta_brite_item_price
 users     customer                 id, created_date, role
 brands    part                     brand_code, name, category
-events    events                   event_id, ts (used by the hourly audit)
+events    events                   event_id, ts, user_id, event_type, value, props
 ========= ======================== ==========================================
 
 :data:`VIEW_SQL` holds the same definitions as SQL text for the DuckDB oracle.
@@ -117,7 +117,7 @@ def brands_view(part: DataFrame) -> DataFrame:
 
 
 def events_view(events: DataFrame) -> DataFrame:
-    return events.select("event_id", "ts")
+    return events
 
 
 class Tables:
