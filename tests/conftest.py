@@ -25,6 +25,9 @@ def spark():
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
+    # Results must not depend on the session time zone; run with another
+    # zone through TILLROLL_TEST_TZ to check.
+    builder = builder.config("spark.sql.session.timeZone", os.environ.get("TILLROLL_TEST_TZ", "UTC"))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(session)

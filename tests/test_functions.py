@@ -123,3 +123,30 @@ def test_blank_description_and_mismatch(spark):
     ).collect()
     assert [r.blank for r in out] == [True, True, True, False, True]
     assert [r.diff for r in out] == [False, True, False, False, False]
+
+
+def test_truncation_ignores_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    rows = [(dt.datetime(2021, 3, 14, 2, 30, 15),), (dt.datetime(2020, 12, 31, 23, 59, 59),)]
+    try:
+        results = []
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame(rows, "t timestamp_ntz")
+            results.append(
+                [
+                    tuple(r)
+                    for r in df.select(
+                        dates.month_start("t"), dates.day_start("t"), dates.hour_start("t"),
+                        dates.truncate("minute", "t"), dates.ts_to_epoch_millis("t"),
+                        dates.epoch_millis_to_ts(dates.ts_to_epoch_millis("t")),
+                    ).collect()
+                ]
+            )
+        assert results[0] == results[1] == results[2]
+        assert results[0][0][:4] == (
+            dt.datetime(2021, 3, 1), dt.datetime(2021, 3, 14), dt.datetime(2021, 3, 14, 2), dt.datetime(2021, 3, 14, 2, 30)
+        )
+        assert results[0][0][5] == rows[0][0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
