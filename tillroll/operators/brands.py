@@ -3,9 +3,10 @@
 All joins are equi-joins left to Spark's planner. A join side is broadcast
 only when Spark's own size check allows it (estimated size when planning,
 measured shuffle size with adaptive execution); otherwise the join shuffles.
-Before the brand join the items are reduced to one row per brand code (spend)
-or per (brand code, receipt) pair (transactions), so the shuffle into the
-brand join carries aggregated rows, not item rows. A brand code that appears
+For spend, items are reduced to one row per brand code before the brand join,
+so that join sees aggregated rows, not item rows. Distinct receipt counts rely
+on Spark's distinct-aggregate plan, which de-duplicates (group, receipt) pairs
+on the map side before the shuffle. A brand code that appears
 in several brand rows still fans out exactly as the SQL join does.
 """
 
@@ -70,8 +71,9 @@ def brand_receipts_by_month(
         .where(F.col("brand_code").isNotNull())
         .join(r, "receipt_id")
         .select("receipt_id", "brand_code", month_start("create_date").alias("month"))
-        .distinct()
     )
+    # count(DISTINCT receipt_id) de-duplicates (month, brand, receipt) with a
+    # map-side partial aggregation; no separate distinct step is needed.
     counts = (
         pairs.join(_brand_names(brands), "brand_code")
         .groupBy("month", "brand_name")
@@ -144,12 +146,7 @@ def brand_transactions(
     Columns: brand_name, total_transactions, rank.
     """
     cohort_receipts = _cohort_receipts(receipts, users, months, exclude_roles)
-    pairs = (
-        items.select("receipt_id", "brand_code")
-        .join(cohort_receipts, "receipt_id")
-        .select("brand_code", "receipt_id")
-        .distinct()
-    )
+    pairs = items.select("receipt_id", "brand_code").join(cohort_receipts, "receipt_id")
     totals = (
         pairs.join(_brand_names(brands), "brand_code")
         .groupBy("brand_name")

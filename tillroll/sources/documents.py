@@ -104,9 +104,13 @@ def load_items(docs: DataFrame, strip_dollar: bool = True) -> DataFrame:
     NULL).
     """
     rid = F.col("_id.$oid")
-    exploded = docs.where(rid.isNotNull() & (rid != "")).select(
+    # The id test sits inside the generator rather than in a filter: a filter
+    # would be pushed below a ``from_json`` projection and re-parse each
+    # document once per reference to the id.
+    items_of_valid = F.when(rid.isNotNull() & (rid != ""), F.col("rewardsReceiptItemList"))
+    exploded = docs.select(
         rid.alias("receipt_id"),
-        F.posexplode("rewardsReceiptItemList").alias("_pos", "_item"),
+        F.posexplode(items_of_valid).alias("_pos", "_item"),
     )
     numeric = set(S.ITEM_NUMERIC_TEXT_FIELDS)
     fields = [f.name for f in S.ITEM.fields]

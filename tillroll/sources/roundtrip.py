@@ -60,7 +60,9 @@ def item_lists(items: DataFrame, max_items_per_document: int = 1000, dollar_pric
 
     Columns: receipt_id, chunk, item_list.
     """
-    with_id = items.withColumn("_row", F.monotonically_increasing_id())
+    # Row ids come from the scan; the hash partitioning by receipt spreads the
+    # list building over all tasks and is reused by the join with receipts.
+    with_id = items.withColumn("_row", F.monotonically_increasing_id()).repartition("receipt_id")
     grouped = (
         with_id.select(
             "receipt_id",
@@ -89,7 +91,10 @@ def receipt_documents(
     With ``items`` there is one document per (receipt, item chunk); a receipt
     without items gets one document without a list.
     """
-    r = receipts
+    # Documents are spread by id over the shuffle partitions, as documents
+    # spread over many source files would be; rendering and parsing then run
+    # on every core even when the table is one unsplittable file.
+    r = receipts.repartition("id")
     if items is not None:
         lists = item_lists(items, max_items_per_document, dollar_prices)
         r = r.join(lists, r["id"] == lists["receipt_id"], "left")
@@ -115,7 +120,7 @@ def user_documents(users: DataFrame) -> DataFrame:
         _date(F.col("created_date")).alias("createdDate"),
         F.col("role").alias("role"),
     )
-    return users.select(F.to_json(doc).alias("value"))
+    return users.repartition("id").select(F.to_json(doc).alias("value"))
 
 
 def brand_documents(brands: DataFrame, barcode_width: int = 12) -> DataFrame:
@@ -130,4 +135,4 @@ def brand_documents(brands: DataFrame, barcode_width: int = 12) -> DataFrame:
         F.col("brand_code").alias("brandCode"),
         F.struct(F.lit(CPG_REF).alias("$ref"), _oid(F.col("category")).alias("$id")).alias("cpg"),
     )
-    return brands.select(F.to_json(doc).alias("value"))
+    return brands.repartition("brand_code").select(F.to_json(doc).alias("value"))
