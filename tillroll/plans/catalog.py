@@ -93,6 +93,11 @@ def item_totals_by_status_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_totals_by_status(t.receipts, t.items, FINISHED_AND_REJECTED)
 
 
+def item_share_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return item_totals_by_status(t.receipts, t.items, FINISHED_AND_REJECTED, share_name="share")
+
+
 def receipt_totals_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     return audit.totals_by(
@@ -331,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "top_brands_by_month": top_brands_by_month,
     "top_brands_month_over_month": top_brands_month_over_month,
     "item_totals_by_status": item_totals_by_status_q,
+    "item_share_by_status": item_share_by_status,
     "brand_spend_recent_users": brand_spend_recent_users,
     "brand_transactions_recent_users": brand_transactions_recent_users,
     "receipts_by_month": receipts_by_month,
