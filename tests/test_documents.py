@@ -150,3 +150,20 @@ def test_exploration_helpers(spark, scratch):
     )
     compact = drop_null_elements(with_nulls).first()
     assert len(compact.rewardsReceiptItemList) == 1
+
+
+def test_inferred_schema_loads_like_declared(spark, scratch):
+    path = _write(scratch, "receipts.json", RECEIPTS)
+    declared = read_documents(spark, path, S.RECEIPT)
+    inferred = read_documents(spark, path, None)
+    # fields such as pointsAwardedDate never occur, so they are absent from the inferred schema
+    assert "pointsAwardedDate" not in inferred.columns
+    for load in (load_receipts, load_items):
+        a, b = load(declared), load(inferred)
+        assert a.schema == b.schema
+        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    users = _write(scratch, "users.json", USERS)
+    assert load_users(read_documents(spark, users, None)).schema == load_users(read_documents(spark, users, S.USER)).schema
+    brands = _write(scratch, "brands.json", BRANDS)
+    got = sorted(map(tuple, load_brands(read_documents(spark, brands, None)).collect()), key=repr)
+    assert got == sorted(map(tuple, load_brands(read_documents(spark, brands, S.BRAND)).collect()), key=repr)

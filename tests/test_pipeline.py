@@ -5,7 +5,7 @@ import os
 
 from tillroll.operators.brands import brand_spend, brand_transactions
 from tillroll.operators.status import item_totals_by_status
-from tillroll.plans.pipeline import TABLE_NAMES, LoadedTables, run_pipeline
+from tillroll.plans.pipeline import TABLE_NAMES, LoadedTables, load_table, run_pipeline
 from tillroll.sources.sinks import create_namespace, stage, write_table
 
 DAY = 86_400_000
@@ -88,3 +88,13 @@ def test_sinks(spark, scratch):
     assert sorted(r.k for r in staged.collect()) == [0, 1, 2, 3, 4]
     create_namespace(spark, "tillroll_test_ns")
     assert any(d.name == "tillroll_test_ns" for d in spark.catalog.listDatabases())
+
+
+def test_load_single_table(spark, scratch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    _sources(src)
+    target = os.path.join(scratch, "items")
+    load_table(spark, "rewards_receipt_items", os.path.join(src, "receipts.json"), target)
+    rows = sorted((r.receipt_id, r.line_no, r.final_price) for r in spark.read.parquet(target).collect())
+    assert rows == [("r1", 1, 2.5), ("r1", 2, None), ("r2", 1, 4.0)]

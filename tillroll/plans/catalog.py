@@ -85,6 +85,18 @@ def brand_transactions_recent_users(spark: SparkSession, sf_dir: str) -> DataFra
     )
 
 
+def brand_spend_all_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report variant without the role filter."""
+    t = _t(spark, sf_dir)
+    return brand_spend(t.receipts, t.items, t.brands, t.users, COHORT_MONTHS, None)
+
+
+def brand_transactions_all_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report variant without the role filter and without the row limit."""
+    t = _t(spark, sf_dir)
+    return brand_transactions(t.receipts, t.items, t.brands, t.users, COHORT_MONTHS, None, limit=None)
+
+
 # --- status reports ---------------------------------------------------------
 
 
@@ -339,6 +351,8 @@ QUERIES: dict[str, Query] = {
     "item_share_by_status": item_share_by_status,
     "brand_spend_recent_users": brand_spend_recent_users,
     "brand_transactions_recent_users": brand_transactions_recent_users,
+    "brand_spend_all_roles": brand_spend_all_roles,
+    "brand_transactions_all_brands": brand_transactions_all_brands,
     "receipts_by_month": receipts_by_month,
     "last_day_hourly": last_day_hourly,
     "clean_items": clean_items,

@@ -29,6 +29,29 @@ from tillroll.sources.sinks import stage, write_table
 
 SOURCES = {"brands": "brands.json", "users": "users.json", "receipts": "receipts.json"}
 TABLE_NAMES = ("brands", "users", "receipts", "rewards_receipt_items")
+# table -> (source documents, schema, loader)
+TABLE_SOURCES = {
+    "brands": ("brands", S.BRAND, load_brands),
+    "users": ("users", S.USER, load_users),
+    "receipts": ("receipts", S.RECEIPT, load_receipts),
+    "rewards_receipt_items": ("receipts", S.RECEIPT, load_items),
+}
+
+
+def load_table(
+    spark: SparkSession,
+    table: str,
+    source_path: str,
+    target_path: str,
+    format: str = "parquet",
+    multiline: bool = True,
+    on_missing: str = "empty",
+    on_corrupt: str = "fail",
+) -> str:
+    """One table on its own: read its source documents, flatten, replace the target."""
+    _, schema, loader = TABLE_SOURCES[table]
+    docs = read_documents(spark, source_path, schema, multiline, on_missing=on_missing, on_corrupt=on_corrupt)
+    return write_table(loader(docs), target_path, format=format)
 
 
 def run_pipeline(

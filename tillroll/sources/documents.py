@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, LongType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from tillroll.functions.casts import lenient_bigint, lenient_double
@@ -37,13 +37,18 @@ _MODES = {"fail": "FAILFAST", "drop": "DROPMALFORMED", "keep": "PERMISSIVE"}
 def read_documents(
     spark: SparkSession,
     path: str | list[str],
-    schema: StructType,
+    schema: StructType | None,
     multiline: bool = True,
     on_missing: str = "error",
     on_corrupt: str = "fail",
+    sampling_ratio: float = 1.0,
 ) -> DataFrame:
     """Read JSON documents with a declared schema.
 
+    ``schema=None`` infers the schema from the data instead (an extra pass
+    over ``sampling_ratio`` of the input; for exploration). The loaders accept
+    either: a field missing from an inferred schema loads as NULL.
+
     ``multiline=True`` reads files holding one JSON array (or one document)
     each; ``False`` reads one document per line. ``on_missing="empty"``
     returns an empty table with the schema when the path does not exist.
@@ -54,11 +59,13 @@ def read_documents(
     if on_corrupt not in _MODES:
         raise ValueError(f"on_corrupt must be one of {sorted(_MODES)}")
     read_schema = schema
-    if on_corrupt == "keep":
+    if schema is not None and on_corrupt == "keep":
         read_schema = StructType(schema.fields + [StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(read_schema) if read_schema is not None else spark.read.option(
+        "samplingRatio", sampling_ratio
+    )
     reader = (
-        spark.read.schema(read_schema)
-        .option("multiLine", multiline)
+        reader.option("multiLine", multiline)
         .option("mode", _MODES[on_corrupt])
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
@@ -66,7 +73,7 @@ def read_documents(
         return reader.json(path)
     except AnalysisException as exc:
         if on_missing == "empty" and "PATH_NOT_FOUND" in str(exc):
-            return spark.createDataFrame([], read_schema)
+            return spark.createDataFrame([], read_schema if read_schema is not None else StructType([]))
         raise
 
 
@@ -75,24 +82,46 @@ def parse_documents(text: DataFrame, schema: StructType, column: str = "value")
     return text.select(F.from_json(F.col(column), schema).alias("_doc")).select("_doc.*")
 
 
-def _date(field: str) -> Column:
-    return epoch_millis_to_ts(F.col(f"{field}.$date")).alias(S.snake_case(field))
+def _has(schema: StructType, path: str) -> bool:
+    t = schema
+    for part in path.split("."):
+        if not isinstance(t, StructType) or part not in t.fieldNames():
+            return False
+        t = t[part].dataType
+    return True
+
+
+def _field(df: DataFrame, path: str, dtype: DataType) -> Column:
+    """``path`` cast to ``dtype``, or a typed NULL when the documents lack it.
+
+    With declared schemas every field exists; with an inferred schema a
+    field that never occurs in the data is absent and loads as NULL.
+    """
+    if _has(df.schema, path):
+        return F.col(path).cast(dtype)
+    return F.lit(None).cast(dtype)
+
+
+def _date(docs: DataFrame, field: str) -> Column:
+    return epoch_millis_to_ts(_field(docs, f"{field}.$date", LongType())).alias(S.snake_case(field))
 
 
 def load_receipts(docs: DataFrame, drop_missing_id: bool = False) -> DataFrame:
     """Receipt documents to the receipts table (14 columns)."""
+    oid = _field(docs, "_id.$oid", StringType())
     if drop_missing_id:
-        docs = docs.where(F.col("_id.$oid").isNotNull() & (F.col("_id.$oid") != ""))
+        docs = docs.where(oid.isNotNull() & (oid != ""))
+    text, long = StringType(), LongType()
     return docs.select(
-        F.col("_id.$oid").alias("id"),
-        F.col("userId").alias("user_id"),
-        F.col("rewardsReceiptStatus").alias("status"),
-        *[_date(f) for f in S.RECEIPT_DATE_FIELDS],
-        F.col("bonusPointsEarned").alias("bonus_points_earned"),
-        F.col("bonusPointsEarnedReason").alias("bonus_points_earned_reason"),
-        F.col("pointsEarned").alias("points_earned"),
-        F.col("purchasedItemCount").alias("purchased_item_count"),
-        F.col("totalSpent").alias("total_spent"),
+        oid.alias("id"),
+        _field(docs, "userId", text).alias("user_id"),
+        _field(docs, "rewardsReceiptStatus", text).alias("status"),
+        *[_date(docs, f) for f in S.RECEIPT_DATE_FIELDS],
+        _field(docs, "bonusPointsEarned", long).alias("bonus_points_earned"),
+        _field(docs, "bonusPointsEarnedReason", text).alias("bonus_points_earned_reason"),
+        _field(docs, "pointsEarned", text).alias("points_earned"),
+        _field(docs, "purchasedItemCount", long).alias("purchased_item_count"),
+        _field(docs, "totalSpent", text).alias("total_spent"),
     )
 
 
@@ -103,7 +132,9 @@ def load_items(docs: DataFrame, strip_dollar: bool = True) -> DataFrame:
     lenient DOUBLE parse; ``False`` parses the text as is (``'$1.50'`` gives
     NULL).
     """
-    rid = F.col("_id.$oid")
+    rid = _field(docs, "_id.$oid", StringType())
+    if not _has(docs.schema, "rewardsReceiptItemList"):
+        docs = docs.withColumn("rewardsReceiptItemList", F.lit(None).cast(ArrayType(S.ITEM)))
     # The id test sits inside the generator rather than in a filter: a filter
     # would be pushed below a ``from_json`` projection and re-parse each
     # document once per reference to the id.
@@ -113,25 +144,25 @@ def load_items(docs: DataFrame, strip_dollar: bool = True) -> DataFrame:
         F.posexplode(items_of_valid).alias("_pos", "_item"),
     )
     numeric = set(S.ITEM_NUMERIC_TEXT_FIELDS)
-    fields = [f.name for f in S.ITEM.fields]
     cols = [
-        lenient_double(F.col(f"_item.{f}"), strip_dollar).alias(S.snake_case(f))
-        if f in numeric
-        else F.col(f"_item.{f}").alias(S.snake_case(f))
-        for f in fields
+        lenient_double(_field(exploded, f"_item.{f.name}", StringType()), strip_dollar).alias(S.snake_case(f.name))
+        if f.name in numeric
+        else _field(exploded, f"_item.{f.name}", f.dataType).alias(S.snake_case(f.name))
+        for f in S.ITEM.fields
     ]
     return exploded.select("receipt_id", (F.col("_pos") + 1).alias("line_no"), *cols)
 
 
 def load_users(docs: DataFrame) -> DataFrame:
     """User documents to the users table (7 columns)."""
+    text = StringType()
     return docs.select(
-        F.col("_id.$oid").alias("id"),
-        "active",
-        *[_date(f) for f in S.USER_DATE_FIELDS],
-        "role",
-        F.col("signUpSource").alias("sign_up_source"),
-        "state",
+        _field(docs, "_id.$oid", text).alias("id"),
+        _field(docs, "active", BooleanType()).alias("active"),
+        *[_date(docs, f) for f in S.USER_DATE_FIELDS],
+        _field(docs, "role", text).alias("role"),
+        _field(docs, "signUpSource", text).alias("sign_up_source"),
+        _field(docs, "state", text).alias("state"),
     )
 
 
@@ -141,17 +172,19 @@ def load_brands(docs: DataFrame) -> DataFrame:
     ``barcode`` is the lenient BIGINT of the text (leading zeros and letters
     do not survive a number); ``barcode_text`` keeps the text.
     """
+    text = StringType()
+    barcode = _field(docs, "barcode", text)
     return docs.select(
-        F.col("_id.$oid").alias("id"),
-        lenient_bigint(F.col("barcode")).alias("barcode"),
-        F.col("barcode").alias("barcode_text"),
-        "category",
-        F.col("categoryCode").alias("category_code"),
-        "name",
-        F.col("topBrand").alias("top_brand"),
-        F.col("brandCode").alias("brand_code"),
-        F.col("cpg.$ref").alias("cpg_ref"),
-        F.col("cpg.$id.$oid").alias("cpg_id"),
+        _field(docs, "_id.$oid", text).alias("id"),
+        lenient_bigint(barcode).alias("barcode"),
+        barcode.alias("barcode_text"),
+        _field(docs, "category", text).alias("category"),
+        _field(docs, "categoryCode", text).alias("category_code"),
+        _field(docs, "name", text).alias("name"),
+        _field(docs, "topBrand", BooleanType()).alias("top_brand"),
+        _field(docs, "brandCode", text).alias("brand_code"),
+        _field(docs, "cpg.$ref", text).alias("cpg_ref"),
+        _field(docs, "cpg.$id.$oid", text).alias("cpg_id"),
     )
 
 
