@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tillroll.operators.upsert import merge_latest
+from tillroll.operators.upsert import latest_per_key, merge_latest
 from tillroll.session import ensure_checkpoint_dir
 
 BUCKET = "_bucket"
@@ -62,10 +62,11 @@ def upsert_batch(
         return
     if _exists(spark, target_dir):
         current = spark.read.parquet(target_dir).where(F.col(BUCKET).isin(touched))
-        merged = merge_latest(current, changes, key, order_col, tie_breakers)
+        # The merge reads files that the write below replaces: cut the lineage
+        # first (reliable checkpoint in the shared folder).
+        merged = merge_latest(current, changes, key, order_col, tie_breakers).checkpoint(eager=True)
     else:
-        merged = merge_latest(changes.limit(0), changes, key, order_col, tie_breakers)
-    merged = merged.checkpoint(eager=True)
+        merged = latest_per_key(changes, key, order_col, tie_breakers)
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
