@@ -5,7 +5,7 @@ import os
 
 from tillroll.operators.brands import brand_spend, brand_transactions
 from tillroll.operators.status import item_totals_by_status
-from tillroll.plans.pipeline import TABLE_NAMES, LoadedTables, load_table, run_pipeline
+from tillroll.plans.batch_load import TABLE_NAMES, LoadedTables, load_table, load_all
 from tillroll.sources.sinks import create_namespace, stage, write_table
 
 DAY = 86_400_000
@@ -40,12 +40,12 @@ def _sources(folder):
             json.dump(docs, f)
 
 
-def test_pipeline_and_reports(spark, scratch):
+def test_batch_load_and_reports(spark, scratch):
     src = os.path.join(scratch, "src")
     out = os.path.join(scratch, "out")
     os.makedirs(src)
     _sources(src)
-    written = run_pipeline(spark, src, out)
+    written = load_all(spark, src, out)
     assert sorted(written) == sorted(TABLE_NAMES)
     t = LoadedTables.from_dir(spark, out)
     assert t.receipts.count() == 3 and t.items.count() == 3
@@ -60,17 +60,17 @@ def test_pipeline_and_reports(spark, scratch):
     assert tx == [("One", 2, 1), ("Two", 1, 2)]
 
     # replace semantics: a second run overwrites, it does not append
-    run_pipeline(spark, src, out)
+    load_all(spark, src, out)
     assert LoadedTables.from_dir(spark, out).items.count() == 3
 
 
-def test_pipeline_missing_source_gives_empty_table(spark, scratch):
+def test_batch_load_missing_source_gives_empty_table(spark, scratch):
     src = os.path.join(scratch, "src")
     os.makedirs(src)
     with open(os.path.join(src, "users.json"), "w") as f:
         json.dump(USERS, f)
     out = os.path.join(scratch, "out")
-    run_pipeline(spark, src, out)
+    load_all(spark, src, out)
     t = LoadedTables.from_dir(spark, out)
     assert t.users.count() == 2
     assert t.receipts.count() == 0 and "purchased_item_count" in t.receipts.columns

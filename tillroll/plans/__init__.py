@@ -1 +1 @@
-"""Named query plans, their reference SQL, and the batch pipeline."""
+"""Named query plans, their reference SQL, and the batch load."""

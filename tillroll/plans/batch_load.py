@@ -1,6 +1,6 @@
 """The batch load: three document sources into four tables.
 
-``run_pipeline`` reads ``brands.json``, ``users.json`` and ``receipts.json``
+``load_all`` reads ``brands.json``, ``users.json`` and ``receipts.json``
 from a source folder, flattens them with the loaders and writes the tables
 ``brands``, ``users``, ``receipts`` and ``rewards_receipt_items``. Receipt
 documents are parsed once: the parsed documents are staged as parquet in the
@@ -54,7 +54,7 @@ def load_table(
     return write_table(loader(docs), target_path, format=format)
 
 
-def run_pipeline(
+def load_all(
     spark: SparkSession,
     src_dir: str,
     target_dir: str,
@@ -91,7 +91,7 @@ def run_pipeline(
 
 @dataclass
 class LoadedTables:
-    """The pipeline's output tables, read back."""
+    """The batch load's output tables, read back."""
 
     receipts: DataFrame
     items: DataFrame
