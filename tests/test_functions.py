@@ -4,7 +4,6 @@ import datetime as dt
 import random
 import re
 
-from pyspark.sql import functions as F
 
 from tillroll.functions import casts, cleaning, dates
 
