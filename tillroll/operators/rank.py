@@ -13,7 +13,8 @@ Three shapes occur in the analytics:
   numbers its values locally, and a per-partition offset (one row per
   partition, so its size is bounded by the partition count) turns local
   numbers into global ranks. The ranks are joined back on the value; rows
-  sharing one hot value are split by adaptive skew-join handling.
+  sharing one hot value are split by adaptive skew-join handling. The input
+  is checkpointed once, so its upstream plan is not run once per reference.
 * :func:`top_n_ranked` -- the first ``n`` rows by rank (``LIMIT n``). The
   ordered limit runs as a distributed top-n; the dense rank of a row in that
   prefix equals its rank in the whole input, because every larger value
@@ -28,7 +29,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+
+from tillroll.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row number
 
@@ -64,14 +66,18 @@ def global_dense_rank(
 ) -> DataFrame:
     """Add ``rank_col`` = dense rank of ``value_col`` over the whole input.
 
-    Runs without a single-partition window. ``value_col`` must evaluate to the
-    same value every time ``df`` is computed; floating-point columns are
-    frozen with a reliable ``checkpoint()`` first, because a re-run sum of
-    doubles may differ in its last bits and would then miss the join-back.
+    Runs without a single-partition window. The input is read three times
+    (distinct values, per-partition sizes, join-back), so it is first
+    materialised once with a reliable ``checkpoint()`` in the shared
+    checkpoint folder: the upstream plan (scans, joins, aggregations) runs
+    once, every reference sees the same values (a re-run sum of doubles could
+    differ in its last bits and miss the join-back), and the files survive
+    the loss of an executor. The input is typically an aggregate (one row per
+    group), so the checkpoint is small next to the work that produced it.
     """
     spark = df.sparkSession
-    if isinstance(df.schema[value_col].dataType, (DoubleType, FloatType)):
-        df = df.checkpoint(eager=True)
+    ensure_checkpoint_dir(spark)
+    df = df.checkpoint(eager=True)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = sort_order("_v", descending, nulls_first)
 

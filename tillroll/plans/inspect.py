@@ -31,20 +31,36 @@ def read_schemas(df: DataFrame) -> list[str]:
     return re.findall(r"^ReadSchema: (struct<.*>)$", plan_text(df, "formatted"), re.MULTILINE)
 
 
+def _distinct_nodes(text: str, marker: str) -> int:
+    """Plan nodes starting with ``marker``, counted once per ``plan_id``.
+
+    The text repeats a shared subquery under every operator that uses it;
+    the id identifies one physical node.
+    """
+    ids = set()
+    anonymous = 0
+    for line in text.splitlines():
+        if marker not in line:
+            continue
+        m = re.search(r"plan_id=(\d+)", line)
+        if m:
+            ids.add(m.group(1))
+        else:
+            anonymous += 1
+    return len(ids) + anonymous
+
+
 def summary(df: DataFrame) -> dict[str, int]:
-    """Counts of the operators that matter for scale."""
+    """Counts of the operators that matter for scale (shared subqueries once)."""
     text = plan_text(df)
-    keys = {
-        "exchanges": "Exchange ",
-        "single_partition_exchanges": "Exchange SinglePartition",
-        "broadcasts": "BroadcastExchange",
-        "sort_merge_joins": "SortMergeJoin",
-        "broadcast_hash_joins": "BroadcastHashJoin",
-        "window_group_limits": "WindowGroupLimit",
-        "cross_joins": None,
-        "python": None,
+    out = {
+        "exchanges": _distinct_nodes(text, "Exchange "),
+        "single_partition_exchanges": _distinct_nodes(text, "Exchange SinglePartition"),
+        "broadcasts": _distinct_nodes(text, "BroadcastExchange"),
+        "sort_merge_joins": text.count("SortMergeJoin"),
+        "broadcast_hash_joins": text.count("BroadcastHashJoin"),
+        "window_group_limits": text.count("WindowGroupLimit"),
     }
-    out = {k: text.count(v) for k, v in keys.items() if v}
     out["cross_joins"] = sum(text.count(op) for op in CROSS_JOINS)
     out["python"] = sum(text.count(op) for op in PYTHON_EVAL)
     return out
