@@ -22,6 +22,7 @@ def spark():
         SparkSession.builder.master("local[*]")
         .appName("tillroll-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tillroll-warehouse-"))
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)

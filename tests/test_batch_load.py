@@ -98,3 +98,26 @@ def test_load_single_table(spark, scratch):
     load_table(spark, "rewards_receipt_items", os.path.join(src, "receipts.json"), target)
     rows = sorted((r.receipt_id, r.line_no, r.final_price) for r in spark.read.parquet(target).collect())
     assert rows == [("r1", 1, 2.5), ("r1", 2, None), ("r2", 1, 4.0)]
+
+
+def test_bucketed_catalog_tables_join_without_shuffle(spark, scratch):
+    from tillroll.plans.inspect import plan_text
+
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    _sources(src)
+    db = "tillroll_bucketed_test"
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{os.path.join(scratch, 'db')}'")
+    load_all(spark, src, database=db, receipt_buckets=4)
+    t = LoadedTables.from_catalog(spark, db)
+    totals = {r.status: r.total_items for r in item_totals_by_status(t.receipts, t.items).collect()}
+    assert totals == {"FINISHED": 3, "REJECTED": 1}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = t.items.join(t.receipts, t.items["receipt_id"] == t.receipts["id"])
+        text = plan_text(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text, text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

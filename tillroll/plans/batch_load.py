@@ -57,22 +57,33 @@ def load_table(
 def load_all(
     spark: SparkSession,
     src_dir: str,
-    target_dir: str,
+    target_dir: str | None = None,
     format: str = "parquet",
     multiline: bool = True,
     on_missing: str = "empty",
     on_corrupt: str = "fail",
     strip_dollar: bool = True,
     drop_missing_id: bool = False,
+    database: str | None = None,
+    receipt_buckets: int | None = None,
 ) -> dict[str, str]:
-    """Load the three sources and write the four tables; returns name -> path.
+    """Load the three sources and write the four tables; returns name -> target.
+
+    Tables go to ``target_dir/<name>`` as files, or, with ``database``, to
+    catalog tables ``database.<name>``. ``receipt_buckets=n`` (catalog tables
+    only) buckets ``receipts`` by ``id`` and ``rewards_receipt_items`` by
+    ``receipt_id`` into the same ``n`` buckets: the receipt-item join of every
+    report then reads matching buckets side by side without a shuffle.
 
     ``on_missing="empty"`` writes an empty table (with its columns) for a
     missing source file; ``on_corrupt`` is passed to
     :func:`tillroll.sources.documents.read_documents`.
     """
+    if (target_dir is None) == (database is None):
+        raise ValueError("give exactly one of target_dir and database")
+    if receipt_buckets is not None and database is None:
+        raise ValueError("bucketed tables need a database (catalog tables)")
     src = src_dir.rstrip("/")
-    target = target_dir.rstrip("/")
 
     def docs(name: str, schema) -> DataFrame:
         return read_documents(
@@ -86,7 +97,15 @@ def load_all(
         "receipts": load_receipts(receipts_docs, drop_missing_id=drop_missing_id),
         "rewards_receipt_items": load_items(receipts_docs, strip_dollar=strip_dollar),
     }
-    return {name: write_table(df, f"{target}/{name}", format=format) for name, df in tables.items()}
+    buckets = {"receipts": ["id"], "rewards_receipt_items": ["receipt_id"]}
+    out = {}
+    for name, df in tables.items():
+        if database is None:
+            out[name] = write_table(df, f"{target_dir.rstrip('/')}/{name}", format=format)
+        else:
+            spec = (receipt_buckets, buckets[name]) if receipt_buckets and name in buckets else None
+            out[name] = write_table(df, f"{database}.{name}", format=format, as_table=True, bucket_by=spec)
+    return out
 
 
 @dataclass
@@ -98,6 +117,16 @@ class LoadedTables:
     users: DataFrame
     brands: DataFrame
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str) -> "LoadedTables":
+        """The tables written by :func:`load_all` with ``database``."""
+        return cls(
+            receipts=spark.table(f"{database}.receipts"),
+            items=spark.table(f"{database}.rewards_receipt_items"),
+            users=spark.table(f"{database}.users"),
+            brands=spark.table(f"{database}.brands"),
+        )
+
     @classmethod
     def from_dir(cls, spark: SparkSession, target_dir: str, format: str = "parquet") -> "LoadedTables":
         base = target_dir.rstrip("/")

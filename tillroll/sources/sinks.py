@@ -22,6 +22,7 @@ def write_table(
     format: str = "parquet",
     partition_by: Sequence[str] | None = None,
     as_table: bool = False,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
     options: dict[str, str] | None = None,
     jdbc_url: str | None = None,
     jdbc_properties: dict[str, str] | None = None,
@@ -31,6 +32,9 @@ def write_table(
     * default: files of ``format`` at path ``target`` (``mode="overwrite"``
       replaces the table, as a load with replace semantics does);
     * ``as_table=True``: a catalog table named ``target`` (``db.table``);
+      with ``bucket_by=(n, cols)`` it is bucketed and sorted on ``cols``, so
+      joins between tables bucketed the same way on the join key need no
+      shuffle;
     * ``jdbc_url``: a database table named ``target`` over JDBC (the driver
       jar must be on the classpath).
 
@@ -44,6 +48,11 @@ def write_table(
     writer = df.write.mode(mode).format(format).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by is not None:
+        if not as_table:
+            raise ValueError("bucketing needs a catalog table (as_table=True)")
+        buckets, cols = bucket_by
+        writer = writer.bucketBy(buckets, *cols).sortBy(*cols)
     if as_table:
         writer.saveAsTable(target)
     else:
