@@ -1,4 +1,10 @@
-"""Every registered query against its DuckDB oracle on the sf0.01 tables."""
+"""Every registered query against its DuckDB oracle on the sf0.01 tables.
+
+``TILLROLL_ORACLE_SF=/root/testdata/sf0.1`` runs the same comparison on
+another scale.
+"""
+
+import os
 
 import pytest
 
@@ -10,9 +16,12 @@ QUERIES = entry_mod.queries()
 ORACLE = entry_mod.oracle_sql()
 
 
+SF = os.environ.get("TILLROLL_ORACLE_SF", SF01)
+
+
 @pytest.fixture(scope="module")
 def con():
-    return duck(SF01)
+    return duck(SF)
 
 
 def test_every_query_has_oracle_or_is_listed():
@@ -22,6 +31,6 @@ def test_every_query_has_oracle_or_is_listed():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, con, name):
-    df = QUERIES[name](spark, SF01)
+    df = QUERIES[name](spark, SF)
     problems, n = compare(df, con, ORACLE[name])
     assert not problems, (name, problems)
