@@ -26,9 +26,11 @@ def test_global_dense_rank_matches_brute_force(spark):
         values = [rng.choice([None] + list(range(spread))) if rng.random() < 0.95 else None for _ in range(n)]
         df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k int, v bigint")
         for nulls_first in (True, False):
-            got = {r.k: r.rank for r in global_dense_rank(df, "v", nulls_first=nulls_first, num_partitions=7).collect()}
             expect = _dense_rank(values, nulls_first)
-            assert got == {i: expect[v] for i, v in enumerate(values)}
+            for bound in (None, 10**6):  # distributed path, then the size-checked single task
+                ranked = global_dense_rank(df, "v", nulls_first=nulls_first, num_partitions=7, single_task_rows=bound)
+                got = {r.k: r.rank for r in ranked.collect()}
+                assert got == {i: expect[v] for i, v in enumerate(values)}
 
 
 def test_global_dense_rank_on_doubles_checkpoints(spark):

@@ -37,14 +37,25 @@ def test_scans_are_pruned(spark):
     assert lineitem and all(s.count(":") <= 3 for s in lineitem)
 
 
-def test_global_rank_has_no_single_partition_exchange_over_rows(spark):
-    # The only single-partition exchanges allowed are the scalar subquery of
-    # the cohort (one row per task) and the per-partition offsets table.
-    text = plan_text(QUERIES["brand_transactions_all_brands"](spark, SF001))
+def test_distributed_rank_has_no_single_partition_exchange_over_rows(spark):
+    from tillroll.operators.rank import global_dense_rank
+
+    df = spark.range(5000).selectExpr("id", "id % 97 as v")
+    text = plan_text(global_dense_rank(df, "v", single_task_rows=None))
     blocks = text.split("Exchange SinglePartition")[1:]
-    for block in blocks:
-        head = block.split("\n")[1:4]
-        assert any("partial_max" in line or "_p" in line or "partial_count" in line for line in head), head
+    # the only single-partition exchange carries the per-partition counts
+    assert len(blocks) == 1 and "_p" in "".join(blocks[0].split("\n")[1:3])
+    assert "RangePartitioning" in text or "rangepartitioning" in text
+
+
+def test_single_task_rank_only_under_the_size_bound(spark):
+    from tillroll.operators import rank
+
+    df = spark.range(5000).selectExpr("id", "id % 97 as v")
+    small = plan_text(rank.global_dense_rank(df, "v", single_task_rows=5000))
+    large = plan_text(rank.global_dense_rank(df, "v", single_task_rows=4999))
+    assert "Exchange SinglePartition" in small and "rangepartitioning" not in small.lower()
+    assert "rangepartitioning" in large.lower()
 
 
 def test_latest_per_key_is_an_aggregation_not_a_window(spark):

@@ -14,7 +14,10 @@ Three shapes occur in the analytics:
   partition, so its size is bounded by the partition count) turns local
   numbers into global ranks. The ranks are joined back on the value; rows
   sharing one hot value are split by adaptive skew-join handling. The input
-  is checkpointed once, so its upstream plan is not run once per reference.
+  is checkpointed once, so its upstream plan is not run once per reference;
+  an input whose counted size is at most :data:`SINGLE_TASK_RANK_ROWS` rows is
+  ranked by one window task instead (the same size-check-then-fallback rule
+  as a broadcast join).
 * :func:`top_n_ranked` -- the first ``n`` rows by rank (``LIMIT n``). The
   ordered limit runs as a distributed top-n; the dense rank of a row in that
   prefix equals its rank in the whole input, because every larger value
@@ -33,6 +36,9 @@ from pyspark.sql import functions as F
 from tillroll.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row number
+# Largest input ranked by a single window task (a sort of this many rows fits
+# comfortably in one task's memory and spills if it must).
+SINGLE_TASK_RANK_ROWS = 1_000_000
 
 
 def sort_order(col: str | Column, descending: bool = True, nulls_first: bool = True) -> Column:
@@ -63,9 +69,14 @@ def global_dense_rank(
     descending: bool = True,
     nulls_first: bool = True,
     num_partitions: int | None = None,
+    single_task_rows: int | None = SINGLE_TASK_RANK_ROWS,
 ) -> DataFrame:
     """Add ``rank_col`` = dense rank of ``value_col`` over the whole input.
 
+    Inputs of at most ``single_task_rows`` rows (counted after they are
+    materialised) are ranked by one window task, a proven bound; larger
+    inputs, or ``single_task_rows=None``, take the distributed path.
+
     Runs without a single-partition window. The input is read three times
     (distinct values, per-partition sizes, join-back), so it is first
     materialised once with a reliable ``checkpoint()`` in the shared
@@ -78,6 +89,12 @@ def global_dense_rank(
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     df = df.checkpoint(eager=True)
+    # Size check on the materialised input (a cheap read of the checkpoint):
+    # up to ``single_task_rows`` rows one task ranks them with a plain window;
+    # beyond that the distributed path below runs.
+    if single_task_rows and df.count() <= single_task_rows:
+        w = Window.orderBy(sort_order(value_col, descending, nulls_first))
+        return df.withColumn(rank_col, F.dense_rank().over(w))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = sort_order("_v", descending, nulls_first)
 
