@@ -7,7 +7,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.cleaning import both_present_and_different, clean_price, is_blank_description
+from tillroll.functions.cleaning import (
+    both_present_and_different,
+    clean_price,
+    clean_quantity,
+    is_blank_description,
+    spend,
+)
+
+
+def clean_items(items: DataFrame) -> DataFrame:
+    """Items with ``clean_item_count``, ``clean_price`` and ``spend`` added.
+
+    Quantity falls back to the user-flagged quantity, price to the user-flagged
+    price text (parsed leniently); spend is their product (NULL if either is).
+    """
+    return items.select(
+        "*",
+        clean_quantity().alias("clean_item_count"),
+        clean_price().alias("clean_price"),
+        spend(clean_quantity(), clean_price()).alias("spend"),
+    )
 
 
 def standardize_text(c: str | Column) -> Column:

@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.cleaning import clean_price, clean_quantity
 from tillroll.operators import audit
 from tillroll.operators.brands import (
     brand_receipts_by_month,
@@ -24,7 +23,7 @@ from tillroll.operators.brands import (
     receipts_without_brands,
 )
 from tillroll.operators.cohort import recent_users
-from tillroll.operators.quality import apply_value_map, flag_counts, standardize_text
+from tillroll.operators.quality import apply_value_map, clean_items, flag_counts, standardize_text
 from tillroll.operators.status import (
     FINISHED_AND_REJECTED,
     item_totals_by_status,
@@ -150,14 +149,8 @@ def recent_users_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- item cleaning and consistency -------------------------------------------
 
 
-def clean_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = _t(spark, sf_dir).items
-    return items.select(
-        "receipt_id",
-        "brand_code",
-        clean_quantity().alias("clean_item_count"),
-        clean_price().alias("clean_price"),
-    )
+def clean_items_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_items(_t(spark, sf_dir).items).select("receipt_id", "brand_code", "clean_item_count", "clean_price")
 
 
 def quantity_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,7 +348,7 @@ QUERIES: dict[str, Query] = {
     "brand_transactions_all_brands": brand_transactions_all_brands,
     "receipts_by_month": receipts_by_month,
     "last_day_hourly": last_day_hourly,
-    "clean_items": clean_items,
+    "clean_items": clean_items_q,
     "user_date_range": user_date_range,
     "receipt_totals_by_status": receipt_totals_by_status,
     "brand_code_saturation": brand_code_saturation,
