@@ -91,37 +91,40 @@ def _has(schema: StructType, path: str) -> bool:
     return True
 
 
-def _field(df: DataFrame, path: str, dtype: DataType) -> Column:
+def _field(schema: StructType, path: str, dtype: DataType) -> Column:
     """``path`` cast to ``dtype``, or a typed NULL when the documents lack it.
 
     With declared schemas every field exists; with an inferred schema a
     field that never occurs in the data is absent and loads as NULL.
+    ``schema`` is the documents' schema, fetched once by the caller (each
+    ``DataFrame.schema`` call is a round trip to the JVM).
     """
-    if _has(df.schema, path):
+    if _has(schema, path):
         return F.col(path).cast(dtype)
     return F.lit(None).cast(dtype)
 
 
-def _date(docs: DataFrame, field: str) -> Column:
-    return epoch_millis_to_ts(_field(docs, f"{field}.$date", LongType())).alias(S.snake_case(field))
+def _date(schema: StructType, field: str) -> Column:
+    return epoch_millis_to_ts(_field(schema, f"{field}.$date", LongType())).alias(S.snake_case(field))
 
 
 def load_receipts(docs: DataFrame, drop_missing_id: bool = False) -> DataFrame:
     """Receipt documents to the receipts table (14 columns)."""
-    oid = _field(docs, "_id.$oid", StringType())
+    sch = docs.schema
+    oid = _field(sch, "_id.$oid", StringType())
     if drop_missing_id:
         docs = docs.where(oid.isNotNull() & (oid != ""))
     text, long = StringType(), LongType()
     return docs.select(
         oid.alias("id"),
-        _field(docs, "userId", text).alias("user_id"),
-        _field(docs, "rewardsReceiptStatus", text).alias("status"),
-        *[_date(docs, f) for f in S.RECEIPT_DATE_FIELDS],
-        _field(docs, "bonusPointsEarned", long).alias("bonus_points_earned"),
-        _field(docs, "bonusPointsEarnedReason", text).alias("bonus_points_earned_reason"),
-        _field(docs, "pointsEarned", text).alias("points_earned"),
-        _field(docs, "purchasedItemCount", long).alias("purchased_item_count"),
-        _field(docs, "totalSpent", text).alias("total_spent"),
+        _field(sch, "userId", text).alias("user_id"),
+        _field(sch, "rewardsReceiptStatus", text).alias("status"),
+        *[_date(sch, f) for f in S.RECEIPT_DATE_FIELDS],
+        _field(sch, "bonusPointsEarned", long).alias("bonus_points_earned"),
+        _field(sch, "bonusPointsEarnedReason", text).alias("bonus_points_earned_reason"),
+        _field(sch, "pointsEarned", text).alias("points_earned"),
+        _field(sch, "purchasedItemCount", long).alias("purchased_item_count"),
+        _field(sch, "totalSpent", text).alias("total_spent"),
     )
 
 
@@ -132,8 +135,9 @@ def load_items(docs: DataFrame, strip_dollar: bool = True) -> DataFrame:
     lenient DOUBLE parse; ``False`` parses the text as is (``'$1.50'`` gives
     NULL).
     """
-    rid = _field(docs, "_id.$oid", StringType())
-    if not _has(docs.schema, "rewardsReceiptItemList"):
+    sch = docs.schema
+    rid = _field(sch, "_id.$oid", StringType())
+    if not _has(sch, "rewardsReceiptItemList"):
         docs = docs.withColumn("rewardsReceiptItemList", F.lit(None).cast(ArrayType(S.ITEM)))
     # The id test sits inside the generator rather than in a filter: a filter
     # would be pushed below a ``from_json`` projection and re-parse each
@@ -144,10 +148,11 @@ def load_items(docs: DataFrame, strip_dollar: bool = True) -> DataFrame:
         F.posexplode(items_of_valid).alias("_pos", "_item"),
     )
     numeric = set(S.ITEM_NUMERIC_TEXT_FIELDS)
+    item_sch = exploded.schema
     cols = [
-        lenient_double(_field(exploded, f"_item.{f.name}", StringType()), strip_dollar).alias(S.snake_case(f.name))
+        lenient_double(_field(item_sch, f"_item.{f.name}", StringType()), strip_dollar).alias(S.snake_case(f.name))
         if f.name in numeric
-        else _field(exploded, f"_item.{f.name}", f.dataType).alias(S.snake_case(f.name))
+        else _field(item_sch, f"_item.{f.name}", f.dataType).alias(S.snake_case(f.name))
         for f in S.ITEM.fields
     ]
     return exploded.select("receipt_id", (F.col("_pos") + 1).alias("line_no"), *cols)
@@ -155,14 +160,15 @@ def load_items(docs: DataFrame, strip_dollar: bool = True) -> DataFrame:
 
 def load_users(docs: DataFrame) -> DataFrame:
     """User documents to the users table (7 columns)."""
+    sch = docs.schema
     text = StringType()
     return docs.select(
-        _field(docs, "_id.$oid", text).alias("id"),
-        _field(docs, "active", BooleanType()).alias("active"),
-        *[_date(docs, f) for f in S.USER_DATE_FIELDS],
-        _field(docs, "role", text).alias("role"),
-        _field(docs, "signUpSource", text).alias("sign_up_source"),
-        _field(docs, "state", text).alias("state"),
+        _field(sch, "_id.$oid", text).alias("id"),
+        _field(sch, "active", BooleanType()).alias("active"),
+        *[_date(sch, f) for f in S.USER_DATE_FIELDS],
+        _field(sch, "role", text).alias("role"),
+        _field(sch, "signUpSource", text).alias("sign_up_source"),
+        _field(sch, "state", text).alias("state"),
     )
 
 
@@ -172,19 +178,20 @@ def load_brands(docs: DataFrame) -> DataFrame:
     ``barcode`` is the lenient BIGINT of the text (leading zeros and letters
     do not survive a number); ``barcode_text`` keeps the text.
     """
+    sch = docs.schema
     text = StringType()
-    barcode = _field(docs, "barcode", text)
+    barcode = _field(sch, "barcode", text)
     return docs.select(
-        _field(docs, "_id.$oid", text).alias("id"),
+        _field(sch, "_id.$oid", text).alias("id"),
         lenient_bigint(barcode).alias("barcode"),
         barcode.alias("barcode_text"),
-        _field(docs, "category", text).alias("category"),
-        _field(docs, "categoryCode", text).alias("category_code"),
-        _field(docs, "name", text).alias("name"),
-        _field(docs, "topBrand", BooleanType()).alias("top_brand"),
-        _field(docs, "brandCode", text).alias("brand_code"),
-        _field(docs, "cpg.$ref", text).alias("cpg_ref"),
-        _field(docs, "cpg.$id.$oid", text).alias("cpg_id"),
+        _field(sch, "category", text).alias("category"),
+        _field(sch, "categoryCode", text).alias("category_code"),
+        _field(sch, "name", text).alias("name"),
+        _field(sch, "topBrand", BooleanType()).alias("top_brand"),
+        _field(sch, "brandCode", text).alias("brand_code"),
+        _field(sch, "cpg.$ref", text).alias("cpg_ref"),
+        _field(sch, "cpg.$id.$oid", text).alias("cpg_id"),
     )
 
 
