@@ -6,8 +6,8 @@ measured shuffle size with adaptive execution); otherwise the join shuffles.
 For spend, items are reduced to one row per brand code before the brand join,
 so that join sees aggregated rows, not item rows. Distinct receipt counts rely
 on Spark's distinct-aggregate plan, which de-duplicates (group, receipt) pairs
-on the map side before the shuffle. A brand code that appears
-in several brand rows still fans out exactly as the SQL join does.
+on the map side before the shuffle. A brand code that appears in several
+brand rows still fans out exactly as the SQL join does.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.cleaning import clean_price, clean_quantity, spend
@@ -26,7 +26,7 @@ from tillroll.operators.rank import global_dense_rank, top_k_dense, top_n_ranked
 TimeBound = str | _dt.date | _dt.datetime | None
 
 
-def cents(amount) -> F.Column:
+def cents(amount: Column) -> Column:
     """An amount rounded to whole cents, as BIGINT.
 
     Money is summed exactly in cents, so a total does not depend on the order
