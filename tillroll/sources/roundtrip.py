@@ -31,6 +31,17 @@ def _date(c: Column) -> Column:
     return F.when(c.isNotNull(), F.struct(ts_to_epoch_millis(c).alias("$date")))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Round-robin over the shuffle partitions (no key, so no hot partition).
+
+    Documents are spread as documents over many source files would be;
+    rendering and parsing then run on every core even when a table is one
+    unsplittable file.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n)
+
+
 def _price_text(c: Column, dollar: bool) -> Column:
     text = c.cast("string")
     return F.concat(F.lit("$"), text) if dollar else text
@@ -60,13 +71,17 @@ def item_lists(items: DataFrame, max_items_per_document: int = 1000, dollar_pric
 
     Columns: receipt_id, chunk, item_list.
     """
-    # Row ids come from the scan; the hash partitioning by receipt spreads the
-    # list building over all tasks and is reused by the join with receipts.
-    with_id = items.withColumn("_row", F.monotonically_increasing_id()).repartition("receipt_id")
+    # Row ids come from the scan. Hash-partitioning by (receipt, chunk) spreads
+    # the list building over all tasks, and a receipt with a very long item
+    # list over many of them.
+    with_chunk = items.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+        "chunk", F.floor(F.col("_row") / F.lit(max_items_per_document))
+    )
     grouped = (
-        with_id.select(
+        with_chunk.repartition("receipt_id", "chunk")
+        .select(
             "receipt_id",
-            F.floor(F.col("_row") / F.lit(max_items_per_document)).alias("chunk"),
+            "chunk",
             F.struct(
                 F.col("line_no").alias("pos"),
                 F.col("_row").alias("row"),
@@ -91,10 +106,7 @@ def receipt_documents(
     With ``items`` there is one document per (receipt, item chunk); a receipt
     without items gets one document without a list.
     """
-    # Documents are spread by id over the shuffle partitions, as documents
-    # spread over many source files would be; rendering and parsing then run
-    # on every core even when the table is one unsplittable file.
-    r = receipts.repartition("id")
+    r = _spread(receipts)
     if items is not None:
         lists = item_lists(items, max_items_per_document, dollar_prices)
         r = r.join(lists, r["id"] == lists["receipt_id"], "left")
@@ -120,7 +132,7 @@ def user_documents(users: DataFrame) -> DataFrame:
         _date(F.col("created_date")).alias("createdDate"),
         F.col("role").alias("role"),
     )
-    return users.repartition("id").select(F.to_json(doc).alias("value"))
+    return _spread(users).select(F.to_json(doc).alias("value"))
 
 
 def brand_documents(brands: DataFrame, barcode_width: int = 12) -> DataFrame:
@@ -135,4 +147,4 @@ def brand_documents(brands: DataFrame, barcode_width: int = 12) -> DataFrame:
         F.col("brand_code").alias("brandCode"),
         F.struct(F.lit(CPG_REF).alias("$ref"), _oid(F.col("category")).alias("$id")).alias("cpg"),
     )
-    return brands.repartition("brand_code").select(F.to_json(doc).alias("value"))
+    return _spread(brands).select(F.to_json(doc).alias("value"))
