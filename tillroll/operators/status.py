@@ -102,3 +102,36 @@ def item_totals_with_fallback(
     if statuses is not None:
         per_receipt = per_receipt.where(F.col("status").isin(*statuses))
     return per_receipt.groupBy("status").agg(F.sum("items_total").alias("total_items"))
+
+
+def status_totals_by_brand_attribute(
+    receipts: DataFrame,
+    items: DataFrame,
+    brands: DataFrame,
+    attribute: str = "category",
+    statuses: Sequence[str] | None = FINISHED_AND_REJECTED,
+) -> DataFrame:
+    """Cleaned item quantities per (brand attribute, status).
+
+    Items are summed per (receipt, brand code) first, so the joins with
+    receipts and brands carry one row per pair rather than one per item.
+    Items without a brand code, or whose code has no brand, are left out (inner
+    join, as in SQL).
+
+    Columns: ``attribute``, status, total_items.
+    """
+    r = receipts.select(F.col("id").alias("receipt_id"), "status")
+    if statuses is not None:
+        r = r.where(F.col("status").isin(*statuses))
+    per_pair = (
+        items.select("receipt_id", "brand_code", clean_quantity().alias("q"))
+        .groupBy("receipt_id", "brand_code")
+        .agg(F.sum("q").alias("q"))
+    )
+    b = brands.select("brand_code", attribute)
+    return (
+        per_pair.join(r, "receipt_id")
+        .join(b, "brand_code")
+        .groupBy(attribute, "status")
+        .agg(F.sum("q").alias("total_items"))
+    )

@@ -28,6 +28,7 @@ from tillroll.operators.status import (
     FINISHED_AND_REJECTED,
     item_totals_by_status,
     item_totals_with_fallback,
+    status_totals_by_brand_attribute,
     status_totals_by_month,
 )
 from tillroll.operators.upsert import latest_per_key
@@ -287,6 +288,11 @@ def status_totals_by_month_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_totals_by_month(t.receipts, t.items, FINISHED_AND_REJECTED)
 
 
+def status_totals_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return status_totals_by_brand_attribute(t.receipts, t.items, t.brands, "category", FINISHED_AND_REJECTED)
+
+
 def item_totals_with_fallback_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     return item_totals_with_fallback(t.receipts, t.items, FINISHED_AND_REJECTED)
@@ -370,6 +376,7 @@ QUERIES: dict[str, Query] = {
     # extensions
     "top_brands_latest_month": top_brands_latest_month,
     "status_totals_by_month": status_totals_by_month_q,
+    "status_totals_by_category": status_totals_by_category,
     "item_totals_with_fallback": item_totals_with_fallback_q,
     "receipts_without_brands": receipts_without_brands_q,
     "missing_months": missing_months,
