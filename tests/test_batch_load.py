@@ -121,3 +121,21 @@ def test_bucketed_catalog_tables_join_without_shuffle(spark, scratch):
         assert "SortMergeJoin" in text and "Exchange" not in text, text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sql_over_registered_tables(spark, scratch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    _sources(src)
+    out = os.path.join(scratch, "out")
+    load_all(spark, src, out)
+    LoadedTables.from_dir(spark, out).register("loaded_")
+    rows = spark.sql(
+        """
+        select r.status, sum(coalesce(i.quantity_purchased, i.user_flagged_quantity)) as total_items
+        from loaded_receipts r join loaded_items i on i.receipt_id = r.id
+        where r.status in ('FINISHED', 'REJECTED')
+        group by r.status
+        """
+    ).collect()
+    assert {r.status: r.total_items for r in rows} == {"FINISHED": 3, "REJECTED": 1}

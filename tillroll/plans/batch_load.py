@@ -117,6 +117,11 @@ class LoadedTables:
     users: DataFrame
     brands: DataFrame
 
+    def register(self, prefix: str = "") -> None:
+        """Temp views ``receipts``, ``items``, ``users``, ``brands`` for Spark SQL."""
+        for name in ("receipts", "items", "users", "brands"):
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str) -> "LoadedTables":
         """The tables written by :func:`load_all` with ``database``."""
