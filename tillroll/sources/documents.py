@@ -99,9 +99,11 @@ def _field(schema: StructType, path: str, dtype: DataType) -> Column:
     ``schema`` is the documents' schema, fetched once by the caller (each
     ``DataFrame.schema`` call is a round trip to the JVM).
     """
+    # Casting by type name is one JVM call; a DataType object is serialised
+    # through the JVM first.
     if _has(schema, path):
-        return F.col(path).cast(dtype)
-    return F.lit(None).cast(dtype)
+        return F.col(path).cast(dtype.simpleString())
+    return F.lit(None).cast(dtype.simpleString())
 
 
 def _date(schema: StructType, field: str) -> Column:

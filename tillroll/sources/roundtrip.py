@@ -113,13 +113,14 @@ def receipt_documents(
         item_col = F.col("item_list")
     else:
         item_col = F.lit(None)
+    created = _date(F.col("create_date"))
     doc = F.struct(
         _oid(F.col("id")).alias("_id"),
         F.col("user_id").cast("string").alias("userId"),
         F.col("status").alias("rewardsReceiptStatus"),
-        _date(F.col("create_date")).alias("createDate"),
-        _date(F.col("create_date")).alias("dateScanned"),
-        _date(F.col("create_date")).alias("modifyDate"),
+        created.alias("createDate"),
+        created.alias("dateScanned"),
+        created.alias("modifyDate"),
         F.col("purchased_item_count").alias("purchasedItemCount"),
         item_col.alias("rewardsReceiptItemList"),
     )
