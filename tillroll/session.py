@@ -75,8 +75,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure ``checkpoint()`` has a directory and return it.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is used
-    as is. Only when nothing is configured (local tests) a fresh scratch
-    folder is created.
+    as is. Only a local-mode session with nothing configured (tests) gets a
+    fresh scratch folder; on a cluster a machine-local folder would not be
+    visible to the executors, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,6 +85,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
