@@ -12,6 +12,7 @@ The settings below are the ones the queries in this package rely on:
   (``autoBroadcastJoinThreshold`` on the estimated size when planning, and the
   adaptive threshold on the measured shuffle size at run time); no query in
   this package forces a broadcast of a table whose size grows with the data;
+* checkpoint files are removed by Spark's cleaner once unreferenced;
 * the Spark UI is off.
 
 On a cluster the launcher's configuration wins: :func:`get_session` only fills
@@ -38,6 +39,8 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Delete reliable-checkpoint files once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
