@@ -139,3 +139,19 @@ def test_sql_over_registered_tables(spark, scratch):
         """
     ).collect()
     assert {r.status: r.total_items for r in rows} == {"FINISHED": 3, "REJECTED": 1}
+
+
+def test_command_line(spark, scratch, capsys):
+    from tillroll.__main__ import main
+
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    _sources(src)
+    out = os.path.join(scratch, "cli-out")
+    assert main(["load", src, out]) == 0
+    assert "rewards_receipt_items" in capsys.readouterr().out
+    assert spark.read.parquet(os.path.join(out, "rewards_receipt_items")).count() == 3
+    assert main(["list"]) == 0
+    assert "top_brands_by_month" in capsys.readouterr().out
+    assert main(["query", "distinct_status", "/root/testdata/sf0.001", "--show", "5"]) == 0
+    assert "FINISHED" in capsys.readouterr().out
