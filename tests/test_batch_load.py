@@ -155,3 +155,18 @@ def test_command_line(spark, scratch, capsys):
     assert "top_brands_by_month" in capsys.readouterr().out
     assert main(["query", "distinct_status", "/root/testdata/sf0.001", "--show", "5"]) == 0
     assert "FINISHED" in capsys.readouterr().out
+
+
+def test_stage_is_removed_after_the_load(spark, scratch):
+    from tillroll.sources.sinks import stage, stage_path
+
+    probe = stage(spark.range(3), "probe")
+    path = stage_path(probe)
+    assert path and path.rstrip("/").split("/")[-2] == "tillroll-stage"
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    _sources(src)
+    before = set(os.listdir(path.replace("file:", "").rsplit("/", 1)[0]))
+    load_all(spark, src, os.path.join(scratch, "out"))
+    after = set(os.listdir(path.replace("file:", "").rsplit("/", 1)[0]))
+    assert after == before  # the load's own stage folder is gone again

@@ -25,7 +25,7 @@ from tillroll.sources.documents import (
     load_users,
     read_documents,
 )
-from tillroll.sources.sinks import stage, write_table
+from tillroll.sources.sinks import remove_path, stage, stage_path, write_table
 
 SOURCES = {"brands": "brands.json", "users": "users.json", "receipts": "receipts.json"}
 TABLE_NAMES = ("brands", "users", "receipts", "rewards_receipt_items")
@@ -66,6 +66,7 @@ def load_all(
     drop_missing_id: bool = False,
     database: str | None = None,
     receipt_buckets: int | None = None,
+    keep_stage: bool = False,
 ) -> dict[str, str]:
     """Load the three sources and write the four tables; returns name -> target.
 
@@ -77,7 +78,9 @@ def load_all(
 
     ``on_missing="empty"`` writes an empty table (with its columns) for a
     missing source file; ``on_corrupt`` is passed to
-    :func:`tillroll.sources.documents.read_documents`.
+    :func:`tillroll.sources.documents.read_documents`. The staged parse of
+    the receipt documents is removed once the tables are written, unless
+    ``keep_stage``.
     """
     if (target_dir is None) == (database is None):
         raise ValueError("give exactly one of target_dir and database")
@@ -105,6 +108,9 @@ def load_all(
         else:
             spec = (receipt_buckets, buckets[name]) if receipt_buckets and name in buckets else None
             out[name] = write_table(df, f"{database}.{name}", format=format, as_table=True, bucket_by=spec)
+    staged = stage_path(receipts_docs)
+    if staged and not keep_stage:
+        remove_path(spark, staged)
     return out
 
 

@@ -60,6 +60,24 @@ def write_table(
     return target
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` (recursively) through the Hadoop FileSystem of the session."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.delete(jpath, True))
+
+
+def stage_path(df: DataFrame) -> str | None:
+    """The folder a DataFrame returned by :func:`stage` reads, else None."""
+    files = df.inputFiles()
+    marker = "/tillroll-stage/"
+    for f in files:
+        if marker in f:
+            head, tail = f.split(marker, 1)
+            return head + marker + tail.split("/", 1)[0]
+    return None
+
+
 def stage(df: DataFrame, name: str = "stage", format: str = "parquet") -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
