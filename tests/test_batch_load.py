@@ -170,3 +170,13 @@ def test_stage_is_removed_after_the_load(spark, scratch):
     load_all(spark, src, os.path.join(scratch, "out"))
     after = set(os.listdir(path.replace("file:", "").rsplit("/", 1)[0]))
     assert after == before  # the load's own stage folder is gone again
+
+
+def test_jdbc_sink_reaches_the_jdbc_writer(spark):
+    import pytest
+
+    # No driver accepts this URL, so nothing is contacted; the error shows the
+    # write went to Spark's JDBC data source.
+    with pytest.raises(Exception) as err:
+        write_table(spark.range(1), "t", jdbc_url="jdbc:tillroll-none:x", jdbc_properties={"user": "u"})
+    assert "driver" in str(err.value).lower()

@@ -149,3 +149,44 @@ def test_truncation_ignores_session_zone(spark):
         assert results[0][0][5] == rows[0][0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_truncation_and_epoch_match_python(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    stamps = st.lists(
+        st.datetimes(min_value=dt.datetime(1970, 1, 1), max_value=dt.datetime(2100, 1, 1)).map(
+            lambda d: d.replace(microsecond=(d.microsecond // 1000) * 1000)
+        ),
+        min_size=1,
+        max_size=25,
+    )
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(values=stamps)
+    def check(values):
+        before = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        try:
+            df = spark.createDataFrame([(v,) for v in values], "t timestamp_ntz")
+            rows = df.select(
+                "t",
+                dates.month_start("t").alias("m"),
+                dates.day_start("t").alias("d"),
+                dates.hour_start("t").alias("h"),
+                dates.ts_to_epoch_millis("t").alias("ms"),
+                dates.epoch_millis_to_ts(dates.ts_to_epoch_millis("t")).alias("back"),
+            ).collect()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+        epoch = dt.datetime(1970, 1, 1)
+        for r in rows:
+            t = r.t
+            assert r.m == t.replace(day=1, hour=0, minute=0, second=0, microsecond=0)
+            assert r.d == t.replace(hour=0, minute=0, second=0, microsecond=0)
+            assert r.h == t.replace(minute=0, second=0, microsecond=0)
+            assert r.ms == (t - epoch) // dt.timedelta(milliseconds=1)
+            assert r.back == t
+
+    check()
