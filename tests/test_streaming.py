@@ -53,6 +53,8 @@ def test_stream_upsert_keeps_latest(spark, scratch):
     # re-running with nothing new changes nothing
     run()
     assert read_latest(spark, target).count() == 3
+    typed = read_latest(spark, target, load_users(spark.createDataFrame([], S.USER)).schema)
+    assert sorted(r.id for r in typed.collect()) == ["u1", "u2", "u3"]
 
 
 def test_latest_per_key_ties_and_nulls(spark):

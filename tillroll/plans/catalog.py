@@ -339,7 +339,7 @@ def latest_event_per_user_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_target(spark, "latest-event-per-user")
     query = start_upsert_stream(stream, target, "user_id", "ts", tie_breakers=("event_id",))
     query.awaitTermination()
-    return read_latest(spark, target)
+    return read_latest(spark, target, TABLE_SCHEMAS["events"])
 
 
 QUERIES: dict[str, Query] = {

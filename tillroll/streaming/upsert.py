@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tillroll.operators.upsert import latest_per_key, merge_latest
 from tillroll.session import ensure_checkpoint_dir
@@ -50,11 +50,17 @@ def upsert_batch(
     key: str | Sequence[str],
     order_col: str,
     tie_breakers: Sequence[str] = (),
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> None:
-    """Merge one batch of records into the bucketed latest-per-key table."""
+    """Merge one batch of records into the bucketed latest-per-key table.
+
+    ``buckets`` defaults to ``spark.sql.shuffle.partitions`` (sized to the
+    cluster); it must stay the same for the life of a target table.
+    """
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
+    if buckets is None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     changes = batch.withColumn(BUCKET, bucket_of(key, buckets))
     # The touched buckets: at most ``buckets`` small integers.
     touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
@@ -67,8 +73,11 @@ def upsert_batch(
         merged = merge_latest(current, changes, key, order_col, tie_breakers).checkpoint(eager=True)
     else:
         merged = latest_per_key(changes, key, order_col, tie_breakers)
+    # One row per key after the merge, so hashing by bucket is balanced even
+    # when a key had a third of the versions; each bucket becomes one file.
     (
-        merged.write.mode("overwrite")
+        merged.repartition(BUCKET)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(target_dir)
@@ -82,7 +91,7 @@ def start_upsert_stream(
     order_col: str,
     checkpoint_location: str | None = None,
     tie_breakers: Sequence[str] = (),
-    buckets: int = 64,
+    buckets: int | None = None,
     available_now: bool = True,
     transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
@@ -93,6 +102,9 @@ def start_upsert_stream(
     there and stops; otherwise it keeps running on new files.
     """
     spark = stream.sparkSession
+    if buckets is None:
+        # Fixed when the stream starts, so every micro-batch uses the same layout.
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if checkpoint_location is None:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         checkpoint_location = f"{base}/tillroll-streams/{uuid.uuid4().hex}"
@@ -117,9 +129,17 @@ def document_stream(
     return spark.readStream.schema(schema).options(**(options or {})).format(format).load(source_dir)
 
 
-def read_latest(spark: SparkSession, target_dir: str) -> DataFrame:
-    """The upserted table without its bucket column."""
-    return spark.read.parquet(target_dir).drop(BUCKET)
+def read_latest(spark: SparkSession, target_dir: str, schema: StructType | str | None = None) -> DataFrame:
+    """The upserted table without its bucket column.
+
+    With ``schema`` (the record schema) no footers are read to infer it.
+    """
+    reader = spark.read
+    if isinstance(schema, str):
+        reader = reader.schema(f"{schema}, {BUCKET} int")
+    elif schema is not None:
+        reader = reader.schema(StructType(schema.fields + [StructField(BUCKET, IntegerType())]))
+    return reader.parquet(target_dir).drop(BUCKET)
 
 
 def scratch_target(spark: SparkSession, name: str) -> str:
