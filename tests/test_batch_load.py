@@ -180,3 +180,21 @@ def test_jdbc_sink_reaches_the_jdbc_writer(spark):
     with pytest.raises(Exception) as err:
         write_table(spark.range(1), "t", jdbc_url="jdbc:tillroll-none:x", jdbc_properties={"user": "u"})
     assert "driver" in str(err.value).lower()
+
+
+def test_item_dates_prune_the_item_scan(spark, scratch):
+    from tillroll.operators.brands import brand_receipts_by_month
+    from tillroll.plans.inspect import pushed_filters
+
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    _sources(src)
+    out = os.path.join(scratch, "out")
+    load_all(spark, src, out)
+    t = LoadedTables.from_dir(spark, out)
+    assert "receipt_create_date" in t.items.columns
+    plain = brand_receipts_by_month(t.receipts, t.items, t.brands, "2021-02-01", "2021-03-01")
+    pruned = brand_receipts_by_month(t.receipts, t.items, t.brands, "2021-02-01", "2021-03-01", prune_items_by_date=True)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, pruned.collect()))
+    assert len(plain.collect()) == 2
+    assert any("receipt_create_date" in f for f in pushed_filters(pruned))

@@ -55,9 +55,16 @@ def brand_receipts_by_month(
     start: TimeBound = None,
     end: TimeBound = None,
     k: int = 5,
+    prune_items_by_date: bool = False,
 ) -> DataFrame:
     """Distinct receipts per (month, brand), dense-ranked per month, rank <= k.
 
+    ``prune_items_by_date=True`` also applies the window to the items'
+    ``receipt_create_date`` (tables from :func:`tillroll.plans.batch_load.load_all`).
+    That is exact when receipt ids are unique, as the item date then equals
+    the joined receipt's date; with duplicate ids carrying different dates,
+    leave it off.
+
     ``start``/``end`` bound the receipt creation time (start inclusive, end
     exclusive). Because the month is the window's partition key, restricting
     the months before ranking gives the same ranks as ranking every month and
@@ -66,6 +73,11 @@ def brand_receipts_by_month(
     Columns: month, brand_name, total_receipts, rank.
     """
     r = _window(receipts.select(F.col("id").alias("receipt_id"), "create_date"), "create_date", start, end)
+    if prune_items_by_date:
+        # Loaded items carry their receipt's creation time. With unique receipt
+        # ids the same window on it changes nothing in the result, and it lets
+        # the item scan skip row groups.
+        items = _window(items, "receipt_create_date", start, end)
     pairs = (
         items.select("receipt_id", "brand_code")
         .where(F.col("brand_code").isNotNull())

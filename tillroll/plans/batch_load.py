@@ -104,10 +104,12 @@ def load_all(
     out = {}
     for name, df in tables.items():
         if database is None:
+            # Row groups sorted by creation time carry tight min/max values, so
+            # date-window filters pushed into the reader skip most of them.
             if name == "receipts":
-                # Row groups sorted by creation time carry tight min/max values,
-                # so date-window filters pushed into the reader skip most of them.
                 df = df.sortWithinPartitions("create_date")
+            elif name == "rewards_receipt_items":
+                df = df.sortWithinPartitions("receipt_create_date")
             out[name] = write_table(df, f"{target_dir.rstrip('/')}/{name}", format=format)
         else:
             spec = (receipt_buckets, buckets[name]) if receipt_buckets and name in buckets else None

@@ -130,12 +130,14 @@ def load_receipts(docs: DataFrame, drop_missing_id: bool = False) -> DataFrame:
     )
 
 
-def load_items(docs: DataFrame, strip_dollar: bool = True) -> DataFrame:
+def load_items(docs: DataFrame, strip_dollar: bool = True, receipt_date: bool = True) -> DataFrame:
     """Receipt documents to the items table (one row per listed item).
 
     ``strip_dollar`` removes a leading ``$`` from price text before the
     lenient DOUBLE parse; ``False`` parses the text as is (``'$1.50'`` gives
-    NULL).
+    NULL). With ``receipt_date`` each item also carries its receipt's
+    creation time as ``receipt_create_date`` (read from the same document, no
+    join), so date windows can be applied to the item scan itself.
     """
     sch = docs.schema
     rid = _field(sch, "_id.$oid", StringType())
@@ -147,6 +149,7 @@ def load_items(docs: DataFrame, strip_dollar: bool = True) -> DataFrame:
     items_of_valid = F.when(rid.isNotNull() & (rid != ""), F.col("rewardsReceiptItemList"))
     exploded = docs.select(
         rid.alias("receipt_id"),
+        _date(sch, "createDate").alias("_receipt_date"),
         F.posexplode(items_of_valid).alias("_pos", "_item"),
     )
     numeric = set(S.ITEM_NUMERIC_TEXT_FIELDS)
@@ -157,7 +160,8 @@ def load_items(docs: DataFrame, strip_dollar: bool = True) -> DataFrame:
         else _field(item_sch, f"_item.{f.name}", f.dataType).alias(S.snake_case(f.name))
         for f in S.ITEM.fields
     ]
-    return exploded.select("receipt_id", (F.col("_pos") + 1).alias("line_no"), *cols)
+    extra = [F.col("_receipt_date").alias("receipt_create_date")] if receipt_date else []
+    return exploded.select("receipt_id", (F.col("_pos") + 1).alias("line_no"), *cols, *extra)
 
 
 def load_users(docs: DataFrame) -> DataFrame:
