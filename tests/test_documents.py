@@ -167,3 +167,14 @@ def test_inferred_schema_loads_like_declared(spark, scratch):
     brands = _write(scratch, "brands.json", BRANDS)
     got = sorted(map(tuple, load_brands(read_documents(spark, brands, None)).collect()), key=repr)
     assert got == sorted(map(tuple, load_brands(read_documents(spark, brands, S.BRAND)).collect()), key=repr)
+
+
+def test_gzip_json_lines(spark, scratch):
+    import gzip
+
+    path = os.path.join(scratch, "receipts.json.gz")
+    with gzip.open(path, "wt") as f:
+        f.write("\n".join(json.dumps(d) for d in RECEIPTS))
+    docs = read_documents(spark, path, S.RECEIPT, multiline=False)
+    plain = read_documents(spark, _write(scratch, "plain.json", RECEIPTS), S.RECEIPT)
+    assert sorted(map(tuple, load_items(docs).collect())) == sorted(map(tuple, load_items(plain).collect()))
