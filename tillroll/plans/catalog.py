@@ -117,6 +117,13 @@ def receipt_totals_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def receipt_share_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return audit.totals_by(
+        t.receipts, "status", "purchased_item_count", FINISHED_AND_REJECTED, total_name="total_items", share_name="share"
+    )
+
+
 def item_rows_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     return audit.rows_by_parent_key(
@@ -357,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "clean_items": clean_items_q,
     "user_date_range": user_date_range,
     "receipt_totals_by_status": receipt_totals_by_status,
+    "receipt_share_by_status": receipt_share_by_status,
     "brand_code_saturation": brand_code_saturation,
     "receipts_with_items": receipts_with_items,
     "quantity_mismatch": quantity_mismatch,
