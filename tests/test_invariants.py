@@ -46,12 +46,14 @@ def test_ratios_are_shares(spark):
         "items_saturation_window": "rewards_items_saturation",
         "brand_code_presence": "share",
         "item_share_by_status": "share",
+        "receipt_share_by_status": "share",
     }
     for name, col in checks.items():
         values = [r[col] for r in QUERIES[name](spark, SF01).collect()]
         assert values and all(0.0 <= v <= 1.0 for v in values), name
-    shares = [r.share for r in QUERIES["item_share_by_status"](spark, SF01).collect()]
-    assert abs(sum(shares) - 1.0) < 1e-12
+    for name in ("item_share_by_status", "receipt_share_by_status"):
+        shares = [r.share for r in QUERIES[name](spark, SF01).collect()]
+        assert abs(sum(shares) - 1.0) < 1e-12, name
 
 
 def test_item_rows_equal_list_sizes(spark):
