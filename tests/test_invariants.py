@@ -94,3 +94,40 @@ def test_coverage_property(spark, left, right):
     hits = {k for k, f in right if k is not None and f}
     assert (got.total, got.matched) == (len(keys), len(keys & hits))
     assert got.share == (len(keys & hits) / len(keys) if keys else None)
+
+
+groups = st.lists(
+    st.tuples(st.integers(0, 3), st.text("abcdef", min_size=1, max_size=2), st.one_of(st.none(), st.integers(0, 6))),
+    max_size=40,
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=groups, k=st.integers(1, 4))
+def test_top_k_dense_property(spark, rows, k):
+    from tillroll.operators.rank import top_k_dense
+
+    df = spark.createDataFrame(rows, "g int, name string, v int")
+    key = lambda t: (t[0], t[1], -1 if t[2] is None else t[2], t[3])
+    got = sorted(((r.g, r.name, r.v, r.rank) for r in top_k_dense(df, ["g"], "v", k).collect()), key=key)
+    expect = []
+    for g in {r[0] for r in rows}:
+        values = [r[2] for r in rows if r[0] == g]
+        order = ([None] if None in values else []) + sorted({v for v in values if v is not None}, reverse=True)
+        rank_of = {v: i + 1 for i, v in enumerate(order)}
+        expect += [(g, n, v, rank_of[v]) for gg, n, v in rows if gg == g and rank_of[v] <= k]
+    assert got == sorted(expect, key=key)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(months=st.sets(st.integers(0, 40), min_size=1, max_size=15))
+def test_month_gaps_property(spark, months):
+    import datetime as dt
+
+    def month(i):
+        return dt.datetime(2019 + i // 12, i % 12 + 1, 1)
+
+    df = spark.createDataFrame([(month(i) + dt.timedelta(days=3),) for i in months], "t timestamp_ntz")
+    got = sorted(r.month for r in audit.month_gaps(df, "t").collect())
+    expect = [month(i) for i in range(min(months), max(months) + 1) if i not in months]
+    assert got == expect
