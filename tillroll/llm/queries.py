@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, curriculum, line_rules, minhash, repair, repeats
+from tillroll.llm import blocks, bpe, covertree, curriculum, language, line_rules, minhash, repair, repeats, toxicity
 from tillroll.llm.common import read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,43 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of each document without repeated 100-byte strings."""
     return repeats.digests(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document."""
+    return toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, by its labelled spans."""
+    return language.languages(read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return blocks.main_texts(read(spark, sf_dir, "pages"))
+
+
+@query
+def op1_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows of each query vector by integer inner product."""
+    return covertree.top_k(read(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_dual_tree_search"] = """
+WITH parts AS (
+    SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+), ints AS (
+    SELECT vec_id, list(CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) ORDER BY i) AS v
+    FROM parts GROUP BY vec_id HAVING count(*) = count(x) AND bool_and(isfinite(CAST(x AS DOUBLE)))
+), pairs AS (
+    SELECT q.vec_id AS query_id, r.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(r.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM ints q JOIN ints r ON q.vec_id % 20 = 0 AND r.vec_id <> q.vec_id
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
