@@ -4,31 +4,30 @@ A byte goes if some string of ``LENGTH`` bytes that covers it also starts
 earlier (in a document of a smaller id, or at an earlier place of the same
 one). Strings never cross documents.
 
-Prefix doubling ranks positions by their first h bytes, then by rank pairs at
-growing offsets, until a position's rank is unique or the threshold length is
+Prefix doubling ranks positions by their first h bytes and goes on, with longer
+and longer h, until a position's rank is unique or the threshold length is
 passed. Sorting every byte position would shuffle over ten times the input in
-each round, so the rounds run on *sampled* positions and on as few of them as
-the ranks so far leave:
-
-1. *Sample.* In each string of ``LENGTH`` bytes the one of its ``SEED`` -byte
-   strings with the smallest hash (the first of them) is its anchor. Equal strings have equal
-   anchors, and neighbouring strings mostly share one, so the strings fall
-   into *runs* with a common anchor, 3 for each 100 bytes.
-2. *First rank:* the anchor's ``SEED`` bytes. Runs whose rank is unique hold
-   no repeated string and drop out.
-3. *Second rank:* (first rank, all bytes that the run's strings cover), past
-   the threshold. Of equal runs the earliest represents the rest; the others
-   are repeats from end to end, as intervals.
-4. *Last rank:* only where representatives share a first rank but differ as a
-   whole, their strings are ranked one by one, as (first rank, ``LENGTH``
-   bytes). Every string that isn't the first of its rank is a repeat.
-
-Every first occurrence lies in a representative, so step 4 finds exactly the
-repeats that step 3 left. Ranks are equality classes, named by 64-bit hashes
-of the bytes (in pairs with a second hash), not their places in a sorted
-order, which the result doesn't need. Counting and finding the smallest
-position of a rank are pre-aggregated, and runs come back to their rank by an
-equi-join, so one passage in a third of all documents is split over tasks.
+each round, so a round ranks *sampled* positions, and later rounds only look at
+strings that the ranks so far leave open:
+
+1. *Sample.* In each ``LENGTH``-byte string the one of its h-byte strings with
+   the smallest hash (the first of them) is its anchor. Equal strings have
+   equal anchors, and neighbouring strings mostly share one, so the strings
+   fall into *runs* with a common anchor: 3 for each 100 bytes where h is 32.
+2. *Rank by h bytes.* Runs whose anchor is unique hold no repeated string.
+3. *Rank pair* (anchor, all bytes that the run's strings cover), past the
+   threshold. Of equal runs the earliest represents the rest; the others are
+   repeats from end to end.
+4. *Next round.* Where representatives share an anchor but differ as a whole,
+   their strings go on to the next h. At h = ``LENGTH`` a run is one string, its
+   anchor is the string itself, and no string stays open.
+
+Every first occurrence lies in a representative, so each round finds exactly
+the repeats that the rounds before left. Ranks are equality classes, named by
+64-bit hashes of the bytes (in pairs with a second hash), not places in a
+sorted order, which the result doesn't need. Counts and smallest positions of a
+rank are pre-aggregated, and runs come back to their rank by an equi-join, so
+one passage in a third of all documents is split over tasks.
 
 Defined results: a null or empty text has 0 bytes; texts under ``LENGTH``
 bytes stay; rows that repeat an id share its positions and stay or go alike;
@@ -38,6 +37,7 @@ empty result. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -50,7 +50,8 @@ from tillroll.llm.common import fresh, written
 from tillroll.llm.hashing import Rolling, batches
 
 LENGTH = 100
-SEED = 32
+#: Anchor lengths of the rounds; the last one is LENGTH.
+ROUNDS = (32, 84, LENGTH)
 #: Bytes of text that are hashed together.
 BATCH_BYTES = 1 << 20
 
@@ -65,40 +66,57 @@ def _smallest_from(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:m], ahead[width - 1 : width - 1 + m])
 
 
-def runs(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text, start, strings, first rank, second rank) of all runs: which text,
-    where its first string starts, and how many strings it has."""
+Places = tuple[np.ndarray, np.ndarray]  # starts and lengths of runs
+
+
+def runs(texts: list[bytes], h: int, listed: list[Places] | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, start, strings, rank by h bytes, second rank) of all runs: which
+    text, where its first string starts, how many strings it has. Only strings
+    that start in the places ``listed`` for their text count (None: all)."""
     long = [i for i, t in enumerate(texts) if len(t) >= LENGTH]
     for first, last in batches([len(texts[i]) for i in long], BATCH_BYTES):
-        part = [texts[i] for i in long[first:last]]
+        chosen = long[first:last]
+        part = [texts[i] for i in chosen]
         data = np.frombuffer(b"".join(part), np.uint8)
         ends = np.cumsum([len(t) for t in part])
         starts = ends - [len(t) for t in part]
+        change = np.zeros(len(data) + 1, np.int32)
+        if listed is None:
+            np.add.at(change, starts, 1)
+            np.add.at(change, ends - LENGTH + 1, -1)
+        else:
+            for i, at in zip(chosen, starts):
+                np.add.at(change, at + listed[i][0], 1)
+                np.add.at(change, at + listed[i][0] + listed[i][1], -1)
         rolling = Rolling(data, 1)
-        seeds = rolling.windows(SEED)
-        least = _smallest_from(seeds, LENGTH - SEED + 1)
+        seeds = rolling.windows(h)
+        least = _smallest_from(seeds, LENGTH - h + 1)
+        inside = np.cumsum(change)[: len(least)] > 0
         # The next string has another anchor if the smallest value changes, or
         # if it was at this string's very start (and may come again later).
         new = np.empty(len(least), bool)
-        new[1:] = (least[1:] != least[:-1]) | (seeds[: len(least) - 1] == least[:-1])
+        new[1:] = (least[1:] != least[:-1]) | (seeds[: len(least) - 1] == least[:-1]) | (inside[1:] != inside[:-1])
         new[starts] = True
-        over = ends[:-1] - LENGTH + 1  # first string that would cross a border
-        new[over] = True
         begin = np.flatnonzero(new)
         count = np.diff(np.append(begin, len(least)))
+        open_ = inside[begin]
+        begin, count = begin[open_], count[open_]
         text = np.searchsorted(ends, begin, side="right")
-        inside = begin + LENGTH <= ends[text]
-        begin, count, text = begin[inside], count[inside], text[inside]
         whole = Rolling(data, 2).names(begin, begin + count + LENGTH - 1)
-        yield np.array(long[first:last])[text], begin - starts[text], count, least[begin], whole
+        yield np.array(chosen)[text], begin - starts[text], count, least[begin], whole
 
 
-def _runs(named: DataFrame) -> DataFrame:
+def _runs(texts: DataFrame, h: int) -> DataFrame:
+    """The runs of (id, text), or of (id, text, runs) with the runs listed."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             ids = part.column(0).to_numpy()
-            texts = [(t or "").encode() for t in part.column(1).to_pylist()]
-            for text, start, count, seed, whole in runs(texts):
+            source = [(t or "").encode() for t in part.column(1).to_pylist()]
+            listed = None
+            if part.num_columns > 2:
+                listed = [_places(part.column(2)[i]) for i in range(part.num_rows)]
+            for text, start, count, seed, whole in runs(source, h, listed):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(seed.view(np.int64)),
@@ -110,106 +128,67 @@ def _runs(named: DataFrame) -> DataFrame:
                     ["seed", "whole", "id", "start", "n"],
                 )
 
-    return named.mapInArrow(run, "seed long, whole long, id long, start int, n int")
+    return texts.mapInArrow(run, "seed long, whole long, id long, start int, n int")
 
 
-def _strings(texts: DataFrame) -> DataFrame:
-    """(name, name2, id, at) of every string of the runs listed with a text."""
+def _by_text(rows: DataFrame, name: str) -> DataFrame:
+    """(_id, runs): the runs (start, n) of each document, in one array."""
+    return rows.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("start", "n")).alias(name))
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            ids, texts, listed = (part.column(c) for c in ("id", "text", "runs"))
-            for i in range(part.num_rows):
-                doc = ids[i].as_py()
-                data = np.frombuffer(texts[i].as_py().encode(), np.uint8)
-                start, n = (_numbers(listed[i].values.field(f)) for f in (0, 1))
-                at = np.concatenate([np.arange(a, a + k) for a, k in zip(start, n)])
-                names = [Rolling(data, seed).names(at, at + LENGTH).view(np.int64) for seed in (1, 2)]
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, names), pa.array(np.full(len(at), doc)), pa.array(at.astype(np.int32))],
-                    ["name", "name2", "id", "at"],
-                )
 
-    return texts.mapInArrow(run, "name long, name2 long, id long, at int")
-
-
-def _positions(rows: DataFrame, id_column: str, kind: str) -> DataFrame:
-    return rows.groupBy(F.col(id_column).alias("_id")).agg(F.collect_list(F.struct("start", "n")).alias(kind))
-
-
-def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What to remove from each document, three frames of (_id, array):
-    ``whole``: runs (start, n) that are repeats; ``mixed``: runs whose strings
-    were ranked one by one; ``firsts``: the places of strings in mixed runs
-    that are the first of their rank."""
-    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = _runs(named)
-    twice = found.groupBy("seed").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("seed")
-    shared = written(found.join(twice, "seed"), "repeat-runs")
-    place = F.struct("id", "start")
-    classes = written(shared.groupBy("seed", "whole", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")), "repeat-classes")
-    whole = written(
-        shared.join(classes.where("c > 1").select("seed", "whole", "n", "first"), ["seed", "whole", "n"])
-        .where(place > F.col("first"))
-        .select("id", "start", "n"),
-        "repeat-whole",
-    )
-    several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed")
-    mixed = written(
-        _positions(
-            classes.join(several, "seed", "left_semi").select(F.col("first.id").alias("id"), F.col("first.start").alias("start"), "n"),
-            "id",
-            "runs",
-        ),
-        "repeat-mixed",
-    )
-    one = named.join(mixed, named["id"] == mixed["_id"]).select("id", "text", "runs")
-    ranked = _strings(one).groupBy("name", "name2").agg(F.min(F.struct("id", "at")).alias("first"))
-    firsts = written(ranked.select(F.col("first.id").alias("id"), F.col("first.at").alias("at")), "repeat-firsts")
-    return (
-        _positions(whole, "id", "whole"),
-        mixed.withColumnRenamed("runs", "mixed"),
-        firsts.groupBy(F.col("id").alias("_id")).agg(F.collect_list("at").alias("firsts")),
+def repeats(docs: DataFrame) -> DataFrame:
+    """(id, start, n): runs of n strings, from a start on, that are repeats."""
+    named = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")
     )
+    found, results = _runs(named, ROUNDS[0]), []
+    for h, following in zip(ROUNDS, (*ROUNDS[1:], None)):
+        ranks = found.groupBy("seed").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("seed")
+        shared = written(found.join(ranks, "seed"), f"repeat-runs-{h}")
+        place = F.struct("id", "start")
+        classes = written(
+            shared.groupBy("seed", "whole", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")),
+            f"repeat-classes-{h}",
+        )
+        copied = classes.where("c > 1").select("seed", "whole", "n", "first")
+        results.append(
+            written(
+                shared.join(copied, ["seed", "whole", "n"]).where(place > F.col("first")).select("id", "start", "n"),
+                f"repeat-found-{h}",
+            )
+        )
+        if following is None:
+            return functools.reduce(DataFrame.union, results)
+        several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed")
+        left = classes.join(several, "seed", "left_semi").select("first.id", "first.start", "n")
+        listed = _by_text(left, "runs")
+        texts = named.join(listed, named["id"] == listed["_id"]).select("id", "text", "runs")
+        found = written(_runs(texts, following), f"repeat-open-{following}")
 
 
 def _numbers(values: pa.Array) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _covered(size: int, whole: pa.Scalar, mixed: pa.Scalar, firsts: pa.Scalar) -> np.ndarray | None:
+def _places(listed: pa.Scalar) -> Places:
+    return _numbers(listed.values.field(0)), _numbers(listed.values.field(1))
+
+
+def _covered(size: int, found: pa.Scalar) -> np.ndarray | None:
     """Which bytes of a text of ``size`` bytes go (None: none)."""
-    if not (whole.is_valid or mixed.is_valid):
+    if not found.is_valid:
         return None
+    start, n = _places(found)
     change = np.zeros(size + 1, np.int32)
-
-    def strings_of(runs: pa.Scalar) -> np.ndarray:
-        change[:] = 0
-        if runs.is_valid:
-            start, n = (_numbers(runs.values.field(f)) for f in (0, 1))
-            np.add.at(change, start, 1)
-            np.add.at(change, start + n, -1)
-        return np.cumsum(change) > 0
-
-    starts = strings_of(mixed)  # strings that are repeats, by start
-    if firsts.is_valid:
-        starts[_numbers(firsts.values)] = False
-    at = np.flatnonzero(starts | strings_of(whole))
-    edge = np.zeros(size + LENGTH + 1, np.int32)
-    edge[at] += 1
-    edge[at + LENGTH] -= 1
-    return np.cumsum(edge)[:size] > 0
+    np.add.at(change, start, 1)
+    np.add.at(change, start + n + LENGTH - 1, -1)
+    return np.cumsum(change)[:size] > 0
 
 
 def _with_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the three arrays, named by the last three columns."""
-    names = [fresh(docs, f"_{x}") for x in ("whole", "mixed", "firsts")]
-    out = docs
-    parts = None
-    for frame, name in zip(repeats(docs), names):
-        frame = frame.withColumnRenamed(frame.columns[1], name)
-        parts = frame if parts is None else parts.join(frame, "_id", "full")
-    return out.join(parts, out["doc_id"].cast("long") == parts["_id"], "left").drop("_id")
+    """``docs`` and, as its last column, the runs that are repeats."""
+    found = _by_text(repeats(docs), fresh(docs, "_found"))
+    return docs.join(found, docs["doc_id"].cast("long") == found["_id"], "left").drop("_id")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -220,7 +199,7 @@ def digests(docs: DataFrame) -> DataFrame:
             out = []
             for i in range(part.num_rows):
                 data = np.frombuffer((part.column(1)[i].as_py() or "").encode(), np.uint8)
-                gone = _covered(len(data), *(part.column(c)[i] for c in (2, 3, 4)))
+                gone = _covered(len(data), part.column(2)[i])
                 gone = np.zeros(len(data), bool) if gone is None else gone
                 spans = int(np.count_nonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)) == 1))
                 out.append((len(data), int(gone.sum()), spans, hashlib.sha256(data[~gone].tobytes()).hexdigest()))
@@ -250,10 +229,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             texts = part.column(at["text"]).to_pylist()
             gone = set()
             for i in range(part.num_rows):
-                marks = [part.column(k)[i] for k in range(len(names), len(names) + 3)]
-                if texts[i] and (marks[0].is_valid or marks[1].is_valid):
-                    data = np.frombuffer(texts[i].encode(), np.uint8)
-                    texts[i] = data[~_covered(len(data), *marks)].tobytes().decode("utf-8", "ignore")
+                data = np.frombuffer((texts[i] or "").encode(), np.uint8)
+                cut = _covered(len(data), part.column(len(names))[i])
+                if cut is not None:
+                    texts[i] = data[~cut].tobytes().decode("utf-8", "ignore")
                     if not texts[i]:
                         gone.add(i)
             keep = pa.array([i for i in range(part.num_rows) if i not in gone], pa.int64())
