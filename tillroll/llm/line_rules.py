@@ -57,8 +57,8 @@ BOILERPLATE = (
 _SENTENCE_MARK = r"[.!?\x{2026}]['\x22)\]\x{00BB}\x{201D}\x{2019}]*([ \t-\r]|$)"
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+def _symbols(text: Column) -> Column:
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]", ""))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -75,14 +75,13 @@ def line_passes(line: Column) -> Column:
     """Whether a line that has a word keeps its place."""
 
     def judged(chars: Column) -> Column:
-        symbols = chars - F.length(_without(line, SYMBOLS))
         menu = sum((_count(line, f" {mark} ") for mark in SEPARATORS[1:]), _count(line, f" {SEPARATORS[0]} "))
         notice = (chars <= MAX_BOILERPLATE_CHARS) & F.lower(line).rlike("|".join(BOILERPLATE))
         return (
             line.rlike(_SENTENCE_MARK)
             & (menu < MIN_SEPARATORS)
             & (2 * _count(line, "!!") <= MAX_SHOUT_SHARE * chars)
-            & (symbols <= MAX_SYMBOL_SHARE * chars)
+            & (_symbols(line) <= MAX_SYMBOL_SHARE * chars)
             & ~notice
         )
 
@@ -134,36 +133,11 @@ def _repeat_words(words: Column) -> Column:
     return F.when(n < 4, F.lit(0)).otherwise(counted).cast("long")
 
 
-def _measured(text: Column) -> Column:
-    """Everything the rules measure in a text that isn't null, as a struct."""
-
-    def judged(words: Column, lines: Column, good: Column) -> Column:
-        n_words, n_repeat = F.size(words), _repeat_words(words)
-
-        def verdict(repeat: Column) -> Column:
-            failed = (n_words < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n_words)
-            enough = F.length(F.array_join(good, "")) >= MIN_KEPT_SHARE * F.length(F.array_join(lines, ""))
-            intact = F.size(good) == F.size(lines)
-            return F.struct(
-                n_words.cast("long").alias("n_words"),
-                F.length(_without(text, SPACES)).cast("long").alias("word_chars"),
-                (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
-                (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-                repeat.alias("n_repeat_words"),
-                failed.alias("base_failed"),
-                F.size(lines).cast("long").alias("n_lines"),
-                (F.size(lines) - F.size(good)).cast("long").alias("n_bad_lines"),
-                (~failed & enough).alias("kept"),
-                F.when(intact, text).otherwise(F.array_join(good, "\n")).alias("cleaned"),
-            )
-
-        return _let(n_repeat, verdict)
-
-    lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(_without(x, SPACES)) > 0)
-    return _let(
-        word_array(text),
-        lambda w: _let(lines, lambda ls: _let(F.filter(ls, line_passes), lambda good: judged(w, ls, good))),
-    )
+def _once(df: DataFrame, name: str, **fields: Column) -> DataFrame:
+    """``df`` with a struct of the fields. It is made by a generator, whose row
+    is computed once, whatever reads or filters it above."""
+    one = F.explode(F.array(F.struct(*(c.alias(n) for n, c in fields.items()))))
+    return df.select("*", one.alias(name))
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -174,9 +148,37 @@ def quality(docs: DataFrame) -> DataFrame:
     n_symbols, n_dup_lines, n_repeat_words, base_failed, n_lines, n_bad_lines,
     kept, cleaned (the text without its failed lines).
     """
-    # A generator's row is computed once, whatever reads or filters it above.
-    one = F.explode(F.array(_measured(F.coalesce(docs["text"], F.lit("")))))
-    return docs.select(*(docs[c] for c in docs.columns), one.alias(fresh(docs, "quality")))
+    name = fresh(docs, "quality")
+    step = [fresh(docs, f"_{name}{i}") for i in range(3)]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.trim(F.translate(x, SPACES[1:], " "))) > 0)
+    parts = _once(docs, step[0], text=text, words=word_array(text), lines=lines)
+    text, words, lines = (F.col(step[0])[c] for c in ("text", "words", "lines"))
+    counted = _once(
+        parts,
+        step[1],
+        n_words=F.size(words).cast("long"),
+        word_chars=F.length(F.array_join(words, "")).cast("long"),
+        n_symbols=_symbols(text).cast("long"),
+        n_dup_lines=(F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        n_repeat_words=_repeat_words(words),
+        good=F.filter(lines, line_passes),
+    )
+    m = F.col(step[1])
+    n_lines, n_good = F.size(lines), F.size(m["good"])
+    failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+    enough = F.length(F.array_join(m["good"], "")) >= MIN_KEPT_SHARE * F.length(F.array_join(lines, ""))
+    judged = _once(
+        counted,
+        step[2],
+        **{c: m[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")},
+        base_failed=failed,
+        n_lines=n_lines.cast("long"),
+        n_bad_lines=(n_lines - n_good).cast("long"),
+        kept=~failed & enough,
+        cleaned=F.when(n_good == n_lines, text).otherwise(F.array_join(m["good"], "\n")),
+    )
+    return judged.select(*docs.columns, F.col(step[2]).alias(name))
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
