@@ -178,3 +178,9 @@ def test_gzip_json_lines(spark, scratch):
     docs = read_documents(spark, path, S.RECEIPT, multiline=False)
     plain = read_documents(spark, _write(scratch, "plain.json", RECEIPTS), S.RECEIPT)
     assert sorted(map(tuple, load_items(docs).collect())) == sorted(map(tuple, load_items(plain).collect()))
+
+
+def test_only_the_absent_paths_of_a_list_drop_out(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"_id": {"$oid": "1"}}, {"_id": {"$oid": "2"}}]')
+    paths = [str(tmp_path / "a.json"), str(tmp_path / "absent.json")]
+    assert read_documents(spark, paths, S.USER, on_missing="empty").count() == 2

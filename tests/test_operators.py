@@ -27,10 +27,9 @@ def test_global_dense_rank_matches_brute_force(spark):
         df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k int, v bigint")
         for nulls_first in (True, False):
             expect = _dense_rank(values, nulls_first)
-            for bound in (None, 10**6):  # distributed path, then the size-checked single task
-                ranked = global_dense_rank(df, "v", nulls_first=nulls_first, num_partitions=7, single_task_rows=bound)
-                got = {r.k: r.rank for r in ranked.collect()}
-                assert got == {i: expect[v] for i, v in enumerate(values)}
+            ranked = global_dense_rank(df, "v", nulls_first=nulls_first, num_partitions=7)
+            got = {r.k: r.rank for r in ranked.collect()}
+            assert got == {i: expect[v] for i, v in enumerate(values)}
 
 
 def test_global_dense_rank_on_doubles_checkpoints(spark):

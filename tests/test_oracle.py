@@ -9,11 +9,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry_mod
+from tillroll.plans.catalog import QUERIES
 from tests.conftest import SF01
 from tests.oracle_util import compare, duck
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+ORACLE = {name: sql for name, sql in entry_mod.oracle_sql().items() if name in QUERIES}
 
 
 SF = os.environ.get("TILLROLL_ORACLE_SF", SF01)

@@ -41,23 +41,13 @@ def test_distributed_rank_has_no_single_partition_exchange_over_rows(spark):
     from tillroll.operators.rank import global_dense_rank
 
     df = spark.range(5000).selectExpr("id", "id % 97 as v")
-    text = plan_text(global_dense_rank(df, "v", single_task_rows=None))
+    text = plan_text(global_dense_rank(df, "v"))
     blocks = text.split("Exchange SinglePartition")[1:]
     # the only single-partition exchange carries the per-partition counts
     assert len(blocks) == 1 and "_p" in "".join(blocks[0].split("\n")[1:3])
     assert "RangePartitioning" in text or "rangepartitioning" in text
 
 
-def test_single_task_rank_only_under_the_size_bound(spark):
-    from tillroll.operators import rank
-
-    df = spark.range(5000).selectExpr("id", "id % 97 as v")
-    small = plan_text(rank.global_dense_rank(df, "v", single_task_rows=5000))
-    large = plan_text(rank.global_dense_rank(df, "v", single_task_rows=4999))
-    assert "Exchange SinglePartition" in small and "rangepartitioning" not in small.lower()
-    assert "rangepartitioning" in large.lower()
-
-
 def test_latest_per_key_is_an_aggregation_not_a_window(spark):
     text = plan_text(QUERIES["latest_event_per_user"](spark, SF001))
     assert "Window" not in text and "partial_max" in text

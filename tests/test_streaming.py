@@ -4,10 +4,12 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 from tillroll.operators.upsert import latest_per_key, merge_latest
 from tillroll.sources import schemas as S
 from tillroll.sources.documents import load_users
-from tillroll.streaming.upsert import document_stream, read_latest, start_upsert_stream
+from tillroll.streaming.upsert import document_stream, read_latest, start_upsert_stream, upsert_batch
 
 
 def _user(uid, day, role):
@@ -68,3 +70,28 @@ def test_latest_per_key_ties_and_nulls(spark):
     changes = spark.createDataFrame([("a", 3, 1, "new")], "k string, t int, id int, v string")
     merged = {r.k: r.v for r in merge_latest(df, changes, "k", "t", ("id",)).collect()}
     assert merged == {"a": "new", "b": "m", "c": "q"}
+
+
+def test_bucket_count_is_stored_and_unreadable_targets_are_errors(spark, tmp_path):
+    target = str(tmp_path / "latest")
+    rows = spark.createDataFrame([(k, 1) for k in range(40)], "k int, v int")
+    upsert_batch(rows, target, "k", "v", buckets=4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")  # another session setting
+    try:
+        for k in range(6):
+            upsert_batch(spark.createDataFrame([(k, 2)], "k int, v int"), target, "k", "v")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    got = {r.k: r.v for r in read_latest(spark, target, "k int, v int").collect()}
+    assert got == {k: 2 if k < 6 else 1 for k in range(40)}
+    assert read_latest(spark, target, "k int, v int").count() == 40
+    with pytest.raises(ValueError):
+        upsert_batch(rows, target, "k", "v", buckets=5)
+    broken = next((tmp_path / "latest").glob("_bucket=0/*.parquet"))
+    broken.write_bytes(b"not parquet")
+    for crc in broken.parent.glob("*.crc"):
+        crc.unlink()
+    with pytest.raises(Exception):
+        upsert_batch(spark.createDataFrame([(k, 3) for k in range(40)], "k int, v int"), target, "k", "v")
+    assert list((tmp_path / "latest").glob("_bucket=1/*.parquet"))

@@ -191,6 +191,7 @@ def receipts_without_brands(receipts: DataFrame, items: DataFrame, brands: DataF
         items.select("receipt_id", "brand_code")
         .join(brands.select("brand_code"), "brand_code", "left_semi")
         .select("receipt_id")
+        .distinct()  # a receipt once, however many branded items it has
     )
     r = receipts.select("id", "status", "create_date")
     return r.join(branded, r["id"] == branded["receipt_id"], "left_anti")

@@ -34,6 +34,7 @@ from tillroll.operators.status import (
 from tillroll.operators.upsert import latest_per_key
 from tillroll.sources import schemas
 from tillroll.sources.documents import (
+    is_folder,
     load_brands,
     load_items,
     load_receipts,
@@ -256,6 +257,7 @@ def load_items_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = parse_documents(receipt_documents(t.receipts, t.items), schemas.RECEIPT)
     return load_items(docs).select(
         "receipt_id",
+        "line_no",
         "item_number",
         "brand_code",
         "description",
@@ -338,11 +340,12 @@ def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_event_per_user_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same result through a Structured Streaming upsert of the events file."""
-    stream = (
-        spark.readStream.schema(TABLE_SCHEMAS["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    reader = spark.readStream.schema(TABLE_SCHEMAS["events"])
+    if is_folder(spark, path):  # part files, as any cluster table has
+        stream = reader.parquet(path)
+    else:
+        stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     target = scratch_target(spark, "latest-event-per-user")
     query = start_upsert_stream(stream, target, "user_id", "ts", tie_breakers=("event_id",))
     query.awaitTermination()

@@ -24,7 +24,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, LongType, StringType, StructField, StructType
-from pyspark.errors import AnalysisException
 
 from tillroll.functions.casts import lenient_bigint, lenient_double
 from tillroll.functions.dates import epoch_millis_to_ts
@@ -69,12 +68,25 @@ def read_documents(
         .option("mode", _MODES[on_corrupt])
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
-    try:
-        return reader.json(path)
-    except AnalysisException as exc:
-        if on_missing == "empty" and "PATH_NOT_FOUND" in str(exc):
+    if on_missing == "empty":
+        # Only the absent paths drop out; the others are read as usual.
+        paths = [path] if isinstance(path, str) else list(path)
+        path = [p for p in paths if path_exists(spark, p)]
+        if not path:
             return spark.createDataFrame([], read_schema if read_schema is not None else StructType([]))
-        raise
+    return reader.json(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or a glob of paths, names anything; other failures rise."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(jvm_path)
+    return found is not None and len(found) > 0
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(jvm_path).isDirectory()
 
 
 def parse_documents(text: DataFrame, schema: StructType, column: str = "value") -> DataFrame:

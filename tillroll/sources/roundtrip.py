@@ -31,17 +31,6 @@ def _date(c: Column) -> Column:
     return F.when(c.isNotNull(), F.struct(ts_to_epoch_millis(c).alias("$date")))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Round-robin over the shuffle partitions (no key, so no hot partition).
-
-    Documents are spread as documents over many source files would be;
-    rendering and parsing then run on every core even when a table is one
-    unsplittable file.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n)
-
-
 def _price_text(c: Column, dollar: bool) -> Column:
     text = c.cast("string")
     return F.concat(F.lit("$"), text) if dollar else text
@@ -61,54 +50,34 @@ def item_struct(items: DataFrame, dollar_prices: bool = True) -> Column:
     )
 
 
-def item_lists(items: DataFrame, max_items_per_document: int = 1000, dollar_prices: bool = True) -> DataFrame:
-    """Items grouped into ordered lists per (receipt_id, chunk).
+def item_lists(items: DataFrame, dollar_prices: bool = True) -> DataFrame:
+    """(receipt_id, item_list): the items of each receipt, in one list.
 
-    The chunk is a block of ``max_items_per_document`` consecutive row ids
-    of the scan, so a list never holds more than that many items, whatever
-    the line numbers are (they need not be unique or contiguous). Within a
-    list items are ordered by line number.
-
-    Columns: receipt_id, chunk, item_list.
+    Items stand by line number and, where line numbers repeat, by their other
+    fields, so the order is total up to equal items. A document holds all of
+    its receipt, as a source record does; the source format bounds its size.
     """
-    # Row ids come from the scan. Hash-partitioning by (receipt, chunk) spreads
-    # the list building over all tasks, and a receipt with a very long item
-    # list over many of them.
-    with_chunk = items.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "chunk", F.floor(F.col("_row") / F.lit(max_items_per_document))
-    )
-    grouped = (
-        with_chunk.repartition("receipt_id", "chunk")
-        .select(
-            "receipt_id",
-            "chunk",
-            F.struct(
-                F.col("line_no").alias("pos"),
-                F.col("_row").alias("row"),
-                item_struct(items, dollar_prices).alias("item"),
-            ).alias("e"),
-        )
-        .groupBy("receipt_id", "chunk")
-        .agg(F.array_sort(F.collect_list("e")).alias("l"))
-    )
-    return grouped.select("receipt_id", "chunk", F.transform("l", lambda e: e["item"]).alias("item_list"))
+    columns = ["line_no", "brand_code", "description", "final_price", "quantity_purchased", "user_flagged_quantity"]
+    columns += ["user_flagged_price", "original_meta_brite_item_price"]
+    entry = F.struct(*columns, item_struct(items, dollar_prices).alias("item"))
+    grouped = items.groupBy("receipt_id").agg(F.array_sort(F.collect_list(entry)).alias("l"))
+    return grouped.select("receipt_id", F.transform("l", lambda e: e["item"]).alias("item_list"))
 
 
 def receipt_documents(
     receipts: DataFrame,
     items: DataFrame | None = None,
-    max_items_per_document: int = 1000,
     dollar_prices: bool = True,
 ) -> DataFrame:
     """Receipt documents as JSON text (column ``value``).
 
     Without ``items`` there is one document per receipt and no item list.
-    With ``items`` there is one document per (receipt, item chunk); a receipt
-    without items gets one document without a list.
+    With ``items`` it holds the receipt's items in one list; a receipt without
+    items has none.
     """
-    r = _spread(receipts)
+    r = receipts
     if items is not None:
-        lists = item_lists(items, max_items_per_document, dollar_prices)
+        lists = item_lists(items, dollar_prices)
         r = r.join(lists, r["id"] == lists["receipt_id"], "left")
         item_col = F.col("item_list")
     else:
@@ -133,7 +102,7 @@ def user_documents(users: DataFrame) -> DataFrame:
         _date(F.col("created_date")).alias("createdDate"),
         F.col("role").alias("role"),
     )
-    return _spread(users).select(F.to_json(doc).alias("value"))
+    return users.select(F.to_json(doc).alias("value"))
 
 
 def brand_documents(brands: DataFrame, barcode_width: int = 12) -> DataFrame:
@@ -148,4 +117,4 @@ def brand_documents(brands: DataFrame, barcode_width: int = 12) -> DataFrame:
         F.col("brand_code").alias("brandCode"),
         F.struct(F.lit(CPG_REF).alias("$ref"), _oid(F.col("category")).alias("$id")).alias("cpg"),
     )
-    return _spread(brands).select(F.to_json(doc).alias("value"))
+    return brands.select(F.to_json(doc).alias("value"))

@@ -36,12 +36,44 @@ def bucket_of(key: str | Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _stored_buckets(spark: SparkSession, target_dir: str, buckets: int | None) -> tuple[int, bool]:
+    """The table's number of buckets, and whether the table was there already.
+
+    The number is stored beside the table when it is first written and holds
+    for its life: another one asked for is an error, since a key would then
+    live in two buckets. Only a missing marker means "no table yet"; any other
+    failure rises.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    marker = jvm.org.apache.hadoop.fs.Path(target_dir, "_buckets")
+    fs = marker.getFileSystem(conf)
+    if fs.exists(marker):
+        stream = fs.open(marker)
+        try:
+            stored = stream.readInt()
+        finally:
+            stream.close()
+        if buckets is not None and buckets != stored:
+            raise ValueError(f"{target_dir} has {stored} buckets, not {buckets}")
+        return stored, True
+    if fs.exists(marker.getParent()) and len(fs.listStatus(marker.getParent())):
+        raise ValueError(f"{target_dir} holds data without a stored number of buckets")
+    return buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), False
+
+
+def _store_buckets(spark: SparkSession, target_dir: str, buckets: int) -> None:
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target_dir, "_buckets")
+    out = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(marker, True)
     try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:
-        return False
+        out.writeInt(buckets)
+    finally:
+        out.close()
+
+
+def _bucket_folders(spark: SparkSession, target_dir: str) -> list[str]:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target_dir)
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return [f.getPath().getName() for f in found if f.getPath().getName().startswith(f"{BUCKET}=")]
 
 
 def upsert_batch(
@@ -54,19 +86,23 @@ def upsert_batch(
 ) -> None:
     """Merge one batch of records into the bucketed latest-per-key table.
 
-    ``buckets`` defaults to ``spark.sql.shuffle.partitions`` (sized to the
-    cluster); it must stay the same for the life of a target table.
+    ``buckets`` sizes a new table (default: ``spark.sql.shuffle.partitions``);
+    it is stored with the table, whose number holds from then on.
     """
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, there = _stored_buckets(spark, target_dir, buckets)
     changes = batch.withColumn(BUCKET, bucket_of(key, buckets))
     # The touched buckets: at most ``buckets`` small integers.
     touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
     if not touched:
         return
-    if _exists(spark, target_dir):
+    if not there:
+        # Before the first rows, so a failed first batch leaves no table
+        # without its number.
+        _store_buckets(spark, target_dir, buckets)
+    written = there and bool(_bucket_folders(spark, target_dir))
+    if written:
         current = spark.read.parquet(target_dir).where(F.col(BUCKET).isin(touched))
         # The merge reads files that the write below replaces: cut the lineage
         # first (reliable checkpoint in the shared folder).
@@ -102,9 +138,6 @@ def start_upsert_stream(
     there and stops; otherwise it keeps running on new files.
     """
     spark = stream.sparkSession
-    if buckets is None:
-        # Fixed when the stream starts, so every micro-batch uses the same layout.
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if checkpoint_location is None:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         checkpoint_location = f"{base}/tillroll-streams/{uuid.uuid4().hex}"
