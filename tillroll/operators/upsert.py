@@ -1,7 +1,7 @@
 """Keep the latest version of each record (incremental upsert).
 
 Records carry a key and a modification time. The latest version per key is
-found with ``max(struct(order, tie-breakers, rest))`` in a hash aggregation:
+found with ``max(struct(order, tie-breakers, rest))`` in a partial and a final sort aggregation:
 the partial aggregation keeps one row per key in every map task before the
 shuffle, so a key that holds a third of all versions costs one row per task,
 not a third of the data in one task (as a ``row_number`` window over the key
