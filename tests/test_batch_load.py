@@ -70,7 +70,7 @@ def test_batch_load_missing_source_gives_empty_table(spark, scratch):
     with open(os.path.join(src, "users.json"), "w") as f:
         json.dump(USERS, f)
     out = os.path.join(scratch, "out")
-    load_all(spark, src, out)
+    load_all(spark, src, out, on_missing="empty")
     t = LoadedTables.from_dir(spark, out)
     assert t.users.count() == 2
     assert t.receipts.count() == 0 and "purchased_item_count" in t.receipts.columns
