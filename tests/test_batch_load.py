@@ -84,7 +84,7 @@ def test_sinks(spark, scratch):
     assert spark.read.parquet(path).count() == 5
     write_table(df.limit(2), path)
     assert spark.read.parquet(path).count() == 2
-    staged = stage(df, "unit")
+    staged, _ = stage(df, "unit")
     assert sorted(r.k for r in staged.collect()) == [0, 1, 2, 3, 4]
     create_namespace(spark, "tillroll_test_ns")
     assert any(d.name == "tillroll_test_ns" for d in spark.catalog.listDatabases())
@@ -158,11 +158,8 @@ def test_command_line(spark, scratch, capsys):
 
 
 def test_stage_is_removed_after_the_load(spark, scratch):
-    from tillroll.sources.sinks import stage, stage_path
-
-    probe = stage(spark.range(3), "probe")
-    path = stage_path(probe)
-    assert path and path.rstrip("/").split("/")[-2] == "tillroll-stage"
+    _, path = stage(spark.range(3), "probe")
+    assert path.rstrip("/").split("/")[-2] == "tillroll-stage"
     src = os.path.join(scratch, "src")
     os.makedirs(src)
     _sources(src)

@@ -185,27 +185,31 @@ def rows_by_parent_key(
     keep: Sequence[str] | None = None,
     name: str = "total",
 ) -> DataFrame:
-    """Number of child rows per parent ``group_col`` value (inner join)."""
+    """Number of child rows per parent ``group_col`` value (inner join).
+
+    Child rows are counted per key before the join, so a key with many rows
+    comes to it as one.
+    """
     p = parents.select(F.col(parent_key).alias("_pk"), group_col)
     if keep is not None:
         p = p.where(F.col(group_col).isin(*keep))
-    c = children.select(F.col(child_key).alias("_pk"))
-    return c.join(p, "_pk").groupBy(group_col).agg(F.count(F.lit(1)).alias(name))
+    c = children.groupBy(F.col(child_key).alias("_pk")).agg(F.count(F.lit(1)).alias("_n"))
+    return c.join(p, "_pk").groupBy(group_col).agg(F.sum("_n").alias(name))
 
 
-def month_gaps(df: DataFrame, ts_col: str, name: str = "month") -> DataFrame:
-    """Calendar months between the first and last month of ``ts_col`` that have no rows.
+def month_gaps(df: DataFrame, ts_col: str, name: str = "month", by: Sequence[str] = ()) -> DataFrame:
+    """Calendar months without rows between the first and last month of ``ts_col``.
 
-    The month sequence is generated from the one-row min/max aggregate and
-    has one row per calendar month of the data's span; the observed months
-    are a distinct aggregate; a left anti join keeps the gaps.
+    With ``by``, for each value of these columns by its own first and last
+    month. The months seen are a distinct aggregate, at most one row per
+    calendar month and value; each is set against the next one, and the months
+    between them are the gap. The rows themselves are read once.
     """
-    span = range_by_month(df, ts_col)
-    months = span.select(
-        F.explode(F.sequence("min_month", "max_month", F.expr("INTERVAL 1 MONTH"))).alias(name)
-    )
-    seen = df.select(month_start(ts_col).alias(name)).distinct()
-    return months.join(seen, name, "left_anti")
+    month = F.expr("INTERVAL 1 MONTH")
+    seen = df.where(F.col(ts_col).isNotNull()).select(*by, month_start(ts_col).alias("_seen")).distinct()
+    following = F.lead("_seen").over(Window.partitionBy(*by).orderBy("_seen"))
+    gaps = seen.withColumn("_next", following).where(F.col("_next") > F.col("_seen") + month)
+    return gaps.select(*by, F.explode(F.sequence(F.col("_seen") + month, F.col("_next") - month, month)).alias(name))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "copies") -> DataFrame:

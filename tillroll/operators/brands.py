@@ -27,12 +27,13 @@ TimeBound = str | _dt.date | _dt.datetime | None
 
 
 def cents(amount: Column) -> Column:
-    """An amount rounded to whole cents, as BIGINT.
+    """An amount rounded to whole cents (half a cent to the even one), as DECIMAL(18,0).
 
     Money is summed exactly in cents, so a total does not depend on the order
-    in which thousands of tasks add their partial sums.
+    in which thousands of tasks add their partial sums. An amount beyond 18
+    digits (a price text such as ``1e30``) isn't money: it counts as missing.
     """
-    return F.rint(amount * 100).cast("bigint")
+    return F.rint(amount * 100).try_cast("decimal(18,0)")
 
 
 def _window(df: DataFrame, col: str, start: TimeBound, end: TimeBound) -> DataFrame:
@@ -70,7 +71,8 @@ def brand_receipts_by_month(
     the months before ranking gives the same ranks as ranking every month and
     filtering afterwards, and the restriction reaches the receipts scan.
 
-    Columns: month, brand_name, total_receipts, rank.
+    Columns: month, brand_name, total_receipts, rank; latest month first, then
+    by rank and brand name.
     """
     r = _window(receipts.select(F.col("id").alias("receipt_id"), "create_date"), "create_date", start, end)
     if prune_items_by_date:
@@ -91,7 +93,9 @@ def brand_receipts_by_month(
         .groupBy("month", "brand_name")
         .agg(F.countDistinct("receipt_id").alias("total_receipts"))
     )
-    return top_k_dense(counts, ["month"], "total_receipts", k)
+    # At most k ranks a month are left to sort.
+    top = top_k_dense(counts, ["month"], "total_receipts", k)
+    return top.orderBy(F.col("month").desc(), "rank", "brand_name")
 
 
 def _cohort_receipts(
@@ -120,8 +124,7 @@ def brand_spend(
     Columns: brand_name, total_spend, rank.
     """
     cohort_receipts = _cohort_receipts(receipts, users, months, exclude_roles)
-    # BIGINT cents per brand code (map-side partial sums of longs), then a
-    # DECIMAL(38,0) sum over the per-code rows per brand name.
+    # Cents per brand code (map-side partial sums), then a DECIMAL(38,0) sum over the per-code rows per brand name.
     per_code = (
         items.select("receipt_id", "brand_code", cents(spend(clean_quantity(), clean_price())).alias("c"))
         .join(cohort_receipts, "receipt_id")
@@ -141,6 +144,23 @@ def brand_spend(
     )
 
 
+def brand_code_spend(items: DataFrame) -> DataFrame:
+    """Total cleaned spend per brand code over all items, dense-ranked.
+
+    Brand codes are many, so this ranks a key whose values don't fit one task.
+
+    Columns: brand_code, total_spend, rank.
+    """
+    totals = (
+        items.where(F.col("brand_code").isNotNull())
+        .select("brand_code", cents(spend(clean_quantity(), clean_price())).alias("c"))
+        .groupBy("brand_code")
+        .agg(F.sum("c").alias("total_cents"))
+    )
+    ranked = global_dense_rank(totals, "total_cents")
+    return ranked.select("brand_code", (F.col("total_cents").cast("double") / 100).alias("total_spend"), "rank")
+
+
 def brand_transactions(
     receipts: DataFrame,
     items: DataFrame,

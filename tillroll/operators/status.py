@@ -88,7 +88,10 @@ def status_totals_by_month(
         .groupBy("receipt_id")
         .agg(F.sum("q").alias("q"))
     )
-    return per_receipt.join(r, "receipt_id").rollup("month", "status").agg(F.sum("q").alias("total_items"))
+    # Summed per (month, status) first: the rollup triples that handful of rows,
+    # not the row of each receipt.
+    totals = per_receipt.join(r, "receipt_id").groupBy("month", "status").agg(F.sum("q").alias("q"))
+    return totals.rollup("month", "status").agg(F.sum("q").alias("total_items"))
 
 
 def item_totals_with_fallback(
@@ -104,6 +107,25 @@ def item_totals_with_fallback(
     return per_receipt.groupBy("status").agg(F.sum("items_total").alias("total_items"))
 
 
+def status_totals_by_item_attribute(
+    receipts: DataFrame,
+    items: DataFrame,
+    attribute: str = "rewards_group",
+    statuses: Sequence[str] | None = FINISHED_AND_REJECTED,
+) -> DataFrame:
+    """Cleaned item quantities per (item attribute, status), by default per rewards group.
+
+    Items without the attribute form a group of their own (NULL).
+
+    Columns: ``attribute``, status, total_items.
+    """
+    r = receipts.select(F.col("id").alias("receipt_id"), "status")
+    if statuses is not None:
+        r = r.where(F.col("status").isin(*statuses))
+    rows = items.select("receipt_id", attribute, clean_quantity().alias("q"))
+    return rows.join(r, "receipt_id").groupBy(attribute, "status").agg(F.sum("q").alias("total_items"))
+
+
 def status_totals_by_brand_attribute(
     receipts: DataFrame,
     items: DataFrame,

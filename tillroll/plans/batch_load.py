@@ -25,7 +25,7 @@ from tillroll.sources.documents import (
     load_users,
     read_documents,
 )
-from tillroll.sources.sinks import remove_path, stage, stage_path, write_table
+from tillroll.sources.sinks import create_namespace, remove_path, stage, write_table
 
 SOURCES = {"brands": "brands.json", "users": "users.json", "receipts": "receipts.json"}
 TABLE_NAMES = ("brands", "users", "receipts", "rewards_receipt_items")
@@ -79,8 +79,8 @@ def load_all(
     ``on_missing="empty"`` writes an empty table (with its columns) for a
     missing source file; ``on_corrupt`` is passed to
     :func:`tillroll.sources.documents.read_documents`. The staged parse of
-    the receipt documents is removed once the tables are written, unless
-    ``keep_stage``.
+    the receipt documents is removed when the load ends, also by an error,
+    unless ``keep_stage``. A database that isn't there is created.
     """
     if (target_dir is None) == (database is None):
         raise ValueError("give exactly one of target_dir and database")
@@ -93,30 +93,33 @@ def load_all(
             spark, f"{src}/{SOURCES[name]}", schema, multiline, on_missing=on_missing, on_corrupt=on_corrupt
         )
 
-    receipts_docs = stage(docs("receipts", S.RECEIPT), "receipt-documents")
-    tables = {
-        "brands": load_brands(docs("brands", S.BRAND)),
-        "users": load_users(docs("users", S.USER)),
-        "receipts": load_receipts(receipts_docs, drop_missing_id=drop_missing_id),
-        "rewards_receipt_items": load_items(receipts_docs, strip_dollar=strip_dollar),
-    }
-    buckets = {"receipts": ["id"], "rewards_receipt_items": ["receipt_id"]}
-    out = {}
-    for name, df in tables.items():
-        if database is None:
-            # Row groups sorted by creation time carry tight min/max values, so
-            # date-window filters pushed into the reader skip most of them.
-            if name == "receipts":
-                df = df.sortWithinPartitions("create_date")
-            elif name == "rewards_receipt_items":
-                df = df.sortWithinPartitions("receipt_create_date")
-            out[name] = write_table(df, f"{target_dir.rstrip('/')}/{name}", format=format)
-        else:
-            spec = (receipt_buckets, buckets[name]) if receipt_buckets and name in buckets else None
-            out[name] = write_table(df, f"{database}.{name}", format=format, as_table=True, bucket_by=spec)
-    staged = stage_path(receipts_docs)
-    if staged and not keep_stage:
-        remove_path(spark, staged)
+    if database is not None:
+        create_namespace(spark, database)
+    receipts_docs, staged = stage(docs("receipts", S.RECEIPT), "receipt-documents")
+    try:
+        tables = {
+            "brands": load_brands(docs("brands", S.BRAND)),
+            "users": load_users(docs("users", S.USER)),
+            "receipts": load_receipts(receipts_docs, drop_missing_id=drop_missing_id),
+            "rewards_receipt_items": load_items(receipts_docs, strip_dollar=strip_dollar),
+        }
+        buckets = {"receipts": ["id"], "rewards_receipt_items": ["receipt_id"]}
+        out = {}
+        for name, df in tables.items():
+            if database is None:
+                # Row groups sorted by creation time carry tight min/max values, so
+                # date-window filters pushed into the reader skip most of them.
+                if name == "receipts":
+                    df = df.sortWithinPartitions("create_date")
+                elif name == "rewards_receipt_items":
+                    df = df.sortWithinPartitions("receipt_create_date")
+                out[name] = write_table(df, f"{target_dir.rstrip('/')}/{name}", format=format)
+            else:
+                spec = (receipt_buckets, buckets[name]) if receipt_buckets and name in buckets else None
+                out[name] = write_table(df, f"{database}.{name}", format=format, as_table=True, bucket_by=spec)
+    finally:
+        if not keep_stage:
+            remove_path(spark, staged)
     return out
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import audit
 from tillroll.operators.brands import (
+    brand_code_spend,
     brand_receipts_by_month,
     brand_receipts_latest_month,
     brand_spend,
@@ -29,12 +30,14 @@ from tillroll.operators.status import (
     item_totals_by_status,
     item_totals_with_fallback,
     status_totals_by_brand_attribute,
+    status_totals_by_item_attribute,
     status_totals_by_month,
 )
 from tillroll.operators.upsert import latest_per_key
 from tillroll.sources import schemas
 from tillroll.sources.documents import (
-    is_folder,
+    corrupt_counts,
+    explode_outer_items,
     load_brands,
     load_items,
     load_receipts,
@@ -42,7 +45,17 @@ from tillroll.sources.documents import (
     parse_documents,
 )
 from tillroll.sources.roundtrip import brand_documents, receipt_documents, user_documents
-from tillroll.sources.tables import STAFF_ROLE, TABLE_SCHEMAS, Tables
+from tillroll.sources.sinks import remove_path, stage
+from tillroll.sources.tables import (
+    BRAND_FIELDS,
+    ITEM_FIELDS_WRITTEN,
+    RECEIPT_FIELDS,
+    STAFF_ROLE,
+    TABLE_SCHEMAS,
+    USER_FIELDS,
+    Tables,
+    with_fields,
+)
 from tillroll.streaming.upsert import read_latest, scratch_target, start_upsert_stream
 
 # Fixed parameters of the registered queries.
@@ -246,39 +259,72 @@ def items_saturation_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- document loading (documents rendered from the tables, parsed back) ------
 
 
+def _receipt_source(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
+    """Receipt documents with every field and the receipt's items."""
+    t = _t(spark, sf_dir)
+    return receipt_documents(
+        with_fields(t.receipts, RECEIPT_FIELDS), with_fields(t.items, ITEM_FIELDS_WRITTEN), **how
+    )
+
+
 def load_receipts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    docs = parse_documents(receipt_documents(t.receipts), schemas.RECEIPT)
-    return load_receipts(docs).select("id", "user_id", "status", "create_date", "purchased_item_count")
+    return load_receipts(parse_documents(receipt_documents(with_fields(t.receipts, RECEIPT_FIELDS)), schemas.RECEIPT))
 
 
 def load_items_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _t(spark, sf_dir)
-    docs = parse_documents(receipt_documents(t.receipts, t.items), schemas.RECEIPT)
-    return load_items(docs).select(
-        "receipt_id",
-        "line_no",
-        "item_number",
-        "brand_code",
-        "description",
-        "final_price",
-        "quantity_purchased",
-        "user_flagged_quantity",
-        "user_flagged_price",
-        "original_meta_brite_item_price",
-    )
+    return load_items(parse_documents(_receipt_source(spark, sf_dir), schemas.RECEIPT))
 
 
 def load_users_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = parse_documents(user_documents(_t(spark, sf_dir).users), schemas.USER)
-    return load_users(docs).select("id", "created_date", "role")
+    docs = user_documents(with_fields(_t(spark, sf_dir).users, USER_FIELDS))
+    return load_users(parse_documents(docs, schemas.USER))
 
 
 def load_brands_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = parse_documents(brand_documents(_t(spark, sf_dir).brands), schemas.BRAND)
-    return load_brands(docs).select(
-        "id", "barcode", "barcode_text", "brand_code", "name", "category", "cpg_ref", "cpg_id"
-    )
+    docs = brand_documents(with_fields(_t(spark, sf_dir).brands, BRAND_FIELDS))
+    return load_brands(parse_documents(docs, schemas.BRAND))
+
+
+# Pending receipts stand for the documents without an id, or cut short.
+_PENDING = "status = 'PENDING'"
+
+
+def load_items_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of a source where some documents have an empty id: those are skipped."""
+    t = _t(spark, sf_dir)
+    oid = F.when(F.expr(_PENDING), "").otherwise(F.col("id").cast("string"))
+    docs = parse_documents(receipt_documents(t.receipts, t.items, document_id=oid), schemas.RECEIPT)
+    return load_items(docs).groupBy("receipt_id").agg(F.count(F.lit(1)).alias("items"))
+
+
+def load_receipts_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts of a source where some documents have no id, those dropped."""
+    t = _t(spark, sf_dir)
+    oid = F.when(~F.expr(_PENDING), F.col("id").cast("string"))
+    docs = parse_documents(receipt_documents(t.receipts, document_id=oid), schemas.RECEIPT)
+    return load_receipts(docs, drop_missing_id=True).select("id", "status", "create_date")
+
+
+def exploded_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each item, and one without an item for a receipt that has none."""
+    t = _t(spark, sf_dir)
+    docs = parse_documents(receipt_documents(t.receipts, t.items), schemas.RECEIPT)
+    return explode_outer_items(docs).select("receipt_id", "item.itemNumber", "item.brandCode")
+
+
+def corrupt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents of a source with texts cut short are malformed."""
+    whole = receipt_documents(_t(spark, sf_dir).receipts)
+    pending = F.col("value").contains('"PENDING"')
+    cut = whole.select(F.when(pending, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")).alias("value"))
+    return corrupt_counts(cut, schemas.RECEIPT)
+
+
+def status_totals_by_rewards_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    items = with_fields(t.items, {"rewards_group": ITEM_FIELDS_WRITTEN["rewards_group"]})
+    return status_totals_by_item_attribute(t.receipts, items, "rewards_group", FINISHED_AND_REJECTED)
 
 
 # --- extensions described in the reference as next steps ---------------------
@@ -316,6 +362,15 @@ def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.month_gaps(_t(spark, sf_dir).receipts, "create_date")
 
 
+def missing_months_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months without a receipt between a user's first and last one."""
+    return audit.month_gaps(_t(spark, sf_dir).receipts, "create_date", by=["user_id"])
+
+
+def brand_code_spend_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brand_code_spend(_t(spark, sf_dir).items)
+
+
 def description_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _t(spark, sf_dir).items.select(standardize_text("description").alias("description"))
     mapped = apply_value_map(items, "description", DESCRIPTION_MAP)
@@ -339,16 +394,24 @@ def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_event_per_user_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same result through a Structured Streaming upsert of the events file."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    reader = spark.readStream.schema(TABLE_SCHEMAS["events"])
-    if is_folder(spark, path):  # part files, as any cluster table has
-        stream = reader.parquet(path)
-    else:
-        stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    target = scratch_target(spark, "latest-event-per-user")
-    query = start_upsert_stream(stream, target, "user_id", "ts", tie_breakers=("event_id",))
-    query.awaitTermination()
+    """The same result through a Structured Streaming upsert.
+
+    The events are first laid out as files of successive times, as they would
+    arrive; the stream takes a quarter of the files at a time, so later
+    micro-batches update the keys of earlier ones.
+    """
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _, folder = stage(_t(spark, sf_dir).events.repartitionByRange(files, "ts"), "event-files")
+    try:
+        stream = (
+            spark.readStream.schema(TABLE_SCHEMAS["events"])
+            .option("maxFilesPerTrigger", max(1, files // 4))
+            .parquet(folder)
+        )
+        target = scratch_target(spark, "latest-event-per-user")
+        start_upsert_stream(stream, target, "user_id", "ts", tie_breakers=("event_id",)).awaitTermination()
+    finally:
+        remove_path(spark, folder)
     return read_latest(spark, target, TABLE_SCHEMAS["events"])
 
 
@@ -384,6 +447,10 @@ QUERIES: dict[str, Query] = {
     "load_items": load_items_q,
     "load_users": load_users_q,
     "load_brands": load_brands_q,
+    "load_items_without_ids": load_items_without_ids,
+    "load_receipts_with_ids": load_receipts_with_ids,
+    "exploded_items": exploded_items,
+    "corrupt_documents": corrupt_documents,
     # extensions
     "top_brands_latest_month": top_brands_latest_month,
     "status_totals_by_month": status_totals_by_month_q,
@@ -391,6 +458,9 @@ QUERIES: dict[str, Query] = {
     "item_totals_with_fallback": item_totals_with_fallback_q,
     "receipts_without_brands": receipts_without_brands_q,
     "missing_months": missing_months,
+    "missing_months_by_user": missing_months_by_user,
+    "status_totals_by_rewards_group": status_totals_by_rewards_group,
+    "brand_code_spend": brand_code_spend_q,
     "description_values": description_values,
     "item_flag_counts": item_flag_counts,
     "duplicate_brand_codes": duplicate_brand_codes,

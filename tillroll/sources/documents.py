@@ -84,14 +84,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def is_folder(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(jvm_path).isDirectory()
+def parse_documents(
+    text: DataFrame, schema: StructType, column: str = "value", on_corrupt: str = "fail"
+) -> DataFrame:
+    """Parse a column of JSON documents (one per row) into top-level columns.
+
+    ``on_corrupt`` as in :func:`read_documents`: malformed text raises, drops
+    out, or stays with the raw text in ``_corrupt_record``.
+    """
+    if on_corrupt not in _MODES:
+        raise ValueError(f"on_corrupt must be one of {sorted(_MODES)}")
+    if on_corrupt == "fail":
+        parsed = F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
+        return text.select(parsed.alias("_doc")).select("_doc.*")
+    marked = StructType(schema.fields + [StructField(CORRUPT, StringType())])
+    parsed = F.from_json(F.col(column), marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    docs = text.select(parsed.alias("_doc")).select("_doc.*")
+    return docs if on_corrupt == "keep" else docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def parse_documents(text: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """Parse a column of JSON documents (one per row) into top-level columns."""
-    return text.select(F.from_json(F.col(column), schema).alias("_doc")).select("_doc.*")
+def corrupt_counts(text: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
+    """How many documents there are, and how many of them are malformed: documents, corrupt."""
+    docs = parse_documents(text, schema, column, on_corrupt="keep")
+    return docs.agg(F.count(F.lit(1)).alias("documents"), F.count(CORRUPT).alias("corrupt"))
 
 
 def _has(schema: StructType, path: str) -> bool:
@@ -222,3 +237,18 @@ def explode_outer_items(docs: DataFrame) -> DataFrame:
 def drop_null_elements(docs: DataFrame, array_col: str = "rewardsReceiptItemList") -> DataFrame:
     """Remove NULL elements from an array column (struct fields stay NULL)."""
     return docs.withColumn(array_col, F.array_compact(array_col))
+
+
+def _without_nulls(c: Column, dtype: DataType) -> Column:
+    if isinstance(dtype, ArrayType):
+        return F.transform(F.array_compact(c), lambda e: _without_nulls(e, dtype.elementType))
+    if isinstance(dtype, StructType):
+        fields = [_without_nulls(c.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    return c
+
+
+def drop_nulls(docs: DataFrame) -> DataFrame:
+    """Remove NULL elements from arrays at every depth; a NULL struct or array
+    stays NULL, an array of NULLs alone becomes empty."""
+    return docs.select(*[_without_nulls(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in docs.schema.fields])

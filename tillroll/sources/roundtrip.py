@@ -6,19 +6,19 @@ dates, prices as text, items nested in ``rewardsReceiptItemList``). Loading
 the rendered documents must give back the table, which is how the loaders are
 checked on the full driver tables.
 
-Items are nested per receipt in documents of at most
-``max_items_per_document`` items: the grouping key is (receipt, block of
-consecutive row ids), so an unusually long receipt becomes several bounded
-documents instead of one unbounded group. Fields that are NULL are left out
-of the JSON.
+A document field is rendered from the column of its snake_case name; columns
+that a table lacks and NULL values are left out of the JSON. A receipt's items
+stand in one list in its document, as in the source.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tillroll.functions.dates import ts_to_epoch_millis
+from tillroll.sources import schemas as S
 
 CPG_REF = "category"
 
@@ -31,21 +31,23 @@ def _date(c: Column) -> Column:
     return F.when(c.isNotNull(), F.struct(ts_to_epoch_millis(c).alias("$date")))
 
 
-def _price_text(c: Column, dollar: bool) -> Column:
-    text = c.cast("string")
-    return F.concat(F.lit("$"), text) if dollar else text
+def _value(c: Column, field: StructField) -> Column:
+    return _date(c) if field.dataType == S.DATE else c.cast(field.dataType.simpleString())
+
+
+def _fields(table: DataFrame, schema: StructType) -> list[Column]:
+    """The document fields that ``table`` has a column for."""
+    named = [(S.snake_case(f.name), f) for f in schema.fields]
+    return [_value(F.col(name), f).alias(f.name) for name, f in named if f.name != "_id" and name in table.columns]
 
 
 def item_struct(items: DataFrame, dollar_prices: bool = True) -> Column:
     """One item document (source field names) from an items-table row."""
+    fields = items.drop("final_price", "item_number")
+    final_price = F.col("final_price").cast("string")
     return F.struct(
-        F.col("brand_code").alias("brandCode"),
-        F.col("description").alias("description"),
-        _price_text(F.col("final_price"), dollar_prices).alias("finalPrice"),
-        F.col("quantity_purchased").alias("quantityPurchased"),
-        F.col("user_flagged_quantity").alias("userFlaggedQuantity"),
-        F.col("user_flagged_price").alias("userFlaggedPrice"),
-        F.col("original_meta_brite_item_price").alias("originalMetaBriteItemPrice"),
+        *_fields(fields, S.ITEM),
+        (F.concat(F.lit("$"), final_price) if dollar_prices else final_price).alias("finalPrice"),
         F.col("line_no").cast("string").alias("itemNumber"),
     )
 
@@ -68,53 +70,37 @@ def receipt_documents(
     receipts: DataFrame,
     items: DataFrame | None = None,
     dollar_prices: bool = True,
+    document_id: Column | None = None,
 ) -> DataFrame:
     """Receipt documents as JSON text (column ``value``).
 
     Without ``items`` there is one document per receipt and no item list.
     With ``items`` it holds the receipt's items in one list; a receipt without
-    items has none.
+    items has none. ``document_id`` stands in for the receipt's id in the text.
     """
-    r = receipts
+    columns = _fields(receipts, S.RECEIPT)
+    oid = _oid(F.col("id") if document_id is None else document_id).alias("_id")
     if items is not None:
         lists = item_lists(items, dollar_prices)
-        r = r.join(lists, r["id"] == lists["receipt_id"], "left")
-        item_col = F.col("item_list")
-    else:
-        item_col = F.lit(None)
-    created = _date(F.col("create_date"))
-    doc = F.struct(
-        _oid(F.col("id")).alias("_id"),
-        F.col("user_id").cast("string").alias("userId"),
-        F.col("status").alias("rewardsReceiptStatus"),
-        created.alias("createDate"),
-        created.alias("dateScanned"),
-        created.alias("modifyDate"),
-        F.col("purchased_item_count").alias("purchasedItemCount"),
-        item_col.alias("rewardsReceiptItemList"),
-    )
-    return r.select(F.to_json(doc).alias("value"))
+        receipts = receipts.join(lists, receipts["id"] == lists["receipt_id"], "left")
+        columns.append(F.col("item_list").alias("rewardsReceiptItemList"))
+    return receipts.select(F.to_json(F.struct(oid, *columns)).alias("value"))
 
 
 def user_documents(users: DataFrame) -> DataFrame:
-    doc = F.struct(
-        _oid(F.col("id")).alias("_id"),
-        _date(F.col("created_date")).alias("createdDate"),
-        F.col("role").alias("role"),
-    )
+    doc = F.struct(_oid(F.col("id")).alias("_id"), *_fields(users, S.USER))
     return users.select(F.to_json(doc).alias("value"))
 
 
 def brand_documents(brands: DataFrame, barcode_width: int = 12) -> DataFrame:
-    """Brand documents; the barcode is the numeric part of the brand code,
-    zero-padded to ``barcode_width`` digits."""
-    digits = F.regexp_extract(F.col("brand_code"), r"([0-9]+)$", 1)
+    """Brand documents; without a ``barcode`` column the barcode is the numeric
+    part of the brand code, zero-padded to ``barcode_width`` digits."""
+    if "barcode" not in brands.columns:
+        digits = F.regexp_extract(F.col("brand_code"), r"([0-9]+)$", 1)
+        brands = brands.withColumn("barcode", F.lpad(digits, barcode_width, "0"))
     doc = F.struct(
         _oid(F.col("brand_code")).alias("_id"),
-        F.lpad(digits, barcode_width, "0").alias("barcode"),
-        F.col("category").alias("category"),
-        F.col("name").alias("name"),
-        F.col("brand_code").alias("brandCode"),
+        *_fields(brands, S.BRAND),
         F.struct(F.lit(CPG_REF).alias("$ref"), _oid(F.col("category")).alias("$id")).alias("cpg"),
     )
     return brands.select(F.to_json(doc).alias("value"))

@@ -67,26 +67,16 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(jpath, True))
 
 
-def stage_path(df: DataFrame) -> str | None:
-    """The folder a DataFrame returned by :func:`stage` reads, else None."""
-    files = df.inputFiles()
-    marker = "/tillroll-stage/"
-    for f in files:
-        if marker in f:
-            head, tail = f.split(marker, 1)
-            return head + marker + tail.split("/", 1)[0]
-    return None
-
-
-def stage(df: DataFrame, name: str = "stage", format: str = "parquet") -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back.
+def stage(df: DataFrame, name: str = "stage", format: str = "parquet") -> tuple[DataFrame, str]:
+    """Write ``df`` under the shared checkpoint folder; its copy and the copy's folder.
 
     Used where one expensive input (parsed JSON) feeds several outputs: the
     parse runs once, the lineage is cut at the written files, and each output
-    reads only the columns it needs from the columnar copy.
+    reads only the columns it needs from the columnar copy. The caller removes
+    the folder when it is done with it.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tillroll-stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").format(format).save(path)
-    return spark.read.format(format).load(path)
+    return spark.read.format(format).load(path), path

@@ -31,6 +31,8 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.sources import schemas as S
+
 # Fixed values of the mapping.
 STAFF_SEGMENT = "MACHINERY"
 STAFF_ROLE = "staff"
@@ -213,3 +215,68 @@ def with_views_sql(body: str, views: tuple[str, ...] = ("receipts", "items", "us
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"
+
+
+# --- the fields that the views lack, for the loader checks -------------------
+#
+# Rules in SQL that Spark and DuckDB read alike, over the views' own columns:
+# column -> its value in the table. Optional values stand on some rows only.
+RECEIPT_FIELDS: dict[str, str] = {
+    "date_scanned": "create_date + interval '1' hour",
+    "finished_date": "case when status = 'FINISHED' then create_date + interval '2' day end",
+    "modify_date": "create_date + interval '3' day",
+    "points_awarded_date": "case when status <> 'PENDING' then create_date + interval '36' hour end",
+    "purchase_date": "case when purchased_item_count is not null then create_date - interval '5' minute end",
+    "bonus_points_earned": "case when purchased_item_count > 5 then purchased_item_count * 25 end",
+    "bonus_points_earned_reason": "case when purchased_item_count > 5 then 'MANY \"ITEMS\"' end",
+    "points_earned": "cast(purchased_item_count as string) || '.0'",
+    "total_spent": "case when status <> 'PENDING' then cast(id as string) || '.50' end",
+}
+USER_FIELDS: dict[str, str] = {
+    "active": "role = 'consumer'",
+    "last_login": "case when role = 'consumer' then created_date + interval '5' day end",
+    "sign_up_source": "case when role = 'staff' then 'Office' else 'Email' end",
+    "state": "case when role = 'consumer' then 'WI' end",
+}
+BRAND_FIELDS: dict[str, str] = {
+    "barcode": "case when name < 'Brand#2' then 'N' || brand_code else lpad(substr(brand_code, 3), 12, '0') end",
+    "category_code": "case when name < 'Brand#3' then upper(category) end",
+    "top_brand": "case when name > 'Brand#2' then name > 'Brand#4' end",
+}
+
+
+def _item_fields() -> tuple[dict[str, str], dict[str, str]]:
+    """The other item fields, as written into the documents and as loaded.
+
+    Text and counts follow from the line number and numbers written as text
+    are sometimes no number, which loads as NULL.
+    """
+    known = {"description", "brand_code", "item_number", "final_price", "quantity_purchased"}
+    known |= {"user_flagged_quantity", "user_flagged_price", "original_meta_brite_item_price"}
+    written, loaded = {}, {}
+    for f in S.ITEM.fields:
+        name = S.snake_case(f.name)
+        if name in known:
+            continue
+        if f.name in S.ITEM_NUMERIC_TEXT_FIELDS:
+            written[name] = "case when line_no = 5 then 'n/a' when line_no < 5 then cast(line_no as string) || '.25' end"
+            loaded[name] = "case when line_no < 5 then cast(line_no as double) + cast(0.25 as double) end"
+            continue
+        rule = {
+            "string": f"case when line_no <> 3 then '{name} ' || cast(line_no as string) end",
+            "bigint": "case when line_no <> 2 then cast(line_no as bigint) * 2 end",
+            "boolean": "case when line_no <> 4 then line_no > 2 end",
+        }[f.dataType.simpleString()]
+        written[name] = loaded[name] = rule
+    return written, loaded
+
+
+ITEM_FIELDS_WRITTEN, ITEM_FIELDS_LOADED = _item_fields()
+
+
+def with_fields(table: DataFrame, fields: dict[str, str]) -> DataFrame:
+    return table.selectExpr("*", *[f"{rule} as {name}" for name, rule in fields.items()])
+
+
+def fields_sql(fields: dict[str, str]) -> str:
+    return ", ".join(f"{rule} as {name}" for name, rule in fields.items())
