@@ -66,6 +66,31 @@ def test_line_rules_count_as_brute_force(docs, empty):
     assert line_rules.verdicts(empty).count() == 0
 
 
+def test_line_rules_keep_clean_prose_of_other_scripts(spark):
+    ship(spark)
+    marks = "\u0964 \u0965 \u06d4 \u061f \u3002 \uff01 \uff1f \u1362 \u104b \u17d4 \u0589 \u037e \u0f0d \uff61 \U00011047".split()
+    words = {
+        "\u0964": "\u092f\u0939 \u090f\u0915 \u0938\u093e\u092b \u0935\u093e\u0915\u094d\u092f \u0939\u0948",
+        "\u06d4": "\u06cc\u06c1 \u0627\u06cc\u06a9 \u0635\u0627\u0641 \u062c\u0645\u0644\u06c1 \u06c1\u06d2",
+        "\u061f": "\u0647\u0630\u0647 \u062c\u0645\u0644\u0629 \u0639\u0631\u0628\u064a\u0629 \u0646\u0638\u064a\u0641\u0629 \u0647\u0646\u0627",
+        "\u3002": "\u8fd9 \u662f \u4e00\u4e2a \u5e72\u51c0 \u53e5\u5b50",
+    }
+    rows = []
+    for i, mark in enumerate(marks):
+        line = words.get(mark, "\u0561\u0562 \u0563\u0564 \u0565\u0566 \u0567\u0568 \u0569\u056a")
+        lines = [" ".join(f"{w}{k}x{j}" for w in line.split()) + mark for k in range(5) for j in range(3)]
+        rows.append((i, "\n".join(lines), "xx", "s", 0, "q", "m"))
+    # No blank after a mark, a bracket after it, and the last sentence cut off.
+    rows.append((100, "\n".join(f"\u4ed6 \u8bf4{k} \u300c\u597d{k}\u3002\u300d\u7136\u540e {k} \u8d70" for k in range(15)), "xx", "s", 0, "q", "m"))
+    # Menus have no mark in any script.
+    rows.append((101, "\n".join(f"\u0918\u0930{k} \u0926\u0941\u0915\u093e\u0928{k} \u0938\u0902\u092a\u0930\u094d\u0915{k} \u092a\u0924\u093e{k}" for k in range(15)), "xx", "s", 0, "q", "m"))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in line_rules.verdicts(docs).collect()}
+    assert all(not r.base_failed for r in got.values())
+    assert [i for i, r in got.items() if not r.kept or r.n_bad_lines] == [101] and not got[101].kept
+    assert {r.doc_id: r.text for r in line_rules.clean(docs).collect()} == {i: t for i, t, *_ in rows if i != 101}
+
+
 def _brute_links(rows):
     sets = []
     for _, text in rows:

@@ -2,8 +2,9 @@
 
 Every line that has a word is judged on its own:
 
-* *punctuation*: the line has no sentence mark at the end of a word, or symbol
-  characters or doubled exclamation marks make up more than a tenth of it;
+* *punctuation*: the line has no sentence mark (``. ! ?`` and the like at the
+  end of a word, the marks of other scripts anywhere), or symbol characters or
+  doubled exclamation marks make up more than a tenth of it;
 * *navigation*: the line has at least ``MIN_SEPARATORS`` menu separators
   standing alone between blanks;
 * *boilerplate*: the line is short (at most ``MAX_BOILERPLATE_CHARS``) and has
@@ -16,7 +17,9 @@ characters of its lines.
 
 Defined results: a null or empty text has no words and is rejected; repeated
 rows are judged each on their own; an empty table gives an empty result; other
-columns are never read, so their names may clash with the results'. Everything
+columns are never read, so their names may clash with the results'. Scripts
+that write no sentence mark at all (Thai, Lao) fail the punctuation rule, and so
+does a Greek line whose only mark is the ``;`` of a question. Everything
 happens within a row, without a shuffle, so a hot source or group of copies
 makes no difference, and a long text costs ``n log n``.
 """
@@ -54,7 +57,30 @@ BOILERPLATE = (
     "terms of service",
     "terms of use",
 )
-_SENTENCE_MARK = r"[.!?\x{2026}]['\x22)\]\x{00BB}\x{201D}\x{2019}]*([ \t-\r]|$)"
+#: Marks that also stand within words and numbers; they count at a word's end.
+_WORD_END_MARKS = r".!?\x{2026}\x{FE52}\x{FF0E}"
+#: The other sentence marks of Unicode (Sentence_Terminal, the Greek question
+#: mark and the Tibetan shads); many of these scripts put no blank after them.
+_OTHER_MARKS = "".join(
+    rf"\x{{{first}}}" + (rf"-\x{{{last}}}" if last else "")
+    for first, _, last in (
+        x.partition("-")
+        for x in (
+            "37E 589 61D-61F 6D4 700-702 7F9 837 839 83D-83E 964-965 F0D-F12 104A-104B 1362 1367-1368 166E 1735-1736 "
+            "17D4-17D5 1803 1809 1944-1945 1AA8-1AAB 1B5A-1B5B 1B5E-1B5F 1B7D-1B7E 1C3B-1C3C 1C7E-1C7F 203C-203D "
+            "2047-2049 2CF9-2CFB 2E2E 2E3C 2E53-2E54 3002 A4FF A60E-A60F A6F3 A6F7 A876-A877 A8CE-A8CF A92F A9C8-A9C9 "
+            "AA5D-AA5F AAF0-AAF1 ABEB FE12 FE15-FE16 FE56-FE57 FF01 FF1F FF61 10A56-10A57 10F55-10F59 10F86-10F89 "
+            "11047-11048 110BE-110C1 11141-11143 111C5-111C6 111CD 111DE-111DF 11238-11239 1123B-1123C 112A9 "
+            "1144B-1144C 115C2-115C3 115C9-115D7 11641-11642 1173C-1173E 11944 11946 11A42-11A43 11A9B-11A9C "
+            "11C41-11C42 11EF7-11EF8 11F43-11F44 16A6E-16A6F 16AF5 16B37-16B38 16B44 16E98 1BC9F 1DA88"
+        ).split()
+    )
+)
+_CLOSERS = r"'\x22)\]\x{00BB}\x{201D}\x{2019}\x{3009}\x{300B}\x{300D}\x{300F}\x{3011}\x{FF09}"
+#: The second is only tried on lines without the first; its range check comes
+#: first, so Latin letters don't run through the whole list.
+_SENTENCE_MARK = rf"[{_WORD_END_MARKS}][{_CLOSERS}]*([ \t-\r]|$)"
+_OTHER_MARK = rf"[\x{{37E}}-\x{{1DA88}}&&[{_OTHER_MARKS}]]"
 
 
 def _symbols(text: Column) -> Column:
@@ -78,7 +104,7 @@ def line_passes(line: Column) -> Column:
         menu = sum((_count(line, f" {mark} ") for mark in SEPARATORS[1:]), _count(line, f" {SEPARATORS[0]} "))
         notice = (chars <= MAX_BOILERPLATE_CHARS) & F.lower(line).rlike("|".join(BOILERPLATE))
         return (
-            line.rlike(_SENTENCE_MARK)
+            (line.rlike(_SENTENCE_MARK) | line.rlike(_OTHER_MARK))
             & (menu < MIN_SEPARATORS)
             & (2 * _count(line, "!!") <= MAX_SHOUT_SHARE * chars)
             & (_symbols(line) <= MAX_SYMBOL_SHARE * chars)
