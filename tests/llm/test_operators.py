@@ -227,6 +227,36 @@ def test_blocks_of_awkward_pages(spark):
     assert got[100].text == "" and got[101].n_chars == 0 and len(got) == 43
 
 
+def test_blocks_read_on_after_svg_math_object_and_select(spark):
+    ship(spark)
+
+    def texts(part):
+        return [x[0] for x in blocks.leaves(f"<body><article><p>First</p>{part}<p>Last one</p></article><footer>Foot</footer>")]
+
+    assert texts("<svg class='i'/><p>Icon</p><svg><title>No</title><path d='M0'/></svg>") == ["First", "Icon", "Last one", "Foot"]
+    assert texts("<p>See <svg width='1' /> here <svg><g><svg/></g>no</svg>too</p>") == ["First", "See here too", "Last one", "Foot"]
+    assert texts("<p>Open <svg><path>") == ["First", "Open", "Last one", "Foot"]
+    assert texts("<p>Open <svg><path></p>after") == ["First", "Open", "after", "Last one", "Foot"]
+    assert texts("<svg><foreignObject><p>no</p></foreignObject></svg>") == ["First", "Last one", "Foot"]
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='t'>x=2</annotation></semantics></math>"
+    assert texts(f"<p>So {formula} holds <math/> and <math><mi>y</mi></p>") == ["First", "So x=2 holds and y", "Last one", "Foot"]
+    assert texts("<object data='a'><p>Instead</p></object>") == ["First", "Instead", "Last one", "Foot"]
+    assert texts("<object data='a'>") == texts("<noscript>") == texts("<template>") == texts("<annotation>") == ["First", "Last one", "Foot"]
+    assert texts("<select><option>A<option>B</select>") == ["First", "A", "B", "Last one", "Foot"]
+    assert texts("<select><option>A") == ["First", "A", "Last one", "Foot"]
+    last = [x for x in blocks.leaves("<article><p>a</p><select><option>A<p>Last") if x[0] == "Last"][0]
+    assert blocks.weak_label(last[1]) == 1
+
+    page = (
+        "<body><nav><ul><li><a href='/'>Menu</a></ul></nav><article><h1>Head{0}</h1><p>One{0} two, three.</p>{1}<p>Last{0} words, here.</p></article>"
+        "<footer>Foot</footer>"
+    )
+    odd = {40: "<svg viewBox='0 0 1 1'/>", 41: "<object data='a.swf'>", 42: "<svg/><p>Mid<svg></svg></p>", 43: "<select>"}
+    rows = [(i, "u", page.format(i, odd.get(i, ""))) for i in range(44)]
+    got = {r.page_id: r.text for r in blocks.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Head{i}\nOne{i} two, three.\n" + "Mid\n" * (i == 42) + f"Last{i} words, here." for i in range(44))
+
+
 def test_toxicity_learns_and_scores_awkward_texts(spark, empty):
     ship(spark)
     rows = [(i, _prose(i, 30) + (" you idiot scum" if i % 3 == 0 else ""), "en", "s", 0, "", "") for i in range(240)]

@@ -1,10 +1,12 @@
 """Main text of HTML pages by a recurrent block labeller.
 
 1. *Leaves.* A page is read tag by tag into text blocks in page order, each with
-   the path of elements around it. Scripts, styles and other raw elements have
-   no leaves; inline markup doesn't end a block; unclosed and stray tags are
-   taken as browsers do for paragraphs and list items. Character references are
-   decoded, white space becomes one blank.
+   the path of elements around it. Scripts, styles, svg graphics and other raw
+   elements have no leaves; inline markup, formulas among it, doesn't end a
+   block; unclosed and stray tags are taken as browsers do for paragraphs, list
+   items and svg. A script or style without an end tag goes to the page's end, as
+   in browsers; other raw elements without one are read on as text. Character
+   references are decoded, white space becomes one blank.
 2. *Vectors.* A leaf's vector is the mean of learnt rows for its hashed path
    parts (tag, class, id and role of each ancestor), the mean of learnt rows for
    its hashed words, and five numbers (length, link share, place, ...).
@@ -49,17 +51,28 @@ LANES = 64
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<([!?])[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-RAW = frozenset("script style noscript template textarea title svg math iframe object select".split())
+RAW = frozenset("script style noscript template textarea title iframe".split())
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+#: The source of a formula, which browsers don't show; it ends with the formula.
+UNSHOWN = frozenset({"annotation", "annotation-xml"})
+_UNSHOWN_END = re.compile(r"</annotation(?:-xml)?\s*>|(?=</(?:semantics|math)\b|<annotation\b|</?(?:article|div|h[1-6]|li|main|ol|p|section|table|ul)\b)", re.I)
+#: Start tags that end an svg without its end tag.
+SVG_ENDS = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr "
+    "math maction maligngroup malignmark menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded "
+    "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none "
+    "semantics".split()
 )
 #: An element that begins ends these, if they are open directly around it.
 CLOSES = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 MAIN_PARTS = frozenset({"article", "main", "role.main", "role.article"})
-OTHER_PARTS = frozenset("nav aside header footer form button menu dialog head".split())
+OTHER_PARTS = frozenset("nav aside header footer form button option menu dialog head".split())
 _OTHER_NAME = re.compile(
     r"(?:^|[-_\s.])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|footer|header|menu|nav\w*|newsletter|"
     r"notice|promo\w*|related|share|sidebar|social|sponsor\w*|subscribe|widget)(?:$|[-_\s])"
@@ -68,6 +81,33 @@ _OTHER_NAME = re.compile(
 Leaf = tuple[str, tuple[str, ...], float]
 
 
+def _svg_end(page: str, at: int, around: set[str]) -> int:
+    """Where an svg that began before ``at`` ends: after its end tag or, without
+    one, before the first tag that cannot be in it; ``around`` are the elements
+    open around it."""
+    depth, held = 1, 0  # open svgs; open foreign objects, which may hold any tag
+    for tag in _TAG.finditer(page, at):
+        name = (tag[3] or "").lower()
+        if tag[2]:
+            if name == "svg":
+                depth, held = depth - 1, 0
+                if not depth:
+                    return tag.end()
+            elif name == "foreignobject":
+                held = max(0, held - 1)
+            elif not held and (name in ("p", "br") or name in around):
+                return tag.start()
+        elif (tag[4] or "").endswith("/"):
+            continue
+        elif name == "svg":
+            depth += 1
+        elif name == "foreignobject":
+            held += 1
+        elif name in SVG_ENDS and not held:
+            return tag.start()
+    return len(page)
+
+
 def leaves(page: str) -> list[Leaf]:
     """(text, path parts, share of its characters in links) of each block."""
     out: list[Leaf] = []
@@ -75,6 +115,7 @@ def leaves(page: str) -> list[Leaf]:
     path: tuple[str, ...] = ()
     words: list[str] = []
     linked = in_link = 0
+    unclosed: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -112,12 +153,22 @@ def leaves(page: str) -> list[Leaf]:
                 pop(open_at)
             continue
         if name in RAW:
-            end = _RAW_END[name].search(page, at)
-            at = end.end() if end else size
+            end = None if name in unclosed else _RAW_END[name].search(page, at)
+            if end:
+                at = end.end()
+            elif name in ("script", "style"):
+                at = size
+            else:
+                unclosed.add(name)
+            continue
+        if name == "svg" or name in UNSHOWN:
+            if not (tag[4] or "").endswith("/"):
+                end = _UNSHOWN_END.search(page, at) if name in UNSHOWN else None
+                at = _svg_end(page, at, {x[0] for x in stack}) if name == "svg" else end.end() if end else at
             continue
         if name in INLINE:
             in_link = 1 if name == "a" else in_link
-            if name == "br":
+            if name in ("br", "mtr", "mtd"):
                 words.append(" ")
             continue
         flush()
@@ -126,7 +177,8 @@ def leaves(page: str) -> list[Leaf]:
         for closed in CLOSES.get(name, "").split():
             if stack and stack[-1][0] == closed:
                 pop(len(stack) - 1)
-        if stack and stack[-1][0] == "p":  # a block ends an open paragraph
+        # A block ends an open paragraph or choice; these two may be in a paragraph.
+        if stack and stack[-1][0] in ("p", "option") and name not in ("object", "select"):
             pop(len(stack) - 1)
         parts = [name]
         for kind, *values in _NAMES.findall(tag[4] or ""):
