@@ -257,6 +257,31 @@ def test_blocks_read_on_after_svg_math_object_and_select(spark):
     assert all(got[i] == f"Head{i}\nOne{i} two, three.\n" + "Mid\n" * (i == 42) + f"Last{i} words, here." for i in range(44))
 
 
+def test_blocks_of_pages_without_article(spark):
+    ship(spark)
+    for kind in ("class='has-sidebar'", "class='with-comments nav-open'"):
+        assert blocks.weak_label(blocks.leaves(f"<html {kind}><body {kind} id='menu'><div {kind}><article><p>x</article>")[0][1]) == 1
+    assert blocks.weak_label(blocks.leaves("<body><article><div class='x sidebar'><p>x</article>")[0][1]) == 0
+
+    def page(i, around):
+        rng = np.random.default_rng(i)
+        links = "".join(f"<li><a href='/'>{WORDS[k]}</a></li>" for k in rng.permutation(6)[:4])
+        main = [_prose(1000 * i + k, int(rng.integers(12, 60))) for k in range(3)]
+        body = "".join(f"<p>{x}</p>" for x in main)
+        return f"<body class='has-sidebar'><nav><ul>{links}</ul></nav><{around}>{body}</{around}><footer>Copyright, legal notice {i}</footer>", "\n".join(main)
+
+    def share(rows, texts):
+        df = spark.createDataFrame([(i, "u", h) for i, h in rows.items()], "page_id long, url string, html string")
+        got = {r.page_id: r.text for r in blocks.main_texts(df).collect()}
+        return sum(got[i] == text for i, text in texts.items()) / len(texts)
+
+    pages = {i: page(i, "article" if i < 60 else "div") for i in range(120)}
+    assert share({i: h for i, (h, _) in pages.items()}, {i: t for i, (_, t) in pages.items()}) > 0.95
+    # No page of the table has a main element.
+    pages = {i: page(i, "div") for i in range(60)}
+    assert share({i: h for i, (h, _) in pages.items()}, {i: t for i, (_, t) in pages.items()}) > 0.95
+
+
 def test_toxicity_learns_and_scores_awkward_texts(spark, empty):
     ship(spark)
     rows = [(i, _prose(i, 30) + (" you idiot scum" if i % 3 == 0 else ""), "en", "s", 0, "", "") for i in range(240)]

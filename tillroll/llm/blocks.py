@@ -15,10 +15,14 @@
    Blocks labelled as main text are joined by line feeds.
 
 The network is trained here, on a bounded sample: the ``MAX_TRAIN`` pages with
-the smallest hash of their id. Their labels come from page structure alone
-(inside an article or main element, and in no navigation, notice, form, advert,
-comment ... element); the network carries that over to pages by their words,
-paths and neighbours. One task trains it; its weights have a fixed size.
+the smallest hash of their id, of those that have an article or main element.
+Their labels come from page structure alone (inside such an element, and in no
+navigation, notice, form, advert, comment ... element). Each page is read a
+second time with plain div elements in place of its main ones and the same
+labels, so the network carries them over to pages without such elements by
+their words, paths and neighbours. If no page has one, all blocks outside
+navigation, notices ... are taken for main text. One task trains the network;
+its weights have a fixed size.
 
 Defined results: a null or empty page, or one without a main block, has the
 empty text; repeated rows are read each on their own; an empty table gives an
@@ -73,10 +77,12 @@ INLINE = frozenset(
 CLOSES = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 MAIN_PARTS = frozenset({"article", "main", "role.main", "role.article"})
 OTHER_PARTS = frozenset("nav aside header footer form button option menu dialog head".split())
+#: Whole class names, ids and roles.
 _OTHER_NAME = re.compile(
-    r"(?:^|[-_\s.])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|footer|header|menu|nav\w*|newsletter|"
-    r"notice|promo\w*|related|share|sidebar|social|sponsor\w*|subscribe|widget)(?:$|[-_\s])"
+    r"(?:class|id|role)\.(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|footer|header|menu|nav\w*|newsletter|"
+    r"notice|promo\w*|related|share|sidebar|social|sponsor\w*|subscribe|widget)"
 )
+_HAS_MAIN = r"(?i)<(article|main)\b|\brole\s*=\s*[\x22']?\s*(article|main)\b"
 
 Leaf = tuple[str, tuple[str, ...], float]
 
@@ -189,11 +195,27 @@ def leaves(page: str) -> list[Leaf]:
     return out
 
 
+def is_other(path: tuple[str, ...]) -> bool:
+    """Whether a block is in a navigation, notice, form ... element. The names
+    of the html and body elements speak of the page, not of its blocks."""
+    below = 0
+    while below < len(path) and (path[below] in ("html", "body") or (below and "." in path[below])):
+        below += 1
+    return any(p in OTHER_PARTS or _OTHER_NAME.fullmatch(p) for p in path[below:])
+
+
+def has_main(page: list[Leaf]) -> bool:
+    return any(p in MAIN_PARTS for leaf in page for p in leaf[1])
+
+
 def weak_label(path: tuple[str, ...]) -> int:
     """What page structure says about a block."""
-    if any(p in OTHER_PARTS or ("." in p and _OTHER_NAME.search(p)) for p in path):
-        return 0
-    return int(any(p in MAIN_PARTS for p in path))
+    return int(not is_other(path) and any(p in MAIN_PARTS for p in path))
+
+
+def without_main(page: list[Leaf]) -> list[Leaf]:
+    """A page with plain elements in place of its main ones."""
+    return [(text, tuple("div" if p in ("article", "main") else p for p in path if p not in ("role.main", "role.article")), share) for text, path, share in page]
 
 
 class Vectors:
@@ -322,15 +344,20 @@ def scores(net: dict, vectors: Vectors) -> np.ndarray:
 
 def train(pages: list[list[Leaf]]) -> dict:
     net, slots = new_net(), {}
-    pieces = [p[a : a + TRAIN_STEPS] for p in pages for a in range(0, len(p), TRAIN_STEPS)]
+    labelled = [(p, [weak_label(x[1]) for x in p]) for p in pages if has_main(p)]
+    if labelled:
+        labelled += [(without_main(p), label) for p, label in labelled]
+    else:
+        labelled = [(p, [int(not is_other(x[1])) for x in p]) for p in pages]
+    pieces = [(p[a : a + TRAIN_STEPS], label[a : a + TRAIN_STEPS]) for p, label in labelled for a in range(0, len(p), TRAIN_STEPS)]
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.items()}
     rng, step = np.random.default_rng(11), 0
     for _ in range(EPOCHS):
         order = rng.permutation(len(pieces))
         for lo in range(0, len(order), 32):
             part = [pieces[i] for i in order[lo : lo + 32]]
-            vectors = Vectors(part, slots)
-            want = np.array([weak_label(leaf[1]) for page in part for leaf in page], np.float64)
+            vectors = Vectors([page for page, _ in part], slots)
+            want = np.array([x for _, label in part for x in label], np.float64)
             score, lane, state = _run(net, vectors, keep=True)
             d_score = (_sigmoid(score) - want) / len(want)
             grad = {k: np.zeros_like(v) for k, v in net.items()}
@@ -355,7 +382,9 @@ def train(pages: list[list[Leaf]]) -> dict:
 
 def fit(pages: DataFrame) -> dict:
     """Train on the bounded sample, in one task; fixed-size weights return."""
-    chosen = pages.where("page_id is not null").select("page_id").distinct().select(F.xxhash64("page_id").alias("place"), F.col("page_id").alias("_id")).orderBy("place", "_id").limit(MAX_TRAIN)
+    plain = F.min(~F.coalesce(F.col("html").rlike(_HAS_MAIN), F.lit(False))).alias("plain")
+    found = pages.where("page_id is not null").groupBy(F.col("page_id").alias("_id")).agg(plain)
+    chosen = found.select(F.xxhash64("_id").alias("place"), "_id", "plain").orderBy("plain", "place", "_id").limit(MAX_TRAIN)
     sample = pages.join(chosen, pages["page_id"] == chosen["_id"]).select("place", "html")
     shapes = {k: v.shape for k, v in new_net().items()}
 
