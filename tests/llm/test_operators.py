@@ -193,6 +193,18 @@ def test_repair_round_trip_and_starts(docs, empty):
     assert {r.n_tokens for r in rows if r.doc_id in (3, 4)} == {1} and repair.digests(empty).count() == 0
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(3)
+    one = rng.integers(0, 50_000, 1000).astype(np.uint32)
+    for ids in (np.tile(one, 300), np.concatenate([rng.integers(0, 300, 50_000).astype(np.uint32), np.tile(one, 60)]), np.zeros(5000, np.uint32)):
+        rules, lengths, seq = repair.compress(ids)
+        pairs = collections.Counter(zip(seq[:-1].tolist(), seq[1:].tolist()))
+        assert max(pairs.values(), default=0) < repair.MIN_COUNT
+        assert (repair.decompress(rules, lengths, seq) == ids).all()
+    rules, lengths, seq = repair.compress(np.tile(one, 300))
+    assert lengths.max() > 64 and len(seq) < 2000
+
+
 def test_dual_tree_search_is_exact(spark):
     ship(spark)
     rng = np.random.default_rng(5)

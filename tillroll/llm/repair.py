@@ -3,7 +3,7 @@
 Documents are range-sorted by id; each task encodes its texts, appends the end
 id, cuts the ids into shards of about ``SHARD_TOKENS`` (whole documents), and
 compresses every shard on its own: frequent pairs of neighbouring ids become
-nonterminals, round after round, until no pair is frequent. Spark's Parquet
+nonterminals, round after round, until no pair occurs ``MIN_COUNT`` times. Spark's Parquet
 writer commits the shards, one row each, so a lost executor's files never count:
 
 =============  ===============================================================
@@ -52,9 +52,6 @@ SHARD_TOKENS = 1 << 20
 #: A round replaces up to this many pairs that occur at least MIN_COUNT times.
 PAIRS_PER_ROUND = 2048
 MIN_COUNT = 16
-#: Rounds end when one shortens the sequence by less than this share.
-LEAST_GAIN = 0.02
-MAX_ROUNDS = 6
 #: Texts are encoded in lists of about this many characters.
 LIST_CHARS = 1 << 18
 
@@ -98,11 +95,14 @@ def _frequent(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int32)
     counts = np.bincount(slot, minlength=1 << 18)
     best = np.partition(counts, -PAIRS_PER_ROUND)[-PAIRS_PER_ROUND]
-    hot = np.flatnonzero(counts[slot] >= max(MIN_COUNT, best))
     rank = np.full(len(pair), -1, np.int32)
-    found, inverse, n = np.unique(pair[hot], return_inverse=True, return_counts=True)
-    order = np.argsort(-n, kind="stable")[:PAIRS_PER_ROUND]
-    order = order[n[order] >= MIN_COUNT]
+    for least in sorted({max(MIN_COUNT, best), MIN_COUNT}, reverse=True):
+        hot = np.flatnonzero(counts[slot] >= least)
+        found, inverse, n = np.unique(pair[hot], return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")[:PAIRS_PER_ROUND]
+        order = order[n[order] >= MIN_COUNT]
+        if len(order):  # else the fullest slots only hold rare pairs
+            break
     place = np.full(len(found), -1, np.int32)
     place[order] = np.arange(len(order), dtype=np.int32)
     rank[hot] = place[inverse]
@@ -114,9 +114,7 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     seq = ids.astype(np.uint32)
     rules = [np.empty((0, 2), np.uint32)]
     lengths = np.empty(0, np.uint32)
-    for _ in range(MAX_ROUNDS):
-        if len(seq) < 2 * MIN_COUNT:
-            break
+    while len(seq) > MIN_COUNT:
         pairs, rank = _frequent(seq)
         if not len(pairs):
             break
@@ -134,9 +132,7 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keep[at + 1] = False
         seq = seq.copy()
         seq[at] = BASE + known + new
-        before, seq = len(seq), seq[keep]
-        if before - len(seq) < LEAST_GAIN * before:
-            break
+        seq = seq[keep]
     return np.concatenate(rules), lengths, seq
 
 
