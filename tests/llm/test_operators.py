@@ -225,6 +225,21 @@ def test_dual_tree_search_is_exact(spark):
     assert covertree.top_k(df.where("vec_id < 5")).count() == 4
 
 
+def test_dual_tree_search_takes_every_length_and_rejects_inexact_scores(spark):
+    ship(spark)
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=(8, 8, 3)[i % 3])]) for i in range(240)] + [(500, [])]
+    expect = set()
+    for q in range(0, 240, 20):
+        v = {i: np.floor(64 * np.array(x, np.float32).astype(float)) for i, x in rows if len(x) == len(rows[q][1])}
+        best = sorted((-int(v[q] @ x), i) for i, x in v.items() if i != q)[:20]
+        expect |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+    kind = "vec_id long, embedding array<float>"
+    assert {tuple(r) for r in covertree.top_k(spark.createDataFrame(rows, kind)).collect()} == expect
+    with pytest.raises(ValueError, match="scores pass"):
+        covertree.top_k(spark.createDataFrame([*rows, (501, [1e9] * 8)], kind))
+
+
 def test_blocks_of_awkward_pages(spark):
     ship(spark)
     page = (

@@ -23,8 +23,9 @@ Groups are paired with shards by an equi-join on the shard. Only the pivots,
 the sample and one line of bounds for each cell reach the driver.
 
 Defined results: vectors that are null or hold null, NaN or infinite components
-take no part, nor do rows without an id; vectors of another length than the
-sample's most frequent one take no part; equal vectors rank by id; a row is
+take no part, nor do empty ones and rows without an id; vectors of each length
+are searched among themselves; components so large that a score might pass
+2 ** 53, where doubles stop being exact, raise an error; equal vectors rank by id; a row is
 never its own candidate; rows that repeat an id are the same row, of which the
 smallest vector counts; fewer candidates than k give fewer rows; an empty table
 gives an empty result. Only vec_id and embedding are read.
@@ -32,11 +33,11 @@ gives an empty result. Only vec_id and embedding are read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +52,8 @@ CELLS = 32
 SHARD_ROWS = 4096
 GROUP_ROWS = 256
 LEAF = 32
+#: Scores below this are exact in doubles.
+EXACT = 2.0**53
 
 
 class Tree(NamedTuple):
@@ -164,14 +167,19 @@ def search(queries: Tree, rows: Tree, k: int, least: np.ndarray) -> Best:
     return best
 
 
-def integers(vectors: DataFrame) -> DataFrame:
+def _components(vectors: DataFrame) -> DataFrame:
     """(vec_id, v) of the rows that take part: floor(64 * x) by component."""
     v = F.transform("embedding", lambda x: F.floor(SCALE * x.cast("double")))
     bad = F.exists(
         "embedding",
         lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")),
     )
-    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
+
+
+def integers(vectors: DataFrame) -> DataFrame:
+    """The same, one row an id."""
+    return _components(vectors).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def _spread_out(points: np.ndarray, n: int) -> np.ndarray:
@@ -190,15 +198,25 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 def top_k(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best rows of each query, the
     rows whose id is divisible by ``query_step``."""
-    spark = vectors.sparkSession
+    largest = F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("double")))))
+    widths = _components(vectors).groupBy(F.size("v").alias("width")).agg(largest.alias("largest")).where("width > 0").orderBy("width").collect()
+    for width, top in widths:
+        if width * top**2 >= EXACT:
+            raise ValueError(f"vectors of {width} components hold floor({SCALE} * x) of {top:.0f}: their scores pass {EXACT:.0f}")
+    if not widths:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     whole = integers(vectors)
+    found = [_top_k_of(whole.where(F.size("v") == width), width, k, query_step) for width, _ in widths]
+    return functools.reduce(DataFrame.union, found)
+
+
+def _top_k_of(whole: DataFrame, width: int, k: int, query_step: int) -> DataFrame:
+    """The same for integer vectors (vec_id, v) of one length."""
+    spark = whole.sparkSession
     sample = whole.select("vec_id", "v", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id").limit(SAMPLE).collect()
     schema = "query_id long, rank int, vec_id long, score long"
     if not sample:
         return spark.createDataFrame([], schema)
-    widths = pd.Series([len(r["v"]) for r in sample]).mode()
-    width = int(widths.iloc[0])
-    sample = [r for r in sample if len(r["v"]) == width]
     points = np.array([r["v"] for r in sample], np.float64).reshape(len(sample), width)
     shared = spark.sparkContext.broadcast((points, np.array([r["vec_id"] for r in sample]), _spread_out(points, CELLS)))
 
@@ -232,7 +250,7 @@ def top_k(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> DataF
             )
 
     dealt = written(
-        whole.where(F.size("v") == width).mapInArrow(deal, "vec_id long, v binary, cell int, far double, norm double, least double"),
+        whole.mapInArrow(deal, "vec_id long, v binary, cell int, far double, norm double, least double"),
         "search-rows",
     )
     is_query = F.col("vec_id") % query_step == 0
