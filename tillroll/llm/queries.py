@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import blocks, bpe, covertree, curriculum, language, line_rules, minhash, repair, repeats, toxicity
+from tillroll.llm import blocks, bond, bpe, covertree, curriculum, language, line_rules, minhash, packing, prefix_trie, repair, repeats, toxicity
 from tillroll.llm.common import read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +84,25 @@ def op1_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.top_k(read(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_bond_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the anchors' positives; every seventh label is shifted by one."""
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return bond.hard_negatives(read(spark, sf_dir, "embeddings"), shifted)
+
+
+@query
+def op12_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in the packed sequences."""
+    return packing.digests(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations")).drop("d1", "d2")
+
+
 SQL["op1_dual_tree_search"] = """
 WITH parts AS (
     SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
@@ -97,3 +117,68 @@ WITH parts AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+SQL["op11_bond_hard_negatives"] = """
+WITH parts AS (
+    SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL
+), ints AS (
+    SELECT vec_id, list(CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) ORDER BY i) AS v
+    FROM parts GROUP BY vec_id HAVING count(*) = count(x) AND bool_and(isfinite(CAST(x AS DOUBLE)))
+), labelled AS (
+    SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM ints JOIN embeddings USING (vec_id)
+), scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(r.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM labelled a JOIN labelled r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+# CRC-32 bit by bit over the digits of an id; a prefix is named by the SHA-256 of its turns.
+SQL["op13_prefix_trie"] = """
+WITH ids AS (
+    SELECT DISTINCT conv_id AS c, list_reduce(
+        [CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+        lambda crc, b: list_reduce([xor(crc, b)] || [CAST(0 AS BIGINT) FOR i IN range(8)],
+            lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+    FROM conversations WHERE conv_id IS NOT NULL
+), heads AS (
+    SELECT c, c - c % 100 AS base, xor(crc, 4294967295) % 6 AS h FROM ids
+), turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), rebuilt AS (
+    SELECT heads.c, 0 AS own, pos, role, text FROM heads JOIN turns ON turns.c = base AND pos <= h
+    UNION ALL
+    SELECT heads.c, 1, pos, role, text FROM heads JOIN turns ON turns.c = heads.c AND pos > h
+), steps AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS depth, length(text) AS chars,
+        sha256(length(role) || ':' || role || text) AS t FROM rebuilt
+), named AS (
+    SELECT c, depth, chars, sha256(string_agg(t, '') OVER (PARTITION BY c ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS node FROM steps
+    UNION ALL
+    SELECT c, 0, 0, 'root' FROM heads
+), members AS (
+    SELECT c, depth, chars, node, lag(node) OVER w AS parent, lead(node) OVER w IS NULL AS last FROM named WINDOW w AS (PARTITION BY c ORDER BY depth)
+), nodes AS (
+    SELECT node, depth, parent, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars, bool_and(last) AS leaf,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256
+    FROM members GROUP BY node, depth, parent
+), below AS (
+    SELECT top.node, count(*) FILTER (WHERE leaf) AS n_leaves, sum((n_convs - 1) * nodes.chars) AS saved_tokens
+    FROM nodes JOIN members own ON own.node = nodes.node AND own.c = nodes.conv_id
+    JOIN members top ON top.c = own.c AND top.depth <= own.depth GROUP BY top.node
+), children AS (
+    SELECT parent AS node, count(*) AS n_children FROM nodes GROUP BY parent
+)
+SELECT nodes.conv_id, CAST(nodes.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n_children, 0) AS n_children,
+    n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN below USING (node) LEFT JOIN children USING (node) LEFT JOIN nodes up ON up.node = nodes.parent
+"""
