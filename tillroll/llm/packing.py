@@ -120,13 +120,13 @@ class Complements:
         fit = np.flatnonzero((self.left[a] > 0) & (self.left[total - a] > (2 * a == total)))
         return (int(a[fit[0]]), total - int(a[fit[0]])) if len(fit) else None
 
-    def of(self, gap: int, most: int) -> tuple[int, ...] | None:
-        """One to three lengths of at most ``most`` that fill ``gap`` exactly."""
+    def of(self, gap: int, most: int, parts: int) -> tuple[int, ...] | None:
+        """Up to ``parts`` lengths of at most ``most`` that fill ``gap`` exactly."""
         if gap <= most and self.left[gap]:
             return (gap,)
-        if pair := self._pair(gap, most):
+        if parts > 1 and (pair := self._pair(gap, most)):
             return pair
-        if gap < 3 or not self.triples[gap]:
+        if parts < 3 or gap < 3 or not self.triples[gap]:
             return None
         a = np.arange(min(gap - 2, most), (gap - 1) // 3, -1)
         for length in a[(self.left[a] > 0) & self.pairs[gap - a]].tolist():
@@ -140,7 +140,16 @@ class Complements:
 
 def plan(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     """[(lengths of a sequence, number of such sequences)] that take ``counts[n]``
-    pieces of each length n; the capacity is the last length."""
+    pieces of each length n; the capacity is the last length.
+
+    Small pieces that fill gaps in pairs and triples may be missed elsewhere, so
+    the plan is made three times, with combinations of one, up to two and up to
+    three lengths, and the one with the fewest sequences counts.
+    """
+    return min((_plan(counts, parts) for parts in (3, 2, 1)), key=lambda made: sum(n for _, n in made))
+
+
+def _plan(counts: np.ndarray, parts: int) -> list[tuple[tuple[int, ...], int]]:
     capacity = len(counts) - 1
     left = counts.astype(np.int64).copy()
     left[0] = 0
@@ -150,7 +159,7 @@ def plan(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     for length in range(capacity - 1, (capacity - 1) // 4, -1):
         while left[length]:
             left[length] -= 1
-            rest = index.of(capacity - length, length)
+            rest = index.of(capacity - length, length, parts)
             left[length] += 1
             if rest is None:
                 break

@@ -38,8 +38,8 @@ WORD_END = "</w>"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 
-#: U+0130 lengthens in lower case; U+001C to U+001F are white space to Python alone.
-PLAIN = [chr(c) for c in range(0x250) if c != 0x130 and not 0x1C <= c <= 0x1F]
+#: Some lower cases lie elsewhere or are longer; U+001C to U+001F are white space to Python alone.
+PLAIN = [c for c in map(chr, range(0x250)) if len(c.lower()) == 1 and c.lower() < "\u0250" and not "\x1c" <= c <= "\x1f"]
 _SPACE = [c for c in PLAIN if c.isspace()]
 
 
