@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import audit
 from tillroll.operators.brands import brand_receipts_by_month, brand_spend, brand_transactions
 from tillroll.operators.cohort import recent_users
-from tillroll.operators.rank import global_dense_rank, top_k_dense, top_n_ranked
+from tillroll.operators.rank import global_dense_rank, number_in_order, top_k_dense, top_n_ranked
 from tillroll.operators.status import item_totals_by_status, quantity_with_receipt_fallback
 
 
@@ -32,6 +32,28 @@ def test_global_dense_rank_matches_brute_force(spark):
             assert got == {i: expect[v] for i, v in enumerate(values)}
 
 
+def test_global_dense_rank_without_reused_exchanges(spark):
+    df = spark.range(100_000).selectExpr("id", "(id * 7919) % 100003 as v")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        ranked = global_dense_rank(df, "v", num_partitions=16)
+        # Distinct values: the rank of v is the number of values at least as large.
+        bad = ranked.selectExpr("rank", "row_number() over (order by v desc) as place").where("rank <> place")
+        assert ranked.count() == 100_000 and bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_number_in_order_counts_through_all_ranges(spark):
+    rows = [(k % 5 if k % 11 else None, k, "x") for k in range(300)]
+    df = spark.createDataFrame(rows, "a int, b int, c string").repartition(4)
+    got = [(r.a, r.b) for r in sorted(number_in_order(df, ["a", "b"], num_partitions=6).collect(), key=lambda r: r.number)]
+    assert got == sorted(((a, b) for a, b, _ in rows), key=lambda t: (t[0] is not None, t[0] or 0, t[1]))
+    numbers = [r.number for r in number_in_order(df, ["a"], num_partitions=6).collect()]
+    assert sorted(numbers) == list(range(1, 301))
+    assert number_in_order(df.limit(0), ["a"]).count() == 0
+
+
 def test_global_dense_rank_on_doubles_checkpoints(spark):
     df = spark.createDataFrame([(1, 0.1 + 0.2), (2, 0.3), (3, 0.3), (4, None)], "k int, v double")
     got = {r.k: r.rank for r in global_dense_rank(df, "v").collect()}

@@ -6,6 +6,11 @@ from a source folder, flattens them with the loaders and writes the tables
 documents are parsed once: the parsed documents are staged as parquet in the
 shared checkpoint folder and both receipt tables are derived from that copy.
 
+All four tables are written beside the live ones and go live together: in a
+folder as one version of a :class:`tillroll.sources.snapshots.Snapshots` store,
+in a database by renaming staged tables. A load that fails before that leaves
+the tables of the last load as they were.
+
 :class:`LoadedTables` reads the written tables back with the same column
 names as :class:`tillroll.sources.tables.Tables`, so every report operator
 runs on loaded data unchanged.
@@ -13,6 +18,7 @@ runs on loaded data unchanged.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +31,8 @@ from tillroll.sources.documents import (
     load_users,
     read_documents,
 )
-from tillroll.sources.sinks import create_namespace, remove_path, stage, write_table
+from tillroll.sources.sinks import create_namespace, go_live, remove_path, stage, write_table
+from tillroll.sources.snapshots import Snapshots
 
 SOURCES = {"brands": "brands.json", "users": "users.json", "receipts": "receipts.json"}
 TABLE_NAMES = ("brands", "users", "receipts", "rewards_receipt_items")
@@ -67,11 +74,14 @@ def load_all(
     database: str | None = None,
     receipt_buckets: int | None = None,
     keep_stage: bool = False,
+    keep_versions: int = 2,
 ) -> dict[str, str]:
     """Load the three sources and write the four tables; returns name -> target.
 
-    Tables go to ``target_dir/<name>`` as files, or, with ``database``, to
-    catalog tables ``database.<name>``. ``receipt_buckets=n`` (catalog tables
+    Tables go to ``target_dir`` as one version of a store, read back with
+    :meth:`LoadedTables.from_dir` (``keep_versions`` of them stay, for readers
+    that began earlier), or, with ``database``, to catalog tables
+    ``database.<name>``. In both cases the four tables go live together. ``receipt_buckets=n`` (catalog tables
     only) buckets ``receipts`` by ``id`` and ``rewards_receipt_items`` by
     ``receipt_id`` into the same ``n`` buckets: the receipt-item join of every
     report then reads matching buckets side by side without a shuffle.
@@ -103,26 +113,45 @@ def load_all(
             "receipts": load_receipts(receipts_docs, drop_missing_id=drop_missing_id),
             "rewards_receipt_items": load_items(receipts_docs, strip_dollar=strip_dollar),
         }
-        buckets = {"receipts": ["id"], "rewards_receipt_items": ["receipt_id"]}
-        out = {}
-        for name, df in tables.items():
-            if database is None:
-                # Row groups sorted by creation time carry tight min/max values, so
-                # date-window filters pushed into the reader skip most of them.
-                if name == "receipts":
-                    df = df.sortWithinPartitions("create_date")
-                elif name == "rewards_receipt_items":
-                    df = df.sortWithinPartitions("receipt_create_date")
-                out[name] = write_table(df, f"{target_dir.rstrip('/')}/{name}", format=format)
-            else:
-                spec = (receipt_buckets, buckets[name]) if receipt_buckets and name in buckets else None
-                out[name] = write_table(df, f"{database}.{name}", format=format, as_table=True, bucket_by=spec)
+        if database is None:
+            out = _load_folder(spark, target_dir, tables, format, keep_versions)
+        else:
+            out = _load_database(spark, database, tables, format, receipt_buckets)
     finally:
         if not keep_stage:
             remove_path(spark, staged)
     return out
 
 
+def _load_folder(spark: SparkSession, target_dir: str, tables: dict[str, DataFrame], format: str, keep: int) -> dict[str, str]:
+    store = Snapshots(spark, target_dir)
+    change = store.change()
+    # Row groups sorted by creation time carry tight min/max values, so
+    # date-window filters pushed into the reader skip most of them.
+    order = {"receipts": "create_date", "rewards_receipt_items": "receipt_create_date"}
+    for name, df in tables.items():
+        change.replace(name, df.sortWithinPartitions(order[name]) if name in order else df, format)
+    change.commit()
+    store.vacuum(keep)
+    return {name: f"{store.root}/{name}" for name in tables}
+
+
+def _load_database(spark: SparkSession, database: str, tables: dict[str, DataFrame], format: str, n: int | None) -> dict[str, str]:
+    buckets = {"receipts": ["id"], "rewards_receipt_items": ["receipt_id"]}
+    load = uuid.uuid4().hex[:8]
+    staged = {f"{database}.{name}": f"{database}.{name}__new_{load}" for name in tables}
+    try:
+        for name, df in tables.items():
+            spec = (n, buckets[name]) if n and name in buckets else None
+            write_table(df, staged[f"{database}.{name}"], format=format, as_table=True, bucket_by=spec)
+        go_live(spark, staged)
+    except Exception:
+        for name in staged.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        raise
+    return {name: f"{database}.{name}" for name in tables}
+
+
 @dataclass
 class LoadedTables:
     """The batch load's output tables, read back."""
@@ -149,10 +178,13 @@ class LoadedTables:
 
     @classmethod
     def from_dir(cls, spark: SparkSession, target_dir: str, format: str = "parquet") -> "LoadedTables":
-        base = target_dir.rstrip("/")
+        """The tables written by :func:`load_all` with ``target_dir``; tables
+        loaded one by one (:func:`load_table`) are read from ``target_dir/<name>``."""
+        store = Snapshots(spark, target_dir)
+        versioned = bool(store.versions())
 
         def read(name: str) -> DataFrame:
-            return spark.read.format(format).load(f"{base}/{name}")
+            return store.read(name) if versioned else spark.read.format(format).load(f"{store.root}/{name}")
 
         return cls(
             receipts=read("receipts"),

@@ -60,6 +60,28 @@ def write_table(
     return target
 
 
+def go_live(spark: SparkSession, staged: dict[str, str]) -> None:
+    """Let staged catalog tables take the places of live ones (live name -> staged name).
+
+    Nothing is written here, only renamed. If a rename fails, those made before
+    it are taken back, so either all tables are new or all are as they were; the
+    old ones are dropped last.
+    """
+    old = {live: f"{live}__old_{uuid.uuid4().hex[:8]}" for live in staged if spark.catalog.tableExists(live)}
+    renames = [pair for live, new in staged.items() for pair in ([(live, old[live])] if live in old else []) + [(new, live)]]
+    made: list[tuple[str, str]] = []
+    try:
+        for before, after in renames:
+            spark.sql(f"ALTER TABLE {before} RENAME TO {after}")
+            made.append((before, after))
+    except Exception:
+        for before, after in reversed(made):
+            spark.sql(f"ALTER TABLE {after} RENAME TO {before}")
+        raise
+    for name in old.values():
+        spark.sql(f"DROP TABLE {name}")
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete ``path`` (recursively) through the Hadoop FileSystem of the session."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,17 +1,16 @@
 """Incremental loading with Structured Streaming: keep the latest record per key.
 
 New documents arrive as files in a folder. A streaming query reads them
-(``readStream`` with a declared schema), and every micro-batch is merged into
-a parquet table that keeps only the latest version of each key
-(:func:`tillroll.operators.upsert.merge_latest`).
-
-The target table is partitioned by ``_bucket = pmod(xxhash64(key), buckets)``.
-A micro-batch reads only the buckets it touches, merges, cuts the lineage with
-a reliable ``checkpoint()`` in the shared checkpoint folder (so the files it
-is about to replace are no longer an input), and overwrites just those
-buckets (dynamic partition overwrite). The stream's own checkpoint makes the
-query restartable: a batch that failed half way is re-run, and re-running a
-merge of the same batch gives the same table.
+(``readStream`` with a declared schema), and every micro-batch is merged into a
+table of a :class:`tillroll.sources.snapshots.Snapshots` store that keeps only
+the latest version of each key.
+
+A micro-batch becomes one commit of that store: its rows are written as deltas
+of the buckets they belong to, beside the live files, and go live with the
+store's next manifest. The manifest also notes the stream and the number of the
+batch. A batch that was lost half way is run again from the stream's own
+checkpoint on the unchanged table; one that was committed just before the loss
+is recognised by its number and passed over.
 """
 
 from __future__ import annotations
@@ -23,57 +22,22 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from tillroll.operators.upsert import latest_per_key, merge_latest
 from tillroll.session import ensure_checkpoint_dir
+from tillroll.sources.snapshots import Snapshots
 
-BUCKET = "_bucket"
+TABLE = "latest"
 
 
-def bucket_of(key: str | Sequence[str], buckets: int):
-    keys = [key] if isinstance(key, str) else list(key)
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
-def _stored_buckets(spark: SparkSession, target_dir: str, buckets: int | None) -> tuple[int, bool]:
-    """The table's number of buckets, and whether the table was there already.
-
-    The number is stored beside the table when it is first written and holds
-    for its life: another one asked for is an error, since a key would then
-    live in two buckets. Only a missing marker means "no table yet"; any other
-    failure rises.
-    """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    marker = jvm.org.apache.hadoop.fs.Path(target_dir, "_buckets")
-    fs = marker.getFileSystem(conf)
-    if fs.exists(marker):
-        stream = fs.open(marker)
-        try:
-            stored = stream.readInt()
-        finally:
-            stream.close()
-        if buckets is not None and buckets != stored:
-            raise ValueError(f"{target_dir} has {stored} buckets, not {buckets}")
-        return stored, True
-    if fs.exists(marker.getParent()) and len(fs.listStatus(marker.getParent())):
-        raise ValueError(f"{target_dir} holds data without a stored number of buckets")
-    return buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), False
-
-
-def _store_buckets(spark: SparkSession, target_dir: str, buckets: int) -> None:
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target_dir, "_buckets")
-    out = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(marker, True)
-    try:
-        out.writeInt(buckets)
-    finally:
-        out.close()
-
-
-def _bucket_folders(spark: SparkSession, target_dir: str) -> list[str]:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target_dir)
-    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
-    return [f.getPath().getName() for f in found if f.getPath().getName().startswith(f"{BUCKET}=")]
+def _store(spark: SparkSession, target_dir: str) -> Snapshots:
+    """The store of a target; a folder that holds anything else is an error."""
+    store = Snapshots(spark, target_dir)
+    if not store.versions():
+        others = [n for n in store.files.names(target_dir) if n not in ("_manifest", TABLE)]
+        if others:
+            raise ValueError(f"{target_dir} holds other data: {others[:3]}")
+    return store
 
 
 def upsert_batch(
@@ -83,41 +47,20 @@ def upsert_batch(
     order_col: str,
     tie_breakers: Sequence[str] = (),
     buckets: int | None = None,
+    source: str | None = None,
+    epoch: int | None = None,
 ) -> None:
-    """Merge one batch of records into the bucketed latest-per-key table.
+    """Merge one batch of records into the latest-per-key table of ``target_dir``.
 
     ``buckets`` sizes a new table (default: ``spark.sql.shuffle.partitions``);
-    it is stored with the table, whose number holds from then on.
+    it is stored with the table, whose number holds from then on. With ``source``
+    and ``epoch`` a batch that the table already holds is passed over.
     """
-    spark = batch.sparkSession
-    ensure_checkpoint_dir(spark)
-    buckets, there = _stored_buckets(spark, target_dir, buckets)
-    changes = batch.withColumn(BUCKET, bucket_of(key, buckets))
-    # The touched buckets: at most ``buckets`` small integers.
-    touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
-    if not touched:
+    change = _store(batch.sparkSession, target_dir).change()
+    if source is not None and epoch is not None and epoch <= change.done(source):
         return
-    if not there:
-        # Before the first rows, so a failed first batch leaves no table
-        # without its number.
-        _store_buckets(spark, target_dir, buckets)
-    written = there and bool(_bucket_folders(spark, target_dir))
-    if written:
-        current = spark.read.parquet(target_dir).where(F.col(BUCKET).isin(touched))
-        # The merge reads files that the write below replaces: cut the lineage
-        # first (reliable checkpoint in the shared folder).
-        merged = merge_latest(current, changes, key, order_col, tie_breakers).checkpoint(eager=True)
-    else:
-        merged = latest_per_key(changes, key, order_col, tie_breakers)
-    # One row per key after the merge, so hashing by bucket is balanced even
-    # when a key had a third of the versions; each bucket becomes one file.
-    (
-        merged.repartition(BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(target_dir)
-    )
+    change.upsert(TABLE, batch, key, [order_col, *tie_breakers], buckets)
+    change.commit(source, epoch)
 
 
 def start_upsert_stream(
@@ -137,16 +80,30 @@ def start_upsert_stream(
     document loader). With ``available_now`` the query processes what is
     there and stops; otherwise it keeps running on new files.
     """
-    spark = stream.sparkSession
-    if checkpoint_location is None:
-        base = ensure_checkpoint_dir(spark).rstrip("/")
-        checkpoint_location = f"{base}/tillroll-streams/{uuid.uuid4().hex}"
 
-    def each(batch: DataFrame, epoch_id: int) -> None:
+    def each(batch: DataFrame, source: str, epoch: int) -> None:
         rows = transform(batch) if transform is not None else batch
-        upsert_batch(rows, target_dir, key, order_col, tie_breakers, buckets)
+        upsert_batch(rows, target_dir, key, order_col, tie_breakers, buckets, source, epoch)
+
+    return start_batches(stream, each, checkpoint_location, available_now)
+
+
+def start_batches(
+    stream: DataFrame,
+    each: Callable[[DataFrame, str, int], None],
+    checkpoint_location: str | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Run ``each(batch, source, epoch)`` on every micro-batch of ``stream``.
 
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
+    ``source`` names the stream for good: it is the place of its checkpoint, on
+    which the numbers of its batches depend.
+    """
+    if checkpoint_location is None:
+        base = ensure_checkpoint_dir(stream.sparkSession).rstrip("/")
+        checkpoint_location = f"{base}/tillroll-streams/{uuid.uuid4().hex}"
+    writer = stream.writeStream.foreachBatch(lambda batch, epoch: each(batch, checkpoint_location, epoch))
+    writer = writer.option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
 
@@ -163,16 +120,13 @@ def document_stream(
 
 
 def read_latest(spark: SparkSession, target_dir: str, schema: StructType | str | None = None) -> DataFrame:
-    """The upserted table without its bucket column.
-
-    With ``schema`` (the record schema) no footers are read to infer it.
-    """
-    reader = spark.read
-    if isinstance(schema, str):
-        reader = reader.schema(f"{schema}, {BUCKET} int")
-    elif schema is not None:
-        reader = reader.schema(StructType(schema.fields + [StructField(BUCKET, IntegerType())]))
-    return reader.parquet(target_dir).drop(BUCKET)
+    """The upserted table. The store knows its schema; one that is given selects
+    its columns and their types."""
+    latest = Snapshots(spark, target_dir).read(TABLE)
+    if schema is None:
+        return latest
+    fields = spark.createDataFrame([], schema).schema.fields
+    return latest.select(*[F.col(f.name).cast(f.dataType) for f in fields])
 
 
 def scratch_target(spark: SparkSession, name: str) -> str:
