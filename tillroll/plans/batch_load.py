@@ -5,6 +5,7 @@ from a source folder, flattens them with the loaders and writes the tables
 ``brands``, ``users``, ``receipts`` and ``rewards_receipt_items``. Receipt
 documents are parsed once: the parsed documents are staged as parquet in the
 shared checkpoint folder and both receipt tables are derived from that copy.
+Files of one JSON array are read in parallel (:mod:`tillroll.sources.arrays`).
 
 All four tables are written beside the live ones and go live together: in a
 folder as one version of a :class:`tillroll.sources.snapshots.Snapshots` store,
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.sources import schemas as S
+from tillroll.sources.arrays import read_arrays
 from tillroll.sources.documents import (
     load_brands,
     load_items,
@@ -87,26 +89,35 @@ def load_all(
     report then reads matching buckets side by side without a shuffle.
 
     ``on_missing="empty"`` writes an empty table (with its columns) for a
-    missing source file; ``on_corrupt`` is passed to
-    :func:`tillroll.sources.documents.read_documents`. The staged parse of
-    the receipt documents is removed when the load ends, also by an error,
-    unless ``keep_stage``. A database that isn't there is created.
+    missing source file; ``on_corrupt`` tells what a malformed document does
+    (:func:`tillroll.sources.arrays.read_arrays`). Staged documents are removed
+    when the load ends, also by an error, unless ``keep_stage``. A database that isn't there is created.
     """
     if (target_dir is None) == (database is None):
         raise ValueError("give exactly one of target_dir and database")
     if receipt_buckets is not None and database is None:
         raise ValueError("bucketed tables need a database (catalog tables)")
     src = src_dir.rstrip("/")
+    staged: list[str] = []
 
     def docs(name: str, schema) -> DataFrame:
-        return read_documents(
-            spark, f"{src}/{SOURCES[name]}", schema, multiline, on_missing=on_missing, on_corrupt=on_corrupt
-        )
+        """The parsed documents of a source; those of receipts, which two tables
+        read, and those of array files are staged."""
+        path = f"{src}/{SOURCES[name]}"
+        if multiline:
+            read, folder = read_arrays(spark, path, schema, on_missing=on_missing, on_corrupt=on_corrupt)
+        else:
+            read = read_documents(spark, path, schema, False, on_missing=on_missing, on_corrupt=on_corrupt)
+            if name != "receipts":
+                return read
+            read, folder = stage(read, "receipt-documents")
+        staged.append(folder)
+        return read
 
     if database is not None:
         create_namespace(spark, database)
-    receipts_docs, staged = stage(docs("receipts", S.RECEIPT), "receipt-documents")
     try:
+        receipts_docs = docs("receipts", S.RECEIPT)
         tables = {
             "brands": load_brands(docs("brands", S.BRAND)),
             "users": load_users(docs("users", S.USER)),
@@ -118,8 +129,8 @@ def load_all(
         else:
             out = _load_database(spark, database, tables, format, receipt_buckets)
     finally:
-        if not keep_stage:
-            remove_path(spark, staged)
+        for folder in () if keep_stage else staged:
+            remove_path(spark, folder)
     return out
 
 

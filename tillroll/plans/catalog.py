@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators import audit
+from tillroll.operators import audit, rollups
 from tillroll.operators.brands import (
     brand_code_spend,
     brand_receipts_by_month,
@@ -34,7 +34,9 @@ from tillroll.operators.status import (
     status_totals_by_month,
 )
 from tillroll.operators.upsert import latest_per_key
+from tillroll.plans import incremental
 from tillroll.sources import schemas
+from tillroll.sources.arrays import read_arrays
 from tillroll.sources.documents import (
     corrupt_counts,
     explode_outer_items,
@@ -44,8 +46,9 @@ from tillroll.sources.documents import (
     load_users,
     parse_documents,
 )
-from tillroll.sources.roundtrip import brand_documents, receipt_documents, user_documents
+from tillroll.sources.roundtrip import brand_documents, receipt_documents, user_documents, write_arrays
 from tillroll.sources.sinks import remove_path, stage
+from tillroll.sources.snapshots import Snapshots
 from tillroll.sources.tables import (
     BRAND_FIELDS,
     ITEM_FIELDS_WRITTEN,
@@ -62,6 +65,7 @@ from tillroll.streaming.upsert import read_latest, scratch_target, start_upsert_
 TOP_MONTH = ("1998-02-01", "1998-03-01")  # Q1: one month, end exclusive
 TOP_MONTHS = ("1998-01-01", "1998-03-01")  # Q2: two months, end exclusive
 AUDIT_WINDOW = ("1998-02-01", "1998-03-01")  # D6, R2: BETWEEN, both ends inclusive
+STORED_UNTIL = ("1997-06-15", "1999-01-01")  # A3: where the batches of stored counts begin
 TOP_K = 5
 COHORT_MONTHS = 6
 EXCLUDED_ROLES = (STAFF_ROLE,)
@@ -286,6 +290,106 @@ def load_brands_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_brands(parse_documents(docs, schemas.BRAND))
 
 
+#: Files that a source's documents are written to as JSON arrays.
+ARRAY_FILES = 3
+
+
+def _from_files(spark: SparkSession, docs: DataFrame, name: str, schema) -> DataFrame:
+    """Documents written to files of one JSON array each, and read back from them in byte ranges."""
+    folder = scratch_target(spark, name)
+    write_arrays(docs, folder, ARRAY_FILES)
+    try:
+        return read_arrays(spark, folder, schema)[0]
+    finally:
+        remove_path(spark, folder)  # what was read is staged
+
+
+def load_receipts_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = receipt_documents(with_fields(_t(spark, sf_dir).receipts, RECEIPT_FIELDS))
+    return load_receipts(_from_files(spark, docs, "receipt-files", schemas.RECEIPT))
+
+
+def load_items_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_items(_from_files(spark, _receipt_source(spark, sf_dir), "item-files", schemas.RECEIPT))
+
+
+def _as_version(docs: DataFrame, day: int, deleted: bool = False) -> DataFrame:
+    """Document texts with the fields that tell their version."""
+    fields = f'{{"db_last_modified":{{"$date":{day * 86_400_000}}},"deleted":{str(deleted).lower()},'
+    return docs.select(F.concat(F.lit(fields), F.expr("substr(value, 2)")).alias("value"))
+
+
+def _take_in(spark: SparkSession, source: str, batches: list[DataFrame]) -> str:
+    """Let the batches arrive one after another as files of a stream; the store's folder."""
+    arriving, root, checkpoint = (scratch_target(spark, f"{source}-{part}") for part in ("arriving", "store", "stream"))
+    for batch in batches:
+        batch.write.mode("append").text(arriving)
+        incremental.start_load_stream(spark, source, arriving, root, checkpoint).awaitTermination()
+    remove_path(spark, arriving)
+    return root
+
+
+def incremental_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts and items after three batches: first versions of all receipts, with
+    other quantities and more lines; the final ones of finished receipts; then the
+    final ones of the others, with the first versions of finished ones again, late."""
+    t = _t(spark, sf_dir)
+    finished = F.coalesce(F.col("status"), F.lit("")) == "FINISHED"
+    more = t.items.withColumn("line_no", F.col("line_no") + 100)
+    wrong = t.items.withColumn("quantity_purchased", F.col("quantity_purchased") + 1).unionByName(more)
+    first = lambda receipts: _as_version(receipt_documents(receipts, wrong), 1)
+    final = lambda receipts: _as_version(receipt_documents(receipts, t.items), 2)
+    late = final(t.receipts.where(~finished)).unionAll(first(t.receipts.where(finished)))
+    root = _take_in(spark, "receipts", [first(t.receipts), final(t.receipts.where(finished)), late])
+    now = incremental.current_tables(spark, root)
+    receipts = now.receipts.select(F.col("id").alias("receipt_id"), "status")
+    return now.items.join(receipts, "receipt_id").select("receipt_id", "status", "item_number", "brand_code", "quantity_purchased", "final_price")
+
+
+def incremental_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users after two batches: all as consumers, then those of another role as
+    they are, and staff deleted; consumers are delivered twice."""
+    users = with_fields(_t(spark, sf_dir).users, USER_FIELDS)
+    staff = F.coalesce(F.col("role"), F.lit("")) == STAFF_ROLE
+    consumers = users.withColumn("role", F.lit("consumer"))
+    first = _as_version(user_documents(consumers), 1)
+    others = _as_version(user_documents(users.where(~staff)), 2).unionAll(_as_version(user_documents(users.where(staff)), 2, deleted=True))
+    root = _take_in(spark, "users", [first, others.unionAll(first)])
+    return incremental.current_tables(spark, root).users
+
+
+def _stored_counts(spark: SparkSession, sf_dir: str) -> Snapshots:
+    """The daily sets of all receipts, taken in as three batches; the last one
+    brings a month of the first again."""
+    t = _t(spark, sf_dir)
+    store = Snapshots(spark, scratch_target(spark, "brand-days"))
+    created = F.col("create_date")
+    again = created.between(F.lit(TOP_MONTH[0]).cast("timestamp_ntz"), F.lit(TOP_MONTH[1]).cast("timestamp_ntz"))
+    one, two = (F.lit(d).cast("timestamp_ntz") for d in STORED_UNTIL)
+    for batch in (created < one, (created >= one) & (created < two), (created >= two) | again):
+        rollups.add_receipts(store, t.receipts.where(batch), t.items, t.brands)
+    return store
+
+
+def _near(estimate: str, exact: str):
+    bound = F.greatest(F.lit(1.0), 3 * rollups.relative_error() * F.col(exact))
+    return F.abs(F.col(estimate) - F.col(exact)) <= bound
+
+
+def stored_receipts_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct receipts by month and brand from stored daily sets, and whether
+    the sketches' estimate is within three standard errors."""
+    store = _stored_counts(spark, sf_dir)
+    both = rollups.receipts_by_brand(store).join(rollups.estimated_receipts_by_brand(store), ["month", "brand_name"])
+    return both.select("month", "brand_name", "total_receipts", _near("estimate", "total_receipts").alias("sketch_agrees"))
+
+
+def stored_branded_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct receipts with a branded item in two months, over all brands, from stored daily sets."""
+    counts = rollups.branded_receipts(_stored_counts(spark, sf_dir), *TOP_MONTHS)
+    return counts.select("total_with_brand", _near("estimate", "total_with_brand").alias("sketch_agrees"))
+
+
 # Pending receipts stand for the documents without an id, or cut short.
 _PENDING = "status = 'PENDING'"
 
@@ -467,4 +571,10 @@ QUERIES: dict[str, Query] = {
     "duplicate_item_lines": duplicate_item_lines,
     "latest_event_per_user": latest_event_per_user,
     "latest_event_per_user_stream": latest_event_per_user_stream,
+    "load_receipts_from_files": load_receipts_from_files,
+    "load_items_from_files": load_items_from_files,
+    "incremental_items": incremental_items,
+    "incremental_users": incremental_users,
+    "stored_receipts_by_brand": stored_receipts_by_brand,
+    "stored_branded_receipts": stored_branded_receipts,
 }

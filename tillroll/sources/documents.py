@@ -15,12 +15,14 @@ functions turn parsed documents into tables:
   ``cpg_id``, barcode parsed leniently to BIGINT with the text kept.
 
 Everything is a column expression or ``posexplode``; nothing leaves the
-executors. A JSON-array file is read by one task (the format is not
-splittable); JSON lines split by block.
+executors. Here a JSON-array file is read by one task; JSON lines split by block.
+:mod:`tillroll.sources.arrays` reads array files in parallel.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, LongType, StringType, StructField, StructType
@@ -137,8 +139,12 @@ def _date(schema: StructType, field: str) -> Column:
     return epoch_millis_to_ts(_field(schema, f"{field}.$date", LongType())).alias(S.snake_case(field))
 
 
-def load_receipts(docs: DataFrame, drop_missing_id: bool = False) -> DataFrame:
-    """Receipt documents to the receipts table (14 columns)."""
+def load_receipts(docs: DataFrame, drop_missing_id: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """Receipt documents to the receipts table (14 columns).
+
+    Here and in the other loaders, ``carry`` names further columns of ``docs``
+    that every row keeps.
+    """
     sch = docs.schema
     oid = _field(sch, "_id.$oid", StringType())
     if drop_missing_id:
@@ -154,10 +160,13 @@ def load_receipts(docs: DataFrame, drop_missing_id: bool = False) -> DataFrame:
         _field(sch, "pointsEarned", text).alias("points_earned"),
         _field(sch, "purchasedItemCount", long).alias("purchased_item_count"),
         _field(sch, "totalSpent", text).alias("total_spent"),
+        *carry,
     )
 
 
-def load_items(docs: DataFrame, strip_dollar: bool = True, receipt_date: bool = True) -> DataFrame:
+def load_items(
+    docs: DataFrame, strip_dollar: bool = True, receipt_date: bool = True, carry: Sequence[str] = ()
+) -> DataFrame:
     """Receipt documents to the items table (one row per listed item).
 
     ``strip_dollar`` removes a leading ``$`` from price text before the
@@ -177,6 +186,7 @@ def load_items(docs: DataFrame, strip_dollar: bool = True, receipt_date: bool =
     exploded = docs.select(
         rid.alias("receipt_id"),
         _date(sch, "createDate").alias("_receipt_date"),
+        *carry,
         F.posexplode(items_of_valid).alias("_pos", "_item"),
     )
     numeric = set(S.ITEM_NUMERIC_TEXT_FIELDS)
@@ -188,10 +198,10 @@ def load_items(docs: DataFrame, strip_dollar: bool = True, receipt_date: bool =
         for f in S.ITEM.fields
     ]
     extra = [F.col("_receipt_date").alias("receipt_create_date")] if receipt_date else []
-    return exploded.select("receipt_id", (F.col("_pos") + 1).alias("line_no"), *cols, *extra)
+    return exploded.select("receipt_id", (F.col("_pos") + 1).alias("line_no"), *cols, *extra, *carry)
 
 
-def load_users(docs: DataFrame) -> DataFrame:
+def load_users(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """User documents to the users table (7 columns)."""
     sch = docs.schema
     text = StringType()
@@ -202,10 +212,11 @@ def load_users(docs: DataFrame) -> DataFrame:
         _field(sch, "role", text).alias("role"),
         _field(sch, "signUpSource", text).alias("sign_up_source"),
         _field(sch, "state", text).alias("state"),
+        *carry,
     )
 
 
-def load_brands(docs: DataFrame) -> DataFrame:
+def load_brands(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Brand documents to the brands table.
 
     ``barcode`` is the lenient BIGINT of the text (leading zeros and letters
@@ -225,6 +236,7 @@ def load_brands(docs: DataFrame) -> DataFrame:
         _field(sch, "brandCode", text).alias("brand_code"),
         _field(sch, "cpg.$ref", text).alias("cpg_ref"),
         _field(sch, "cpg.$id.$oid", text).alias("cpg_id"),
+        *carry,
     )
 
 

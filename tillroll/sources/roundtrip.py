@@ -13,6 +13,9 @@ stand in one list in its document, as in the source.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -104,3 +107,17 @@ def brand_documents(brands: DataFrame, barcode_width: int = 12) -> DataFrame:
         F.struct(F.lit(CPG_REF).alias("$ref"), _oid(F.col("category")).alias("$id")).alias("cpg"),
     )
     return brands.select(F.to_json(doc).alias("value"))
+
+
+def write_arrays(docs: DataFrame, folder: str, files: int) -> None:
+    """Write documents (column ``value``) as ``files`` files of one JSON array each."""
+
+    def lines(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for part in parts:
+            values = part.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([("," if i else before) + v for i, v in enumerate(values)])], ["value"])
+            before = "," if values else before
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if before == "[" else "]"])], ["value"])
+
+    docs.select("value").repartition(files).mapInArrow(lines, "value string").write.text(folder)
