@@ -52,6 +52,8 @@ TRAIN_STEPS = 96
 BATCH_CHARS = 1 << 19
 #: Pages that the network reads in step.
 LANES = 64
+#: Steps of all lanes together; a page of more has a lane alone.
+CELLS = 1 << 14
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<([!?])[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -385,7 +387,7 @@ def fit(pages: DataFrame) -> dict:
     plain = F.min(~F.coalesce(F.col("html").rlike(_HAS_MAIN), F.lit(False))).alias("plain")
     found = pages.where("page_id is not null").groupBy(F.col("page_id").alias("_id")).agg(plain)
     chosen = found.select(F.xxhash64("_id").alias("place"), "_id", "plain").orderBy("plain", "place", "_id").limit(MAX_TRAIN)
-    sample = pages.join(chosen, pages["page_id"] == chosen["_id"]).select("place", "html")
+    sample = pages.join(chosen, pages["page_id"] == chosen["_id"]).groupBy("place").agg(F.min("html").alias("html"))
     shapes = {k: v.shape for k, v in new_net().items()}
 
     def learn(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,7 +396,10 @@ def fit(pages: DataFrame) -> dict:
         net = train(found) if found else new_net()
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([net[k].ravel() for k in shapes]).astype("<f8").tobytes()])], ["net"])
 
-    flat = np.frombuffer(sample.repartition(1).mapInArrow(learn, "net binary").collect()[0]["net"], "<f8")
+    learnt = sample.repartition(1).mapInArrow(learn, "net binary").collect()
+    if not learnt:  # no rows, no task
+        return new_net()
+    flat = np.frombuffer(learnt[0]["net"], "<f8")
     net, at = {}, 0
     for k, shape in shapes.items():
         size = int(np.prod(shape))
@@ -407,8 +412,12 @@ def extract(pages: list[str], net: dict) -> list[str]:
     found = [leaves(p) for p in pages]
     texts, slots = [""] * len(pages), {}
     order = sorted((i for i, x in enumerate(found) if x), key=lambda i: len(found[i]))
-    for lo in range(0, len(order), LANES):
-        part = order[lo : lo + LANES]
+    while order:
+        # The longest page sets the steps of all lanes beside it.
+        n = 1
+        while n < min(LANES, len(order)) and (n + 1) * len(found[order[n]]) <= CELLS:
+            n += 1
+        part, order = order[:n], order[n:]
         main = scores(net, Vectors([found[i] for i in part], slots)) >= 0.5
         at = 0
         for i in part:

@@ -6,7 +6,10 @@ first cut at *safe boundaries*: a place between a non-space and a white-space
 character. Every alternative of the split pattern that takes in a non-space
 ends before white space, and none looks back, so each match of the pattern
 lies on one side of the cut and the ids of the pieces, put together, are the
-ids of the text. A run without white space stays whole.
+ids of the text. A run without white space stays whole. A long run of white
+space is one match but for its last character, which belongs to the word behind
+it, if there is one: it goes to the byte-pair merge as it is, since the library's
+pattern matcher takes a stack frame for each of its characters.
 
 Defined results: a null text counts as empty and has no ids; repeated rows are
 encoded each on their own; an empty table gives an empty result; only ``doc_id``
@@ -25,9 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tillroll.llm.common import tidy
+
 #: Texts above this many characters are cut at safe boundaries.
 PIECE_CHARS = 1 << 16
-_SAFE = re.compile(r"(?<=\S)(?=\s)")
+#: White space of both Python and the pattern's library, behind a character that is none for either.
+_SAFE = re.compile(r"(?<=\S)(?=[ \t-\r])")
+#: A long run of what the library calls white space (U+001C to U+001F are that to Python alone).
+_LONG_SPACE = re.compile(r"[^\S\x1c-\x1f]{%d,}" % PIECE_CHARS)
 
 
 def default_ranks() -> str:
@@ -67,7 +75,14 @@ def encode(enc, text: str | None) -> np.ndarray:
         return np.empty(0, np.uint32)
     if len(text) <= PIECE_CHARS:
         return np.array(enc.encode_ordinary(text), np.uint32)
-    return np.concatenate([np.array(enc.encode_ordinary(p), np.uint32) for p in pieces(text)])
+    out, at = [], 0
+    for run in _LONG_SPACE.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out += [enc.encode_ordinary(p) for p in pieces(text[at : run.start()])]
+        out.append(enc._encode_single_piece(text[run.start() : end]))
+        at = end
+    out += [enc.encode_ordinary(p) for p in pieces(text[at:])]
+    return np.concatenate([np.array(ids, np.uint32) for ids in out])
 
 
 def decode(enc, ids: np.ndarray) -> bytes:
@@ -78,6 +93,7 @@ def encoded(docs: DataFrame, rank_file: str | None = None) -> DataFrame:
     """``doc_id`` and the ids of its text as little-endian bytes (uint32)."""
     path = rank_file or default_ranks()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
@@ -91,6 +107,7 @@ def decoded(tokens: DataFrame, rank_file: str | None = None) -> DataFrame:
     """``doc_id`` and the raw bytes its ``ids`` stand for."""
     path = rank_file or default_ranks()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
@@ -107,6 +124,7 @@ def digests(docs: DataFrame, rank_file: str | None = None) -> DataFrame:
     """
     path = rank_file or default_ranks()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:

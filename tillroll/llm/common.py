@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +80,24 @@ def word_array(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.size(word_array(text)).cast("long")
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``; behind it the Python worker, which Spark keeps
+    for later tasks, gives the memory it no longer uses back to the machine."""
+
+    @functools.wraps(run)
+    def whole(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(parts)
+        finally:
+            give_back()
+
+    return whole
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+    if trim is not None:
+        trim(0)

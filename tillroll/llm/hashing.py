@@ -9,6 +9,8 @@ modulo 2**64.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
 _U = np.uint64
@@ -23,29 +25,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+#: Powers that are kept; longer tables are made from them for one buffer.
+KEPT = 4096
+
+
+@functools.lru_cache(maxsize=8)
+def _powers(factor: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(KEPT - 1, factor, _U)]))
+
+
+def powers(factor: int, n: int) -> np.ndarray:
+    """factor ** 0, ..., factor ** (n - 1)."""
+    low = _powers(factor)
+    if n <= KEPT:
+        return low[:n]
+    step = pow(factor, KEPT, 1 << 64)
+    high = np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full((n - 1) // KEPT, step, _U)]))
+    return (high[:, None] * low[None, :]).ravel()[:n]
+
+
 class Rolling:
     """Names of strings of one buffer; the seed chooses the hash function."""
 
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
     def __init__(self, data: np.ndarray, seed: int = 1):
         base = mix(np.arange(seed * 1000, seed * 1000 + 257, dtype=_U)) | _U(1)
-        n = len(data)
-        up, self.down = self._tables(int(base[256]), seed, n + 1)
+        factor, n = int(base[256]), len(data)
         self.sums = np.zeros(n + 1, _U)
-        np.cumsum(base[data] * up[:n], out=self.sums[1:])
-
-    @classmethod
-    def _tables(cls, factor: int, seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        have = cls._powers.get(seed)
-        if have is None or len(have[0]) < n:
-            size = 1 << max(12, (n - 1).bit_length())
-            inverse = pow(factor, -1, 1 << 64)
-            have = tuple(
-                np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(size - 1, x, _U)])) for x in (factor, inverse)
-            )
-            cls._powers[seed] = have
-        return have[0][:n], have[1][:n]
+        np.cumsum(base[data] * powers(factor, n), out=self.sums[1:])
+        self.down = powers(pow(factor, -1, 1 << 64), n + 1)
 
     def names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.down[start])

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SPACES, fresh, written
+from tillroll.llm.common import SPACES, fresh, give_back, tidy, written
 from tillroll.llm.components import components
 from tillroll.llm.hashing import Rolling, batches, mix
 
@@ -112,6 +112,7 @@ def signature(grams: np.ndarray, hashes: int) -> np.ndarray:
 def _bands(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """(id, hashes) of every document with a word: one hash a band."""
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = [(t or "").encode() for t in part.column(1).to_pylist()]
@@ -135,6 +136,7 @@ def _ngram_sets(members: DataFrame) -> DataFrame:
     """``members`` with their n-gram names as bytes in place of their text."""
     names = [c for c in members.columns if c != "text"]
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = [(t or "").encode() for t in part.column("text").to_pylist()]
@@ -199,9 +201,12 @@ def _links(left: pd.DataFrame, right: pd.DataFrame | None = None) -> pd.DataFram
 def _compared(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """A pair of blocks of one neighbourhood, or many small neighbourhoods."""
     _, i, j = key
-    if i != j:
-        return _links(group[group["block"] == i], group[group["block"] == j])
-    return pd.concat([_links(part) for _, part in group.groupby("component")])
+    try:
+        if i != j:
+            return _links(group[group["block"] == i], group[group["block"] == j])
+        return pd.concat([_links(part) for _, part in group.groupby("component")])
+    finally:
+        give_back()
 
 
 def _smallest(linked: np.ndarray, own: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -300,10 +305,14 @@ def _verified(named: DataFrame, reps: DataFrame, around: DataFrame) -> DataFrame
 
 def first_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each near-duplicate class: the one with
-    the smallest id. Rows without an id stay; of repeated ids one row stays."""
-    kept = near_duplicates(docs).where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
+    the smallest id. Rows without an id stay. Of rows equal in id and text one
+    stays. An id that stands for several texts names none of them, so all of
+    these stay."""
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    texts = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_kept")).agg(F.min(digest).alias("a"), F.max(digest).alias("b"))
+    kept = near_duplicates(docs).where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).union(texts.where("a <> b").select("_kept")).distinct()
     turn = fresh(docs, "_turn")
-    one = Window.partitionBy("doc_id").orderBy("text")
+    one = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
     named = (
         docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
         .withColumn(turn, F.row_number().over(one))

@@ -1,14 +1,14 @@
-"""Removal of long repeated byte strings by distributed prefix doubling.
+"""Removal of long repeated byte strings by ranks of growing length.
 
 A byte goes if some string of ``LENGTH`` bytes that covers it also starts
 earlier (in a document of a smaller id, or at an earlier place of the same
 one). Strings never cross documents.
 
-Prefix doubling ranks positions by their first h bytes and goes on, with longer
-and longer h, until a position's rank is unique or the threshold length is
-passed. Sorting every byte position would shuffle over ten times the input in
-each round, so a round ranks *sampled* positions, and later rounds only look at
-strings that the ranks so far leave open:
+Like prefix doubling, this ranks positions by their first h bytes and goes on,
+with longer h, until a rank is unique or the threshold length is passed; unlike
+it, positions are not sorted and ranks of pairs of positions not ranked again. A
+round ranks *sampled* positions, and later rounds only look at strings that the
+ranks so far leave open:
 
 1. *Sample.* In each ``LENGTH``-byte string the one of its h-byte strings with
    the smallest hash (the first of them) is its anchor. Equal strings have
@@ -30,7 +30,8 @@ rank are pre-aggregated, and runs come back to their rank by an equi-join, so
 one passage in a third of all documents is split over tasks.
 
 Defined results: a null or empty text has 0 bytes; texts under ``LENGTH``
-bytes stay; rows that repeat an id share its positions and stay or go alike;
+bytes stay; rows equal in id and text share its positions and stay or go alike;
+where an id stands for several texts, they follow each other by their digests;
 rows without an id stay whole and remove nothing; an empty table gives an
 empty result. Only doc_id and text are read.
 """
@@ -43,15 +44,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import fresh, written
+from tillroll.llm.common import fresh, tidy, written
 from tillroll.llm.hashing import Rolling, batches
 
 LENGTH = 100
 #: Anchor lengths of the rounds; the last one is LENGTH.
 ROUNDS = (32, 84, LENGTH)
+#: A run's start holds, above this many bits, which text of its id it is in.
+PLACE_BITS = 40
 #: Bytes of text that are hashed together.
 BATCH_BYTES = 1 << 20
 
@@ -107,39 +110,57 @@ def runs(texts: list[bytes], h: int, listed: list[Places] | None = None) -> Iter
 
 
 def _runs(texts: DataFrame, h: int) -> DataFrame:
-    """The runs of (id, text), or of (id, text, runs) with the runs listed."""
+    """The runs of (id, which, text), or of (id, which, text, runs) with the runs listed."""
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            ids = part.column(0).to_numpy()
-            source = [(t or "").encode() for t in part.column(1).to_pylist()]
+            ids, which = (part.column(i).to_numpy() for i in (0, 1))
+            source = [(t or "").encode() for t in part.column(2).to_pylist()]
             listed = None
-            if part.num_columns > 2:
-                listed = [_places(part.column(2)[i]) for i in range(part.num_rows)]
+            if part.num_columns > 3:
+                listed = [_places(part.column(3)[i]) for i in range(part.num_rows)]
             for text, start, count, seed, whole in runs(source, h, listed):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(seed.view(np.int64)),
                         pa.array(whole.view(np.int64)),
                         pa.array(ids[text]),
-                        pa.array(start.astype(np.int32)),
+                        pa.array(start.astype(np.int64) + (which[text] << PLACE_BITS)),
                         pa.array(count.astype(np.int32)),
                     ],
                     ["seed", "whole", "id", "start", "n"],
                 )
 
-    return texts.mapInArrow(run, "seed long, whole long, id long, start int, n int")
+    return texts.mapInArrow(run, "seed long, whole long, id long, start long, n int")
 
 
 def _by_text(rows: DataFrame, name: str) -> DataFrame:
-    """(_id, runs): the runs (start, n) of each document, in one array."""
-    return rows.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("start", "n")).alias(name))
-
-
-def repeats(docs: DataFrame) -> DataFrame:
-    """(id, start, n): runs of n strings, from a start on, that are repeats."""
+    """(_id, _which, runs): the runs (start, n) of each document, in one array."""
+    which = F.shiftright("start", PLACE_BITS).alias("_which")
+    return rows.groupBy(F.col("id").alias("_id"), which).agg(F.collect_list(F.struct("start", "n")).alias(name))
+
+
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_which``: 0, or where an id stands for several texts, the
+    number of the row's text among them, in order of their digests."""
+    which = fresh(docs, "_which")
+    again = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again")
+    if not again.take(1):
+        return docs.withColumn(which, F.lit(0).cast("long"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    texts = docs.join(again, docs["doc_id"] == again["_again"], "left_semi").select(F.col("doc_id").alias("_again"), digest.alias("_digest")).distinct()
+    number = F.row_number().over(Window.partitionBy("_again").orderBy("_digest")).cast("long") - 1
+    numbered = written(texts.withColumn("_number", number).where("_number > 0"), "repeat-texts")
+    same = (docs["doc_id"] == numbered["_again"]) & (digest == numbered["_digest"])
+    return docs.join(numbered, same, "left").select(*[docs[c] for c in docs.columns], F.coalesce("_number", F.lit(0)).alias(which))
+
+
+def repeats(docs: DataFrame, which: str) -> DataFrame:
+    """(id, start, n): runs of n strings, from a start on, that are repeats;
+    ``which`` tells the texts of an id apart."""
     named = docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("id"), F.col(which).alias("which"), F.coalesce("text", F.lit("")).alias("text")
     )
     found, results = _runs(named, ROUNDS[0]), []
     for h, following in zip(ROUNDS, (*ROUNDS[1:], None)):
@@ -162,7 +183,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed")
         left = classes.join(several, "seed", "left_semi").select("first.id", "first.start", "n")
         listed = _by_text(left, "runs")
-        texts = named.join(listed, named["id"] == listed["_id"]).select("id", "text", "runs")
+        texts = named.join(listed, (named["id"] == listed["_id"]) & (named["which"] == listed["_which"])).select("id", "which", "text", "runs")
         found = written(_runs(texts, following), f"repeat-open-{following}")
 
 
@@ -171,7 +192,7 @@ def _numbers(values: pa.Array) -> np.ndarray:
 
 
 def _places(listed: pa.Scalar) -> Places:
-    return _numbers(listed.values.field(0)), _numbers(listed.values.field(1))
+    return _numbers(listed.values.field(0)) & ((1 << PLACE_BITS) - 1), _numbers(listed.values.field(1))
 
 
 def _covered(size: int, found: pa.Scalar) -> np.ndarray | None:
@@ -187,13 +208,17 @@ def _covered(size: int, found: pa.Scalar) -> np.ndarray | None:
 
 def _with_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` and, as its last column, the runs that are repeats."""
-    found = _by_text(repeats(docs), fresh(docs, "_found"))
-    return docs.join(found, docs["doc_id"].cast("long") == found["_id"], "left").drop("_id")
+    apart = _told_apart(docs)
+    which = apart.columns[-1]
+    found = _by_text(repeats(apart, which), fresh(docs, "_found")).withColumnRenamed("_which", "_place")
+    same = (apart["doc_id"].cast("long") == found["_id"]) & (apart[which] == found["_place"])
+    return apart.join(found, same, "left").drop("_id", "_place", which)
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """One row per document: byte counts, removed runs, digest of what stays."""
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             out = []
@@ -224,6 +249,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     names = docs.columns
     at = {c: i for i, c in enumerate(marked.columns)}
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = part.column(at["text"]).to_pylist()
