@@ -102,5 +102,8 @@ def branded_receipts(store: Snapshots, start: str | None = None, end: str | None
     pieces = _period(store.read(BITMAPS), start, end).groupBy("bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
     exact = pieces.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_with_brand"))
     sketch = _period(store.read(SKETCHES), start, end).agg(F.hll_union_agg("sketch").alias("s"))
-    # Both sides are one row.
-    return exact.crossJoin(sketch.select(F.coalesce(F.hll_sketch_estimate("s"), F.lit(0)).alias("estimate")))
+    one = F.lit(None).cast("long")
+    estimate = sketch.select(one.alias("total_with_brand"), F.hll_sketch_estimate("s").alias("estimate"))
+    # Two rows become one.
+    both = exact.select("total_with_brand", one.alias("estimate")).unionAll(estimate)
+    return both.agg(F.max("total_with_brand").alias("total_with_brand"), F.coalesce(F.max("estimate"), F.lit(0)).alias("estimate"))

@@ -23,6 +23,7 @@ from tillroll.operators.brands import (
     brand_transactions,
     receipts_without_brands,
 )
+from tillroll.operators.clusters import value_clusters
 from tillroll.operators.cohort import recent_users
 from tillroll.operators.quality import apply_value_map, clean_items, flag_counts, standardize_text
 from tillroll.operators.status import (
@@ -35,16 +36,19 @@ from tillroll.operators.status import (
 )
 from tillroll.operators.upsert import latest_per_key
 from tillroll.plans import incremental
+from tillroll.plans.batch_load import load_table
 from tillroll.sources import schemas
 from tillroll.sources.arrays import read_arrays
 from tillroll.sources.documents import (
     corrupt_counts,
+    drop_nulls,
     explode_outer_items,
     load_brands,
     load_items,
     load_receipts,
     load_users,
     parse_documents,
+    read_documents,
 )
 from tillroll.sources.roundtrip import brand_documents, receipt_documents, user_documents, write_arrays
 from tillroll.sources.sinks import remove_path, stage
@@ -519,6 +523,51 @@ def latest_event_per_user_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, target, TABLE_SCHEMAS["events"])
 
 
+# Names of items as they might be typed, over lineitem and part; Spark and DuckDB read it alike.
+TYPED_NAME = """case l_linenumber % 4
+    when 0 then upper(p_name)
+    when 1 then split_part(p_name, ' ', 2) || ', ' || split_part(p_name, ' ', 1)
+    when 2 then substr(p_name, 1, cast(l_orderkey % (length(p_name) - 1) as int)) || substr(p_name, cast(l_orderkey % (length(p_name) - 1) as int) + 2)
+    else p_name || '!' end"""
+
+
+def clustered_item_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item names typed in several ways, and the one that stands for each."""
+    lines, parts = (spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") for name in ("lineitem", "part"))
+    typed = lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(F.expr(TYPED_NAME).alias("name"))
+    return value_clusters(typed, "name", rows="items")
+
+
+def load_inferred_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users from files that lack some fields altogether, read without a declared
+    schema from two paths of which one is absent."""
+    users = with_fields(_t(spark, sf_dir).users, USER_FIELDS).drop("state", "last_login")
+    folder = scratch_target(spark, "inferred-users")
+    user_documents(users).write.text(folder)
+    docs = read_documents(spark, [folder, f"{folder}-absent"], None, multiline=False, on_missing="empty")
+    return load_users(docs)
+
+
+def load_users_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table loaded on its own from array files, replaced by a second load, and read back."""
+    docs = user_documents(with_fields(_t(spark, sf_dir).users, USER_FIELDS))
+    source, target = (scratch_target(spark, name) for name in ("user-files", "users-table"))
+    write_arrays(docs, source, ARRAY_FILES)
+    for _ in range(2):
+        load_table(spark, "users", source, target)
+    return spark.read.parquet(target)
+
+
+def null_free_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items listed in each receipt once the NULL elements of its list are removed:
+    those of an even line number have been made NULL."""
+    docs = parse_documents(_receipt_source(spark, sf_dir), schemas.RECEIPT)
+    odd = F.transform("rewardsReceiptItemList", lambda i: F.when(i["itemNumber"].cast("int") % 2 == 1, i))
+    kept = drop_nulls(docs.select("_id", odd.alias("rewardsReceiptItemList")))
+    size = F.coalesce(F.size("rewardsReceiptItemList"), F.lit(0))
+    return kept.select(F.col("_id.$oid").alias("receipt_id"), F.greatest(size, F.lit(0)).cast("long").alias("items"))
+
+
 QUERIES: dict[str, Query] = {
     # composites of SURVEY 2.12
     "top_brands_by_month": top_brands_by_month,
@@ -577,4 +626,8 @@ QUERIES: dict[str, Query] = {
     "incremental_users": incremental_users,
     "stored_receipts_by_brand": stored_receipts_by_brand,
     "stored_branded_receipts": stored_branded_receipts,
+    "clustered_item_names": clustered_item_names,
+    "load_inferred_users": load_inferred_users,
+    "load_users_table": load_users_table,
+    "null_free_items": null_free_items,
 }
