@@ -195,3 +195,38 @@ def test_item_dates_prune_the_item_scan(spark, scratch):
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, pruned.collect()))
     assert len(plain.collect()) == 2
     assert any("receipt_create_date" in f for f in pushed_filters(pruned))
+
+
+def test_month_folders_are_pruned_without_a_flag(spark, scratch):
+    from tillroll.operators.brands import brand_receipts_by_month, brand_receipts_latest_month
+    from tillroll.plans.inspect import plan_text
+
+    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
+    os.makedirs(src)
+    _sources(src)
+    receipts = [{**RECEIPTS[0], "_id": {"$oid": f"m{m}"}, "createDate": {"$date": FEB_1_2021 + (31 * m + 3) * DAY}} for m in range(-6, 6)]
+    receipts += [{**RECEIPTS[0], "_id": {"$oid": "undated"}, "createDate": None}]
+
+    def load(docs):
+        with open(os.path.join(src, "receipts.json"), "w") as f:
+            json.dump(docs, f)
+        load_all(spark, src, out)
+        return LoadedTables.from_dir(spark, out)
+
+    def reports(t):
+        window = brand_receipts_by_month(t.receipts, t.items, t.brands, "2021-02-01", "2021-04-01")
+        return window, brand_receipts_latest_month(t.receipts, t.items, t.brands), brand_receipts_by_month(t.receipts, t.items, t.brands)
+
+    t = load(receipts)
+    plain = LoadedTables(t.receipts.drop("create_month"), t.items.drop("receipt_month"), t.users, t.brands)
+    for pruned, whole in zip(reports(t), reports(plain)):
+        assert [tuple(r) for r in pruned.collect()] == [tuple(r) for r in whole.collect()] != []
+    window, latest, _ = reports(t)
+    items_scan = next(s for s in plan_text(window).split("Scan parquet")[1:] if "brand_code" in s.split("ReadSchema")[0] + s[:3000])
+    assert "receipt_month" in items_scan and "PartitionFilters" in items_scan
+    assert "dynamicpruning" in plan_text(window).lower() and "dynamicpruning" in plan_text(latest).lower()
+    files = lambda df: {f.split("receipt_month=")[1][:10] for f in df.inputFiles()}
+    assert len(files(t.items)) == 13
+    # Repeated ids may carry two dates: such tables aren't partitioned.
+    again = load([*receipts, {**receipts[0], "createDate": receipts[5]["createDate"]}])
+    assert "receipt_month" not in again.items.columns and again.receipts.count() == 14

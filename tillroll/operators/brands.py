@@ -23,7 +23,11 @@ from tillroll.functions.dates import month_start, ts_literal
 from tillroll.operators.cohort import recent_users
 from tillroll.operators.rank import global_dense_rank, top_k_dense, top_n_ranked
 
-TimeBound = str | _dt.date | _dt.datetime | None
+TimeBound = str | _dt.date | _dt.datetime | Column | None
+
+#: Partition columns of loaded receipts and items whose receipt ids are unique:
+#: the month of the receipt's creation, as a date.
+CREATE_MONTH, RECEIPT_MONTH = "create_month", "receipt_month"
 
 
 def cents(amount: Column) -> Column:
@@ -39,9 +43,22 @@ def cents(amount: Column) -> Column:
 def _window(df: DataFrame, col: str, start: TimeBound, end: TimeBound) -> DataFrame:
     """``start <= col < end`` on the raw timestamp (reaches the parquet filter)."""
     if start is not None:
-        df = df.where(F.col(col) >= ts_literal(start))
+        df = df.where(F.col(col) >= _bound(start))
+    if end is not None:
+        df = df.where(F.col(col) < _bound(end))
+    return df
+
+
+def _bound(value: TimeBound) -> Column:
+    return value if isinstance(value, Column) else ts_literal(value)
+
+
+def _months(df: DataFrame, col: str, start: TimeBound, end: TimeBound) -> DataFrame:
+    """The month folders that can hold dates of the window."""
+    if start is not None:
+        df = df.where(F.col(col) >= month_start(_bound(start)).cast("date"))
     if end is not None:
-        df = df.where(F.col(col) < ts_literal(end))
+        df = df.where(F.col(col).cast("timestamp_ntz") < _bound(end))
     return df
 
 
@@ -66,6 +83,11 @@ def brand_receipts_by_month(
     the joined receipt's date; with duplicate ids carrying different dates,
     leave it off.
 
+    On tables partitioned by month (``create_month``, ``receipt_month``) a
+    bounded report also joins on the month, which is the same for a receipt and
+    its items. So only the month folders of the window are read on both sides,
+    and Spark may prune further by the receipts it finds.
+
     ``start``/``end`` bound the receipt creation time (start inclusive, end
     exclusive). Because the month is the window's partition key, restricting
     the months before ranking gives the same ranks as ranking every month and
@@ -74,16 +96,22 @@ def brand_receipts_by_month(
     Columns: month, brand_name, total_receipts, rank; latest month first, then
     by rank and brand name.
     """
-    r = _window(receipts.select(F.col("id").alias("receipt_id"), "create_date"), "create_date", start, end)
+    bounded = start is not None or end is not None  # then no date is NULL
+    by_month = bounded and CREATE_MONTH in receipts.columns and RECEIPT_MONTH in items.columns
+    month = [F.col(CREATE_MONTH).alias("_month")] if by_month else []
+    r = _window(receipts.select(F.col("id").alias("receipt_id"), "create_date", *month), "create_date", start, end)
+    if by_month:
+        r = _months(r, "_month", start, end)
+        items = _months(items, RECEIPT_MONTH, start, end).withColumn("_month", F.col(RECEIPT_MONTH))
     if prune_items_by_date:
         # Loaded items carry their receipt's creation time. With unique receipt
         # ids the same window on it changes nothing in the result, and it lets
         # the item scan skip row groups.
         items = _window(items, "receipt_create_date", start, end)
     pairs = (
-        items.select("receipt_id", "brand_code")
+        items.select("receipt_id", "brand_code", *(["_month"] if by_month else []))
         .where(F.col("brand_code").isNotNull())
-        .join(r, "receipt_id")
+        .join(r, ["receipt_id", "_month"] if by_month else "receipt_id")
         .select("receipt_id", "brand_code", month_start("create_date").alias("month"))
     )
     # count(DISTINCT receipt_id) de-duplicates (month, brand, receipt) with a
@@ -198,8 +226,7 @@ def brand_receipts_latest_month(
     rather than a fixed date, so the report follows the data.
     """
     latest = receipts.select(month_start(F.max("create_date"))).scalar()
-    recent = receipts.where(F.col("create_date") >= latest)
-    return brand_receipts_by_month(recent, items, brands, k=k)
+    return brand_receipts_by_month(receipts, items, brands, start=latest, k=k)
 
 
 def receipts_without_brands(receipts: DataFrame, items: DataFrame, brands: DataFrame) -> DataFrame:

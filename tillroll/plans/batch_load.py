@@ -24,6 +24,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.functions.dates import month_start
+from tillroll.operators.brands import CREATE_MONTH, RECEIPT_MONTH
 from tillroll.sources import schemas as S
 from tillroll.sources.arrays import read_arrays
 from tillroll.sources.documents import (
@@ -38,6 +40,7 @@ from tillroll.sources.snapshots import Snapshots
 
 SOURCES = {"brands": "brands.json", "users": "users.json", "receipts": "receipts.json"}
 TABLE_NAMES = ("brands", "users", "receipts", "rewards_receipt_items")
+DATES = {"receipts": "create_date", "rewards_receipt_items": "receipt_create_date"}
 # table -> (source documents, schema, loader)
 TABLE_SOURCES = {
     "brands": ("brands", S.BRAND, load_brands),
@@ -83,7 +86,9 @@ def load_all(
     Tables go to ``target_dir`` as one version of a store, read back with
     :meth:`LoadedTables.from_dir` (``keep_versions`` of them stay, for readers
     that began earlier), or, with ``database``, to catalog tables
-    ``database.<name>``. In both cases the four tables go live together. ``receipt_buckets=n`` (catalog tables
+    ``database.<name>``. In both cases the four tables go live together. In a
+    folder, receipts and items are partitioned by the receipt's month of
+    creation, unless receipt ids repeat. ``receipt_buckets=n`` (catalog tables
     only) buckets ``receipts`` by ``id`` and ``rewards_receipt_items`` by
     ``receipt_id`` into the same ``n`` buckets: the receipt-item join of every
     report then reads matching buckets side by side without a shuffle.
@@ -137,11 +142,22 @@ def load_all(
 def _load_folder(spark: SparkSession, target_dir: str, tables: dict[str, DataFrame], format: str, keep: int) -> dict[str, str]:
     store = Snapshots(spark, target_dir)
     change = store.change()
-    # Row groups sorted by creation time carry tight min/max values, so
-    # date-window filters pushed into the reader skip most of them.
-    order = {"receipts": "create_date", "rewards_receipt_items": "receipt_create_date"}
+    tables, months = dict(tables), {}
+    if not tables["receipts"].groupBy("id").count().where("count > 1").take(1):
+        # An item's month is its receipt's, so reports can join on it as well,
+        # which prunes the folders of the other months.
+        months = {"receipts": CREATE_MONTH, "rewards_receipt_items": RECEIPT_MONTH}
+        for name, month in months.items():
+            tables[name] = tables[name].withColumn(month, month_start(DATES[name]).cast("date"))
     for name, df in tables.items():
-        change.replace(name, df.sortWithinPartitions(order[name]) if name in order else df, format)
+        if name in months:
+            # Few files a month, several where a month is large.
+            df = df.hint("rebalance", months[name])
+        # Row groups sorted by creation time carry tight min/max values, so
+        # date-window filters pushed into the reader skip most of them.
+        order = [c for c in (months.get(name), DATES.get(name)) if c]
+        df = df.sortWithinPartitions(*order) if order else df
+        change.replace(name, df, format, [months[name]] if name in months else [])
     change.commit()
     store.vacuum(keep)
     return {name: f"{store.root}/{name}" for name in tables}

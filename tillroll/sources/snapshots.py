@@ -246,10 +246,11 @@ class Change:
         writer = df.write.mode("error").format(format)
         (writer.partitionBy(*partition_by) if partition_by else writer).save(f"{self.store.root}/{folder}")
 
-    def replace(self, table: str, df: DataFrame, format: str = "parquet") -> None:
-        """The table becomes ``df``, in files of ``format``."""
+    def replace(self, table: str, df: DataFrame, format: str = "parquet", partition_by: Sequence[str] = ()) -> None:
+        """The table becomes ``df``, in files of ``format``, with a folder for
+        each value of ``partition_by``."""
         folder = f"{table}/v={self.name}"
-        self._write(df, folder, format=format)
+        self._write(df, folder, partition_by, format)
         self.tables[table] = {"schema": df.schema.jsonValue(), "format": format, "parts": {"": [[folder, 0]]}}
 
     def append(self, table: str, df: DataFrame) -> None:
