@@ -37,7 +37,7 @@ from tillroll.operators.status import (
 from tillroll.operators.upsert import latest_per_key
 from tillroll.plans import incremental
 from tillroll.plans.batch_load import load_table
-from tillroll.sources import schemas
+from tillroll.sources import drift, schemas
 from tillroll.sources.arrays import read_arrays
 from tillroll.sources.documents import (
     corrupt_counts,
@@ -69,6 +69,7 @@ from tillroll.streaming.upsert import read_latest, scratch_target, start_upsert_
 TOP_MONTH = ("1998-02-01", "1998-03-01")  # Q1: one month, end exclusive
 TOP_MONTHS = ("1998-01-01", "1998-03-01")  # Q2: two months, end exclusive
 AUDIT_WINDOW = ("1998-02-01", "1998-03-01")  # D6, R2: BETWEEN, both ends inclusive
+DRIFT_YEARS = (1996, 1999)  # S3: where the second and third batch of users begin
 STORED_UNTIL = ("1997-06-15", "1999-01-01")  # A3: where the batches of stored counts begin
 TOP_K = 5
 COHORT_MONTHS = 6
@@ -568,6 +569,35 @@ def null_free_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("_id.$oid").alias("receipt_id"), F.greatest(size, F.lit(0)).cast("long").alias("items"))
 
 
+def _drifting_users(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Users in three batches of files by creation year: later ones have a state,
+    a balance that was whole becomes a decimal number and then text, and the last
+    ones have no sign-up source."""
+    users = _t(spark, sf_dir).users.select(F.col("id").cast("string").alias("id"), "role", F.year("created_date").alias("year"), F.length("id").alias("n"))
+    source, state = F.lit("Email").alias("source"), F.struct(F.col("role").alias("code")).alias("state")
+    batches = [
+        (F.col("year") < DRIFT_YEARS[0], [source, F.col("n").cast("long").alias("balance")]),
+        (F.col("year").between(DRIFT_YEARS[0], DRIFT_YEARS[1] - 1), [source, state, (F.col("n") + 0.5).cast("double").alias("balance")]),
+        (F.col("year") >= DRIFT_YEARS[1], [state, F.concat(F.lit("$"), F.col("n").cast("string")).alias("balance")]),
+    ]
+    paths = []
+    for number, (part, columns) in enumerate(batches, 1):
+        paths.append(scratch_target(spark, f"drift-{number}"))
+        users.where(part).select("id", *columns).write.json(paths[-1])
+    return paths
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each batch of changing documents does to the fields."""
+    return drift.drift_report(spark, _drifting_users(spark, sf_dir))
+
+
+def drifted_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All batches of changing documents under one schema."""
+    docs = drift.read_batches(spark, _drifting_users(spark, sf_dir))
+    return docs.select("id", "source", "balance", F.col("state.code").alias("state"))
+
+
 QUERIES: dict[str, Query] = {
     # composites of SURVEY 2.12
     "top_brands_by_month": top_brands_by_month,
@@ -630,4 +660,6 @@ QUERIES: dict[str, Query] = {
     "load_inferred_users": load_inferred_users,
     "load_users_table": load_users_table,
     "null_free_items": null_free_items,
+    "schema_drift": schema_drift,
+    "drifted_users": drifted_users,
 }
