@@ -36,6 +36,8 @@ def test_changes_are_reported_and_all_values_kept(spark, scratch):
         1: ("2", (1, None), ["1"]), 2: (None, (2, None), None), 3: ("2.5", (3, "x"), ["1.5"]),
         4: ("$3", None, ["q"]), 5: ("4", None, None), 6: (None, (9, None), None),
     }
+    known = StructType([StructField("n", StructType([StructField("z", StringType())]))])
+    assert {r.n and r.n.z for r in read_batches(spark, paths[:1], known=known).collect()} == {None}
     assert drift_report(spark, _write(scratch, [[]])).count() == 0
 
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.operators import audit, rollups
 from tillroll.operators.brands import (
@@ -594,8 +595,9 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drifted_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All batches of changing documents under one schema."""
-    docs = drift.read_batches(spark, _drifting_users(spark, sf_dir))
-    return docs.select("id", "source", "balance", F.col("state.code").alias("state"))
+    known = StructType.fromDDL("state struct<code: string>")
+    docs = drift.read_batches(spark, _drifting_users(spark, sf_dir), known=known)
+    return docs.select("id", "source", F.col("balance").cast("string").alias("balance"), F.col("state.code").alias("state"))
 
 
 QUERIES: dict[str, Query] = {

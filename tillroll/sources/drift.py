@@ -103,8 +103,8 @@ def drift_report(spark: SparkSession, paths: Sequence[str], multiline: bool = Fa
     return rows.join(filled, same, "left").select("batch", "field", "change", "type", F.coalesce("filled", F.lit(0)).cast("long").alias("filled"))
 
 
-def read_batches(spark: SparkSession, paths: Sequence[str], multiline: bool = False) -> DataFrame:
+def read_batches(spark: SparkSession, paths: Sequence[str], multiline: bool = False, known: StructType | None = None) -> DataFrame:
     """The documents of all batches under their merged schema; a field that a
-    batch lacks is NULL there."""
-    schema = merged_schema(batch_schemas(spark, paths, multiline))
+    batch lacks is NULL there. ``known``: fields that are there in any case."""
+    schema = merged_schema([known or StructType([]), *batch_schemas(spark, paths, multiline)])
     return spark.read.schema(schema).option("multiLine", multiline).json(list(paths))
