@@ -51,7 +51,9 @@ SAMPLE = 2048
 CELLS = 32
 SHARD_ROWS = 4096
 GROUP_ROWS = 256
-LEAF = 32
+#: Rows of a leaf, which are scored by one product, and children of a node.
+LEAF = 256
+CHILDREN = 16
 #: Scores below this are exact in doubles.
 EXACT = 2.0**53
 
@@ -95,7 +97,7 @@ def cover_tree(points: np.ndarray, ids: np.ndarray) -> Tree:
                 nearest[closer] = d[closer]
                 owner[closer] = len(centres)
                 centres.append(far)
-                if len(centres) >= LEAF:
+                if len(centres) >= CHILDREN:
                     break
             for k, at in enumerate(centres):
                 own = np.flatnonzero(owner == k)
@@ -124,6 +126,12 @@ class Best:
 
     def add(self, lo: int, hi: int, scores: np.ndarray, ids: np.ndarray) -> None:
         k = self.score.shape[1]
+        # Only rows that reach some query's worst kth score can change anything.
+        worst = np.maximum(self.score[lo:hi, -1], self.least[lo:hi])
+        better = (scores >= worst[:, None]).any(axis=0)
+        if not better.any():
+            return
+        scores, ids = scores[:, better], ids[better]
         score = np.concatenate([self.score[lo:hi], scores], 1)
         who = np.concatenate([self.id[lo:hi], np.broadcast_to(ids, scores.shape)], 1)
         best = np.lexsort((who, -score), axis=1)[:, :k]
