@@ -182,3 +182,34 @@ SELECT nodes.conv_id, CAST(nodes.depth AS BIGINT) AS depth, up.conv_id AS parent
     n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, nodes.ends_sha256
 FROM nodes JOIN below USING (node) LEFT JOIN children USING (node) LEFT JOIN nodes up ON up.node = nodes.parent
 """
+
+# Every pair of texts that share an n-gram is compared, so links don't depend on bands.
+SQL["op7_ngram_jaccard"] = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL
+), members AS (
+    SELECT doc_id, w, CASE WHEN len(w) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY text) END AS rep,
+        CASE WHEN len(w) = 0 THEN 1 ELSE count(*) OVER (PARTITION BY text) END AS copies
+    FROM texts
+), reps AS (
+    SELECT DISTINCT rep, copies, w FROM members WHERE doc_id = rep AND len(w) > 0
+), grams AS (
+    SELECT DISTINCT rep, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
+    FROM reps
+), sizes AS (
+    SELECT rep, count(*) AS n FROM grams GROUP BY rep
+), shared AS (
+    SELECT x.rep AS a, y.rep AS b, count(*) AS n FROM grams x JOIN grams y ON x.g = y.g AND x.rep <> y.rep GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.rep = a JOIN sizes y ON y.rep = b WHERE 10 * shared.n >= 8 * (x.n + y.n - shared.n)
+), reach AS (
+    SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), classes AS (
+    SELECT a AS rep, min(b) AS least FROM reach GROUP BY a
+), counts AS (
+    SELECT a AS rep, sum(copies) AS n FROM links JOIN reps ON reps.rep = b GROUP BY a
+)
+SELECT doc_id, rep AS rep_id, least(rep, coalesce(least, rep)) AS class_id, CAST(copies - 1 + coalesce(n, 0) AS BIGINT) AS n_links
+FROM members LEFT JOIN classes USING (rep) LEFT JOIN counts USING (rep)
+"""
