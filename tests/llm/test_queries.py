@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from tests.llm.test_operators import SCHEMA, _prose, _words
-from tillroll.llm import bpe, repair
+from tillroll.llm import bpe, bytebpe, repair, wordbpe
 
 
 def _cut(raws):
@@ -64,6 +64,29 @@ def test_op2_gives_the_ids_of_the_tokenizers_library(spark, table):
     assert _rows(spark, table, "op2_repair_shards") == expect
 
 
+def test_stretches_have_the_ids_of_whole_texts(monkeypatch):
+    path = repair.default_tokenizer()
+    own = bytebpe.Encoder(path)
+    assert own.by_stretch
+    rng = np.random.default_rng(7)
+    parts = [" ", "  ", "\n", "\t", "a", "foo", "\x1c", "\x85", "\xa0", "\u3000", "1", "!", "é", "日", "\u200b", "'s", "'ll", "<|endoftext|>", "\r\n", "Ġ", "\0"]
+    texts = ["".join(parts[i] for i in rng.integers(0, len(parts), n)) for n in rng.integers(0, 14, 3000)]
+
+    def ids(text):
+        return np.array(own.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    expect = [ids(t) for t in texts]
+    assert own.encode(texts) == expect
+    assert own.encode(texts) == expect  # all from memory
+    own.stretches = bytebpe.Lately(5)  # generations change with each text
+    assert [own.encode([t])[0] for t in texts] == expect
+    long = " ".join(texts)
+    monkeypatch.setattr(bytebpe, "windows", lambda t: wordbpe.windows(t, 50))
+    assert own.encode([long, "", "x"]) == [ids(long), b"", ids("x")]
+    own.by_stretch = False
+    assert own.encode(texts[:50]) == expect[:50]
+
+
 def test_op3_gives_the_ids_of_tiktoken(spark, table):
     assert _rows(spark, table, "op3_byte_bpe") == {i: _bpe(t or "") for i, t in table[1].items()}
 

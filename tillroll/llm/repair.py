@@ -20,19 +20,17 @@ sequence       the compressed sequence (uint32)
 The lengths give the place of every symbol in the shard's ids, so a document,
 or any range, is decoded without the symbols before it.
 
-Encoding goes through the tokenizers library, whole texts at a time. Strings of
-special tokens are ordinary text.
+Encoding goes through the tokenizers library, which is asked once for stretches
+of text that come again (``bytebpe``). Strings of special tokens are ordinary text.
 
 Defined results: a null or empty text has only its end id; a null id sorts
 first; rows that repeat an id follow each other, ordered by text; an empty
-table gives an empty result. Only doc_id and text are read. One text is in
-memory at a time, with a shard's ids.
+table gives an empty result. Only doc_id and text are read. A batch of texts
+(Spark's Arrow batch) is in memory at a time, with a shard's ids.
 """
 
 from __future__ import annotations
 
-import functools
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -42,6 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.bytebpe import encoder
 from tillroll.llm.common import spread, written
 from tillroll.llm.hashing import batches
 
@@ -53,7 +52,7 @@ SHARD_TOKENS = 1 << 20
 PAIRS_PER_ROUND = 2048
 MIN_COUNT = 16
 #: Texts are encoded in lists of about this many characters.
-LIST_CHARS = 1 << 18
+LIST_CHARS = 1 << 20
 
 SCHEMA = (
     "part int, shard int, before long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
@@ -68,23 +67,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str):
-    """The tokenizer of a file, made once in each Python worker."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
-
-
 def encoded(tokenizer, texts: list[str | None]) -> Iterator[np.ndarray]:
     """The ids of each text and the end id."""
-    texts = [t or "" for t in texts]
+    texts, end = [t or "" for t in texts], np.array([END_ID], "<u4").tobytes()
     for first, last in batches([len(t) for t in texts], LIST_CHARS):
-        for e in tokenizer.encode_batch_fast(texts[first:last], add_special_tokens=False):
-            yield np.array([*e.ids, END_ID], np.uint32)
+        for raw in tokenizer.encode(texts[first:last]):
+            yield np.frombuffer(raw + end, "<u4")
 
 
 def _frequent(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
