@@ -4,11 +4,13 @@ import collections
 import hashlib
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
 import __spark_entry__
 import corpus_pipeline
+from tests import oracle_util
 from tests.llm.test_operators import SCHEMA, _prose, _words
 from tillroll.llm import bpe, bytebpe, repair, wordbpe
 
@@ -98,6 +100,21 @@ def test_op8_gives_the_repeats_of_brute_force(spark, table):
     assert _rows(spark, table, "op8_repeated_strings") == expect
 
 
+@pytest.mark.parametrize("name", ["op4_curriculum_mix", "op5_line_rules", "op7_ngram_jaccard", "op8_repeated_strings"])
+def test_queries_equal_their_sql_on_awkward_texts(spark, table, tmp_path, name):
+    marks = ["Fin\u2028", "no mark here", "ends.\r", "a » b » c » d.", "!!!!!! Buy!", "$$$ |||.", "Powered by us.", "Ελληνικά;", "日本語です。"]
+    more = [(i, t, "en", src, 0, "q", "m") for i, t, src in [
+        (20, "\n".join([_prose(20, 80), *marks]), "b"), (21, "\n".join(marks * 4), "a"), (22, " ".join(["same words"] * 40), None),
+        (23, _prose(1, 120) + "x", None), (24, "é" * 99, "c"), (25, "é" * 150, "c"), (26, "\n \t\n", "d"), (27, "w. " * 60, "d"),
+    ]]
+    path = f"{tmp_path}/documents.parquet"
+    spark.read.parquet(f"{table[0]}/documents.parquet").union(spark.createDataFrame(more, SCHEMA)).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{path}/*.parquet')")
+    df = __spark_entry__.queries()[name](spark, str(tmp_path))
+    assert oracle_util.compare(df, con, __spark_entry__.oracle_sql()[name]) == ([], len(table[1]) + len(more))
+
+
 def test_pipeline_gives_the_rows_of_its_plain_stages(spark, table):
     texts = {i: t for i, t in table[1].items() if i not in (1, 2, 6, 7)}  # copy, too short, no text
     texts[8] = texts[8].split("\n")[0]

@@ -213,3 +213,101 @@ WITH RECURSIVE texts AS (
 SELECT doc_id, rep AS rep_id, least(rep, coalesce(least, rep)) AS class_id, CAST(copies - 1 + coalesce(n, 0) AS BIGINT) AS n_links
 FROM members LEFT JOIN classes USING (rep) LEFT JOIN counts USING (rep)
 """
+
+# A source's documents in the digest's order; the sources below the water line are full.
+SQL["op4_curriculum_mix"] = r"""
+WITH measured AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        md5(concat_ws(chr(31), CAST(doc_id AS VARCHAR), coalesce(text, ''))) AS key
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+    FROM measured GROUP BY source
+), weighed AS (
+    SELECT *, CAST([5, 2, 1][place % 3 + 1] AS DOUBLE) AS weight, CAST([3, 2, 1][place % 3 + 1] AS DOUBLE) / 2 AS start FROM sources
+), levels AS (
+    SELECT *, (CAST(1.5 AS DOUBLE) * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (by_cap ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (by_cap ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level, row_number() OVER by_cap AS cap_place
+    FROM weighed WINDOW by_cap AS (ORDER BY source_size / weight, place)
+), line AS (
+    SELECT arg_min(level, cap_place) AS line FROM levels WHERE level * weight < 2 * source_size
+), targets AS (
+    SELECT source, source_size, start, CASE WHEN level * weight >= 2 * source_size THEN CAST(2 * source_size AS DOUBLE) ELSE line * weight END AS target
+    FROM levels LEFT JOIN line ON true
+), placed AS (
+    SELECT m.*, source_size, target, start,
+        CAST(coalesce(sum(size) OVER (PARTITION BY m.source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead
+    FROM measured m JOIN targets t ON m.source IS NOT DISTINCT FROM t.source
+), used AS (
+    SELECT *, [x FOR x IN [ahead, ahead + source_size] IF size > 0 AND x + size / 2 <= target] AS begins FROM placed
+)
+SELECT doc_id, size, source_size, target, CAST(len(begins) * size AS BIGINT) AS taken,
+    [least(CAST(1 AS DOUBLE), 2 * (x / target) / (start + sqrt(greatest(start * start + 4 * (1 - start) * (x / target), CAST(0 AS DOUBLE))))) FOR x IN begins] AS positions
+FROM used
+"""
+
+# The marks are the operator's fixed values; everything else is written anew.
+_MARKED = (f"[{line_rules._WORD_END_MARKS}][{line_rules._CLOSERS}]*([ \\t-\\r]|[\\x{{85}}\\x{{2028}}\\x{{2029}}]?$)|[{line_rules._OTHER_MARKS}]").replace("'", "''")
+SQL["op5_line_rules"] = rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT r, i, array_to_string(w[i:i + 2], ' ') AS g FROM texts, unnest(range(1, len(w) - 1)) AS u(i)
+), again AS (
+    SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1
+), covered AS (
+    SELECT r, count(DISTINCT i + j) AS n_repeat_words FROM again, range(3) AS s(j) GROUP BY r
+), split AS (
+    SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts
+), judged AS (
+    SELECT r, line, length(line) AS chars,
+        regexp_matches(line, '{_MARKED}')
+        AND (3 * length(line) - length(replace(line, ' | ', '')) - length(replace(line, ' » ', '')) - length(replace(line, ' • ', ''))) / 3 < 3
+        AND 10 * (length(line) - length(replace(line, '!!', ''))) <= length(line)
+        AND 10 * (length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g'))) <= length(line)
+        AND NOT (length(line) <= 200 AND regexp_matches(lower(line), '{"|".join(line_rules.BOILERPLATE)}')) AS good
+    FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), lines AS (
+    SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (WHERE NOT good) AS n_bad_lines,
+        2 * coalesce(sum(chars) FILTER (WHERE good), 0) >= sum(chars) AS enough
+    FROM judged GROUP BY r
+), counted AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_bad_lines, 0) AS n_bad_lines, coalesce(enough, true) AS enough
+    FROM texts LEFT JOIN lines USING (r) LEFT JOIN covered USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND enough AS kept, n_lines, n_bad_lines
+FROM counted
+"""
+
+# Every 100-byte string by its hex digits, cut from chunks of 1,000 bytes; the first of each stays.
+SQL["op8_repeated_strings"] = """
+WITH texts AS (
+    SELECT row_number() OVER (ORDER BY doc_id, md5(coalesce(text, ''))) AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), chunks AS (
+    SELECT r, c, substr(h, 2000 * c + 1, 2198) AS h FROM texts, unnest(range(0, length(h) // 2000 + 1)) AS u(c)
+), strings AS (
+    SELECT r, 1000 * c + i AS s, md5(substr(h, 2 * i + 1, 200)) AS k FROM chunks, unnest(range(0, least(1000, length(h) // 2 - 99))) AS u(i)
+), again AS (
+    SELECT r, s FROM strings QUALIFY row_number() OVER (PARTITION BY k ORDER BY r, s) > 1
+), steps AS (
+    SELECT r, s, s - lag(s) OVER (PARTITION BY r ORDER BY s) AS step FROM again
+), numbered AS (
+    SELECT r, s, sum(CASE WHEN step <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY s) AS run FROM steps
+), runs AS (
+    SELECT r, min(s) AS a, max(s) + 100 AS b FROM numbered GROUP BY r, run
+), counts AS (
+    SELECT r, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed FROM runs GROUP BY r
+), ends AS (
+    SELECT r, a, b FROM runs UNION ALL SELECT r, length(h) // 2, NULL FROM texts
+), gaps AS (
+    SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a, b NULLS LAST), 0) AS first, a AS last FROM ends
+), kept AS (
+    SELECT r, sha256(unhex(string_agg(substr(h, 2 * first + 1, 2 * (last - first)), '' ORDER BY first))) AS kept_sha256
+    FROM gaps JOIN texts USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
+FROM texts JOIN kept USING (r) LEFT JOIN counts USING (r)
+"""
