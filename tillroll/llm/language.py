@@ -12,23 +12,31 @@ Training reads a bounded sample: the ``MAX_TRAIN`` documents with a language and
 the smallest hash of their id, among those that aren't held out (crc32 of the
 id as text, modulo ``FOLDS``, equal to ``HELD_OUT``). n-grams are counted where
 the documents are and summed by Spark; at most ``1 << BITS`` counts a language
-reach the driver.
+reach the driver, for at most ``MAX_LANGS`` languages (those with the most
+documents in the sample).
+
+Texts are decoded side by side, as many as ``CELLS`` allows. A text of more than
+``BATCH_BYTES`` is scored in parts cut at white space; the decoding goes on from
+part to part and keeps only its back pointers, so the result is that of the
+whole text. A single word is never cut.
 
 Defined results: ``und`` with score 0 where the text is null, empty or has no
 letter, or where no language was learnt; ties go to the language first in
 code-point order; a null id counts as empty text in the fold; repeated rows are
-labelled each on their own; an empty table gives an empty result. A text of any
+labelled each on their own; of an id that stands for several texts in one
+language the first in order is learnt; an empty table gives an empty result. A text of any
 length is labelled whole.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.hashing import Rolling, batches
@@ -36,6 +44,7 @@ from tillroll.llm.hashing import Rolling, batches
 BITS = 16
 SIZES = (2, 3, 4)
 MAX_TRAIN = 6_000
+MAX_LANGS = 128
 FOLDS, HELD_OUT = 4, 2
 SWITCH_PENALTY = 6.0
 #: Pseudo-count of an n-gram slot.
@@ -45,8 +54,10 @@ MIN_SCRIPT_SHARE = 0.001
 #: What a language that doesn't use the word's script gets for it.
 EXCLUDED = -50.0
 BATCH_BYTES = 1 << 19
-#: Texts that are decoded together.
+#: Texts that are decoded together, and the steps times lanes times languages of one decoding.
 LANES = 64
+CELLS = 1 << 22
+_BLANK = re.compile(rb"[ \t-\r]")
 
 #: Scripts by the first lead byte beyond ASCII: Latin, Greek, Cyrillic,
 #: Armenian and Hebrew, Arabic and neighbours, Indic and South-East Asian,
@@ -115,9 +126,20 @@ def fit(docs: DataFrame) -> Model:
         .where(fold(F.col("doc_id")) != HELD_OUT)
         .select("doc_id", "lang", "text")
     )
-    # Choose by narrow rows; texts join afterwards.
-    chosen = sample.select(F.xxhash64("doc_id").alias("place"), F.col("doc_id").alias("_id")).distinct().orderBy("place", "_id").limit(MAX_TRAIN)
-    sample = sample.join(chosen, sample["doc_id"] == chosen["_id"], "left_semi").select("lang", "text")
+    # Choose by narrow rows; texts join afterwards, one for each id and language.
+    own, most = Window.partitionBy("_lang"), Window.orderBy(F.col("n").desc(), "_lang")
+    chosen = (
+        sample.select(F.xxhash64("doc_id").alias("place"), F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
+        .distinct()
+        .orderBy("place", "_id", "_lang")
+        .limit(MAX_TRAIN)
+        .withColumn("n", F.count(F.lit(1)).over(own))
+        .withColumn("kept", F.dense_rank().over(most) <= MAX_LANGS)
+        .where("kept")
+        .select("_id", "_lang")
+    )
+    same = (sample["doc_id"] == chosen["_id"]) & (sample["lang"] == chosen["_lang"])
+    sample = sample.join(chosen, same).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = (1 << BITS) + N_SCRIPTS
@@ -170,20 +192,22 @@ def viterbi(scores: list[np.ndarray]) -> list[np.ndarray]:
     """The best language of each word of each text, all texts in step."""
     order = np.argsort([-len(s) for s in scores], kind="stable")
     out: list[np.ndarray] = [np.empty(0, np.int64)] * len(scores)
-    for lo in range(0, len(order), LANES):
-        lane = order[lo : lo + LANES]
-        lengths = np.array([len(scores[i]) for i in lane])
-        steps = int(lengths[0])
+    lo = 0
+    while lo < len(order):
+        steps, n_langs = scores[order[lo]].shape
         if not steps:
             break
-        n_langs = scores[lane[0]].shape[1]
+        # The longest text sets the steps of all lanes beside it.
+        lane = order[lo : lo + min(LANES, max(1, CELLS // (steps * n_langs)))]
+        lo += len(lane)
+        lengths = np.array([len(scores[i]) for i in lane])
         emit = np.zeros((steps, len(lane), n_langs), np.float32)
         for k, i in enumerate(lane):
             emit[: lengths[k], k] = scores[i]
         best = emit[0].astype(np.float64)
         active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # texts longer than t
         switched = np.zeros((steps, len(lane), n_langs), bool)
-        leader = np.zeros((steps, len(lane)), np.int64)
+        leader = np.zeros((steps, len(lane)), np.int16)
         for t in range(1, steps):
             a = active[t]
             b = best[:a]
@@ -193,7 +217,7 @@ def viterbi(scores: list[np.ndarray]) -> list[np.ndarray]:
             leader[t, :a] = lead
             best[:a] = np.maximum(b, jump) + emit[t, :a]
         state = best.argmax(axis=1)
-        path = np.zeros((steps, len(lane)), np.int64)
+        path = np.zeros((steps, len(lane)), np.int16)
         rows = np.arange(len(lane))
         for t in range(steps - 1, -1, -1):
             a = active[t]
@@ -206,8 +230,53 @@ def viterbi(scores: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+def _parts(text: bytes) -> Iterator[bytes]:
+    """``text`` in parts of ``BATCH_BYTES`` or, up to the next white space, more."""
+    at = 0
+    while len(text) - at > BATCH_BYTES:
+        cut = _BLANK.search(text, at + BATCH_BYTES)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def label_long(text: bytes, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """As ``label``, for one text, whose scores are in memory a part at a time."""
+    best, letters, back = None, [], []
+    for part in _parts(text):
+        found = words_of([part])
+        emit = word_scores(found, model)
+        letters.append(found.letters.astype(np.int32))
+        switched, leader = np.zeros(emit.shape, bool), np.zeros(len(emit), np.int16)
+        for t, one in enumerate(emit):
+            if best is None:
+                best = one.astype(np.float64)
+                continue
+            lead = best.argmax()
+            jump = best[lead] - SWITCH_PENALTY
+            switched[t], leader[t] = jump > best, lead
+            best = np.maximum(best, jump) + one
+        back.append((np.packbits(switched, axis=1), leader))
+    if best is None:
+        return np.empty(0, np.int16), np.empty(0, np.int32)
+    state, paths = int(best.argmax()), []
+    for packed, leader in reversed(back):
+        switched = np.unpackbits(packed, axis=1, count=len(best))
+        path = np.empty(len(leader), np.int16)
+        for t in range(len(leader) - 1, -1, -1):
+            path[t] = state
+            if switched[t, state]:
+                state = int(leader[t])
+        paths.append(path)
+    return np.concatenate(paths[::-1]), np.concatenate(letters)
+
+
 def label(texts: list[bytes], model: Model) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text, the language number and the letters of each word."""
+    if len(texts) == 1 and len(texts[0]) > BATCH_BYTES:
+        return [label_long(texts[0], model)]
     found = words_of(texts)
     scores = word_scores(found, model)
     bounds = np.searchsorted(found.owner, np.arange(len(texts) + 1))

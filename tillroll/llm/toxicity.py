@@ -14,7 +14,9 @@ Every document is scored, over its whole text.
 
 Defined results: null and empty texts get the score of the bias alone; a null
 id counts as empty text in the fold; repeated rows are scored each on their
-own; labels that are null, or whose document is missing, aren't learnt from;
+own; labels that are null, or whose document is missing, aren't learnt from; of an
+id that stands for several texts the first in order is learnt, with each of its
+labels;
 without any labelled document all scores are 0.5; an empty table gives an empty
 result. Of the documents only doc_id and text are read.
 """
@@ -110,11 +112,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[float, np.ndarray, np.ndarr
     known = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = (
         known.where(fold(F.col("_id")) != HELD_OUT)
+        .distinct()
         .withColumn("place", F.xxhash64("_id"))
-        .orderBy("place", "_id")
+        .orderBy("place", "_id", "toxic")
         .limit(MAX_TRAIN)
     )
-    sample = docs.select("doc_id", "text").join(chosen, docs["doc_id"] == chosen["_id"]).select("place", "toxic", "text")
+    # One text for each id and label, however often they occur.
+    sample = docs.select("doc_id", "text").join(chosen, docs["doc_id"] == chosen["_id"]).groupBy("place", "_id", "toxic").agg(F.min("text").alias("text")).drop("_id")
 
     def extract(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
