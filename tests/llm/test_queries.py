@@ -89,6 +89,32 @@ def test_stretches_have_the_ids_of_whole_texts(monkeypatch):
     assert own.encode(texts[:50]) == expect[:50]
 
 
+def test_words_of_letters_go_to_the_merges_without_the_pattern():
+    own = bytebpe.Encoder(repair.default_tokenizer())
+    letters = [c for c in wordbpe.PLAIN if c.isalpha()]
+    text = "x " + " ".join(f"{c}ab a{c} {c}{c}" for c in letters) + " river, ends  " + "\u3000 ".join("ab")
+    expect = np.array(own.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    asked, ask = [], own._asked
+    own._asked = lambda texts: asked.extend(texts) or ask(texts)
+    assert own.encode([text, text]) == [expect, expect] and own.encode([text]) == [expect]
+    assert sum(map(len, asked)) < 100  # the text's first and last stretches and those with marks, each once
+
+
+def test_grammar_rounds_look_at_new_symbols_only(monkeypatch):
+    rng = np.random.default_rng(8)
+    ids = np.concatenate([rng.integers(0, 50_000, 200_000), np.tile(rng.integers(0, 50_000, 50), 512)]).astype(np.uint32)
+    looked, frequent = [], repair._frequent
+
+    def count(seq, look=None):
+        looked.append(len(seq) if look is None else len(look))
+        return frequent(seq, look)
+
+    monkeypatch.setattr(repair, "_frequent", count)
+    grammar = repair.compress(ids)
+    assert (repair.decompress(*grammar) == ids).all() and len(looked) > 5
+    assert sum(looked) < 2 * len(ids)
+
+
 def test_op3_gives_the_ids_of_tiktoken(spark, table):
     assert _rows(spark, table, "op3_byte_bpe") == {i: _bpe(t or "") for i, t in table[1].items()}
 

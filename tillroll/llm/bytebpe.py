@@ -4,9 +4,10 @@ The library cuts a text into pieces and encodes each by itself. A blank before
 a character that isn't white space always begins a piece, whatever stands
 before it, so the stretches from one such blank to the next have the same ids
 wherever they stand. Each Python worker keeps the ids of stretches it has met
-lately and asks the library for new ones only. New stretches are asked for many
-at a time: the only token of a stretch with the blank's byte is its first, so
-the ids fall apart where such tokens stand.
+lately and asks the library for new ones only (see ``wordbpe``). New stretches are
+asked for many at a time: the only token of a stretch with the blank's byte is
+its first, so the ids fall apart where such tokens stand. Stretches of letters
+below U+0250 are one piece each and go to the library's merges directly.
 
 That way is taken for files whose pieces are those of the byte-level pattern,
 with no blank put in front and no normalisation; any other file goes through
@@ -20,13 +21,19 @@ import itertools
 import json
 import os
 import re
+import sys
 
 import numpy as np
 
-from tillroll.llm.wordbpe import ASKED, Lately, windows
+from tillroll.llm.wordbpe import ASKED, Lately, bytes_of, direct, kind, looked_up, windows
 
-#: The blank before a stretch. Python's white space holds all of the library's.
-_BREAK = re.compile(r" (?=\S)")
+#: A stretch that is one piece.
+_LETTERS = re.compile(f" [{kind('L')}]+")
+#: First bytes of Python's white space, which holds all of the library's, and
+#: its longer characters as numbers of two and three bytes.
+_SPACE = [c.encode() for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()]
+_SPACE_FIRST = np.isin(np.arange(256), [c[0] for c in _SPACE])
+_SPACE_WIDE = [int.from_bytes(c) for c in _SPACE if len(c) > 1]
 #: Fixed value: how byte-level vocabularies write the blank.
 BLANK = "Ġ"
 
@@ -54,37 +61,48 @@ class Encoder:
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
         self.begins[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
         self.stretches = Lately()
+        self.merges, names = direct(self.library)
+        self.names = {**names, ord(" "): f" {BLANK}"}
 
     def _asked(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _merged(self, texts: list[str]) -> list[list[int]]:
+        named = [t.encode().decode("latin-1").translate(self.names) for t in texts]
+        return [e.ids for e in self.merges.encode_batch_fast(named, add_special_tokens=False)]
+
     def _learn(self, new: list[str]) -> None:
-        """``new`` are stretches without the blank before them; a text's first
-        has none, and is marked by one more blank instead."""
-        alone = [s for s in new if " " in s]
-        for s, ids in zip(alone, self._asked([s[1:] if s[0] == " " else f" {s}" for s in alone])):
+        letters, others, alone = [], [], []
+        for s in new:
+            (letters if _LETTERS.fullmatch(s) else others if s[0] == " " and " " not in s[1:] else alone).append(s)
+        for s, ids in zip(alone, self._asked(alone)):
             self.stretches[s] = np.array(ids, "<u4").tobytes()
-        new = [s for s in new if " " not in s]
-        if not new:
-            return
-        found = self._asked([" " + " ".join(new[at : at + ASKED]) for at in range(0, len(new), ASKED)])
-        ids = np.fromiter(itertools.chain.from_iterable(found), "<u4")
-        raw, first = ids.tobytes(), 4 * np.flatnonzero(self.begins[ids])
-        for s, a, b in zip(new, first.tolist(), [*first[1:].tolist(), len(raw)], strict=True):
-            self.stretches[s] = raw[a:b]
+        for many, ask in ((letters, self._merged), (others, self._asked)):
+            if not many:
+                continue
+            found = ask(["".join(many[at : at + ASKED]) for at in range(0, len(many), ASKED)])
+            ids = np.fromiter(itertools.chain.from_iterable(found), "<u4")
+            raw, first = ids.tobytes(), (4 * np.flatnonzero(self.begins[ids])).tolist()
+            self.stretches.update(zip(many, map(raw.__getitem__, map(slice, first, [*first[1:], len(raw)])), strict=True))
 
     def _by_stretch(self, texts: list[str]) -> list[bytes]:
-        lists = list(map(_BREAK.split, texts))
-        for own in lists:
-            own[0] = f" {own[0]}"
-        new = self.stretches.unknown(itertools.chain.from_iterable(lists))
-        if new:
-            self._learn(new)
-        known = self.stretches.__getitem__
-        return [b"".join(map(known, own)) for own in lists]
+        data, begins = bytes_of(texts)
+        starts = np.zeros(len(data) + 4, bool)  # with the end's, and room to look ahead
+        starts[begins] = True
+        ahead = np.concatenate([data, np.zeros(4, np.uint8)])
+        at = np.flatnonzero(data == ord(" ")) + 1
+        at = at[~starts[at]]  # a text's last blank begins nothing
+        doubtful = _SPACE_FIRST[ahead[at]]
+        look = at[doubtful]
+        a, b, c = (ahead[look + i].astype(np.int32) for i in range(3))
+        doubtful[doubtful] = (a < 0x80) | np.isin(a << 8 | b, _SPACE_WIDE) | np.isin(a << 16 | b << 8 | c, _SPACE_WIDE)
+        starts[at[~doubtful] - 1] = True
+        starts[len(data) :] = False
+        at = np.flatnonzero(starts)
+        return looked_up(self.stretches, self._learn, data, np.append(at, len(data)), np.searchsorted(at, begins))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; the texts together should be about a megabyte."""
+        """The ids of each text; the texts together should be a few megabytes."""
         if not self.by_stretch:
             return [np.array(ids, "<u4").tobytes() for ids in self._asked(texts)]
         parts = [list(windows(t)) for t in texts]

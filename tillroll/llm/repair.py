@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,8 +52,8 @@ SHARD_TOKENS = 1 << 20
 #: A round replaces up to this many pairs that occur at least MIN_COUNT times.
 PAIRS_PER_ROUND = 2048
 MIN_COUNT = 16
-#: Texts are encoded in lists of about this many characters.
-LIST_CHARS = 1 << 20
+#: Texts are encoded in lists of about this many bytes.
+LIST_CHARS = 1 << 22
 
 SCHEMA = (
     "part int, shard int, before long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
@@ -67,34 +68,42 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoded(tokenizer, texts: list[str | None]) -> Iterator[np.ndarray]:
+def encoded(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
     """The ids of each text and the end id."""
-    texts, end = [t or "" for t in texts], np.array([END_ID], "<u4").tobytes()
-    for first, last in batches([len(t) for t in texts], LIST_CHARS):
-        for raw in tokenizer.encode(texts[first:last]):
+    end = np.array([END_ID], "<u4").tobytes()
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for first, last in batches(sizes, LIST_CHARS):
+        for raw in tokenizer.encode([t or "" for t in texts.slice(first, last - first).to_pylist()]):
             yield np.frombuffer(raw + end, "<u4")
 
 
-def _frequent(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent pairs, best first, and for each place of ``seq`` the
-    rank of the pair that starts there (-1: none of them)."""
-    pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-    # Counts by hash bound the pairs' own counts; only likely ones are sorted.
-    slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int32)
-    counts = np.bincount(slot, minlength=1 << 18)
-    best = np.partition(counts, -PAIRS_PER_ROUND)[-PAIRS_PER_ROUND]
-    rank = np.full(len(pair), -1, np.int32)
-    for least in sorted({max(MIN_COUNT, best), MIN_COUNT}, reverse=True):
-        hot = np.flatnonzero(counts[slot] >= least)
-        found, inverse, n = np.unique(pair[hot], return_inverse=True, return_counts=True)
-        order = np.argsort(-n, kind="stable")[:PAIRS_PER_ROUND]
-        order = order[n[order] >= MIN_COUNT]
+def _frequent(seq: np.ndarray, look: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """The most frequent pairs, best first; the places of ``seq`` where they
+    start, and which of them starts there; whether these are all that occur
+    ``MIN_COUNT`` times. ``look``: the places where such pairs start, if known."""
+    if look is None:
+        pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+        # Counts by hash bound the pairs' own counts; only likely ones are counted.
+        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int32)
+        counts = np.bincount(slot, minlength=1 << 18)
+        best = int(np.partition(counts, -PAIRS_PER_ROUND)[-PAIRS_PER_ROUND])
+        bounds = sorted({max(MIN_COUNT, best), MIN_COUNT}, reverse=True)
+    else:
+        pair, bounds = (seq[look].astype(np.uint64) << np.uint64(32)) | seq[look + 1], [MIN_COUNT]
+    for least in bounds:
+        hot = np.flatnonzero(counts[slot] >= least) if look is None else np.arange(len(look))
+        coded = pa.array(pair[hot]).dictionary_encode()
+        found, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        n = np.bincount(which, minlength=len(found))
+        often = np.flatnonzero(n >= MIN_COUNT)
+        order = often[np.lexsort((found[often], -n[often]))][:PAIRS_PER_ROUND]
         if len(order):  # else the fullest slots only hold rare pairs
             break
     place = np.full(len(found), -1, np.int32)
     place[order] = np.arange(len(order), dtype=np.int32)
-    rank[hot] = place[inverse]
-    return found[order], rank
+    rank = place[which]
+    at = hot[rank >= 0]
+    return found[order], at if look is None else look[at], rank[rank >= 0], least == MIN_COUNT and len(order) == len(often)
 
 
 def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,25 +111,29 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     seq = ids.astype(np.uint32)
     rules = [np.empty((0, 2), np.uint32)]
     lengths = np.empty(0, np.uint32)
+    look = None
     while len(seq) > MIN_COUNT:
-        pairs, rank = _frequent(seq)
+        pairs, at, rank, every = _frequent(seq, look)
         if not len(pairs):
             break
-        at = np.flatnonzero(rank >= 0)
         # Overlapping candidates: of a chain of neighbours, every other one.
         chain = np.concatenate([[True], np.diff(at) > 1])
         first = np.maximum.accumulate(np.where(chain, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - first) % 2 == 0]
-        used, new = np.unique(rank[at], return_inverse=True)
+        taken = (np.arange(len(at)) - first) % 2 == 0
+        at = at[taken]
+        used, new = np.unique(rank[taken], return_inverse=True)
         known = len(lengths)
         rule = np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         rules.append(rule)
         lengths = np.concatenate([lengths, _lengths(rule, lengths).sum(axis=1, dtype=np.uint32)])
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq = seq.copy()
         seq[at] = BASE + known + new
-        seq = seq[keep]
+        seq = np.delete(seq, at + 1)
+        # A candidate that was not replaced lost its first id to the one before it. So
+        # where every frequent pair was a candidate, only pairs of new symbols can be frequent.
+        look = None
+        if every:
+            now = at - np.arange(len(at))
+            look = np.union1d(now[now > 0] - 1, now[now < len(seq) - 1])
     return np.concatenate(rules), lengths, seq
 
 
@@ -134,17 +147,12 @@ def _lengths(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def _expansions(rules: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all rules in one array, and where each rule's begin."""
     begin = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-    flat = np.empty(begin[-1], np.uint32)
-    for i, pair in enumerate(rules):
-        at = begin[i]
-        for s in pair:
-            if s < BASE:
-                flat[at] = s
-                at += 1
-            else:
-                b, n = begin[s - BASE], lengths[s - BASE]
-                flat[at : at + n] = flat[b : b + n]
-                at += n
+    flat = BASE + np.arange(len(rules), dtype=np.uint32)
+    while (deep := flat >= BASE).any():
+        pairs = rules[flat[deep] - BASE]
+        flat = np.repeat(flat, 1 + deep)
+        left = np.flatnonzero(deep) + np.arange(len(pairs))
+        flat[left], flat[left + 1] = pairs[:, 0], pairs[:, 1]
     return flat, begin
 
 
@@ -190,7 +198,7 @@ def encode_shards(docs: DataFrame, tokenizer_file: str | None = None) -> DataFra
 
         held = 0
         for batch in parts:
-            for i, one in enumerate(encoded(enc, batch.column(1).to_pylist())):
+            for i, one in enumerate(encoded(enc, batch.column(1))):
                 doc_ids.append(batch.column(0)[i].as_py())
                 ids.append(one)
                 held += len(one)
@@ -201,7 +209,7 @@ def encode_shards(docs: DataFrame, tokenizer_file: str | None = None) -> DataFra
             yield flush()
 
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .repartitionByRange(spread(docs.sparkSession), "doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
