@@ -166,6 +166,24 @@ def test_packed_sequences_hold_the_ids_and_long_texts_are_cut_safely(spark, monk
     assert short.encode([long, plain]) == expect and short.encode([plain, long]) == expect[::-1]
 
 
+def test_new_words_go_to_the_merges_once_and_without_the_pattern():
+    own = wordbpe.Encoder(packing.default_tokenizer())
+    text = "x" + " ".join(f"{c}ab A{c}, don't{c}{c}\t7{c}" for c in wordbpe.PLAIN)
+    expect, library, asked = own.whole(text), own.library, []
+    own.library = None  # not needed for such letters
+
+    class Merges:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(w for t in texts for w in t.split(" "))
+            return merges.encode_batch_fast(texts, **options)
+
+    merges, own.merges = own.merges, Merges()
+    assert own.encode([text, "", text]) == [expect, b"", expect] and own.encode([text]) == [expect]
+    assert len(asked) == len(set(asked)) > 300
+    own.library = library
+    assert own.encode(["日本語 " + text]) == [own.whole("日本語 " + text)]
+
+
 def _fewest(lengths, capacity):
     """The least number of sequences, by trying all ways."""
     best = len(lengths)

@@ -53,7 +53,7 @@ SHARD_TOKENS = 1 << 20
 PAIRS_PER_ROUND = 2048
 MIN_COUNT = 16
 #: Texts are encoded in lists of about this many bytes.
-LIST_CHARS = 1 << 22
+LIST_CHARS = 1 << 21
 
 SCHEMA = (
     "part int, shard int, before long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
