@@ -100,6 +100,43 @@ def test_words_of_letters_go_to_the_merges_without_the_pattern():
     assert sum(map(len, asked)) < 100  # the text's first and last stretches and those with marks, each once
 
 
+def test_stretches_end_where_pieces_always_end(monkeypatch):
+    own = bytebpe.Encoder(repair.default_tokenizer())
+    monkeypatch.setattr(bytebpe, "CUT_BYTES", 40)
+    rng = np.random.default_rng(9)
+    parts = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x7f", "\0", "\xa0", "ab", "Cd", "12", "٣", "é", "日", ",", ".", "-", "'", "''", "'s", "'ll", "'T", "\u0301"]
+    texts = ["".join(parts[i] for i in rng.integers(0, len(parts), n)) for n in rng.integers(0, 14, 4000)]
+    expect = [np.array(own.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.encode(texts) == expect == own.encode(texts) and own.encode([]) == []
+
+
+def test_words_are_asked_once_whatever_mark_follows():
+    own = bytebpe.Encoder(repair.default_tokenizer())
+    words, asked = [a + b + c for a in "bcdfgh" for b in "aeiou" for c in "lmnrst"], []
+    for name in ("_asked", "_merged"):
+        setattr(own, name, lambda texts, ask=getattr(own, name): asked.extend(texts) or ask(texts))
+    text = " ".join(f"{w}{m}" for m in [",", ".", ";", ")", "'s", "-x", " 1", ".\nSo"] for w in words)
+    assert own.encode([text])[0] == np.array(own.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert sum(map(len, asked)) < 2 * sum(map(len, words))
+
+
+def test_the_stretches_used_last_are_kept():
+    own = bytebpe.Encoder(repair.default_tokenizer())
+    own.stretches = bytebpe.Lately(50)
+    learnt, learn = [], own._learn
+    own._learn = lambda new: learnt.append(new.to_pylist()) or learn(new)
+    for k in range(40):
+        text = " always" + "".join(f" w{k}x{i}" for i in range(10))
+        assert own.encode([text])[0] == np.array(own.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(own.stretches.numbers) == len(own.stretches.last) <= 2 * 50 + 50
+    assert sum(new.count(" always") for new in learnt) == 1 and sum(new.count("x") for new in learnt) == 1
+
+
+def test_op2_describes_documents_where_they_are_decoded(spark, table):
+    df = __spark_entry__.queries()["op2_repair_shards"](spark, table[0])
+    assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_grammar_rounds_look_at_new_symbols_only(monkeypatch):
     rng = np.random.default_rng(8)
     ids = np.concatenate([rng.integers(0, 50_000, 200_000), np.tile(rng.integers(0, 50_000, 50), 512)]).astype(np.uint32)

@@ -26,13 +26,14 @@ of text that come again (``bytebpe``). Strings of special tokens are ordinary te
 Defined results: a null or empty text has only its end id; a null id sorts
 first; rows that repeat an id follow each other, ordered by text; an empty
 table gives an empty result. Only doc_id and text are read. A batch of texts
-(Spark's Arrow batch) is in memory at a time, with a shard's ids.
+(Spark's Arrow batch) is in memory at a time, with a shard's ids and those of a
+list of texts.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.bytebpe import encoder
-from tillroll.llm.common import spread, written
+from tillroll.llm.common import spread, tidy, written
 from tillroll.llm.hashing import batches
 
 END_ID = 2
@@ -53,7 +54,7 @@ SHARD_TOKENS = 1 << 20
 PAIRS_PER_ROUND = 2048
 MIN_COUNT = 16
 #: Texts are encoded in lists of about this many bytes.
-LIST_CHARS = 1 << 21
+LIST_CHARS = 1 << 23
 
 SCHEMA = (
     "part int, shard int, before long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
@@ -82,16 +83,20 @@ def _frequent(seq: np.ndarray, look: np.ndarray | None) -> tuple[np.ndarray, np.
     start, and which of them starts there; whether these are all that occur
     ``MIN_COUNT`` times. ``look``: the places where such pairs start, if known."""
     if look is None:
-        pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+        pair = seq[:-1].astype(np.uint64)
+        pair <<= np.uint64(32)
+        pair |= seq[1:]
         # Counts by hash bound the pairs' own counts; only likely ones are counted.
-        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int32)
+        slot = pair * np.uint64(0x9E3779B97F4A7C15)
+        slot >>= np.uint64(46)
+        slot = slot.view(np.int64)
         counts = np.bincount(slot, minlength=1 << 18)
         best = int(np.partition(counts, -PAIRS_PER_ROUND)[-PAIRS_PER_ROUND])
         bounds = sorted({max(MIN_COUNT, best), MIN_COUNT}, reverse=True)
     else:
         pair, bounds = (seq[look].astype(np.uint64) << np.uint64(32)) | seq[look + 1], [MIN_COUNT]
     for least in bounds:
-        hot = np.flatnonzero(counts[slot] >= least) if look is None else np.arange(len(look))
+        hot = np.flatnonzero((counts >= least)[slot]) if look is None else np.arange(len(look))
         coded = pa.array(pair[hot]).dictionary_encode()
         found, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
         n = np.bincount(which, minlength=len(found))
@@ -119,9 +124,10 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         # Overlapping candidates: of a chain of neighbours, every other one.
         chain = np.concatenate([[True], np.diff(at) > 1])
         first = np.maximum.accumulate(np.where(chain, np.arange(len(at)), 0))
-        taken = (np.arange(len(at)) - first) % 2 == 0
-        at = at[taken]
-        used, new = np.unique(rank[taken], return_inverse=True)
+        taken = (np.arange(len(at)) - first) & 1 == 0
+        at, rank = at[taken], rank[taken]
+        occurs = np.bincount(rank, minlength=len(pairs)) > 0
+        used, new = np.flatnonzero(occurs), (np.cumsum(occurs) - 1)[rank]
         known = len(lengths)
         rule = np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         rules.append(rule)
@@ -178,6 +184,7 @@ def encode_shards(docs: DataFrame, tokenizer_file: str | None = None) -> DataFra
     """The shards of all texts, written to the shared folder and read back."""
     path = tokenizer_file or default_tokenizer()
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, place = encoder(path), TaskContext.get().partitionId()
         shard, before = 0, 0
@@ -223,9 +230,14 @@ _ARROW = pa.schema(
 )
 
 
-def read_documents(shards: DataFrame) -> DataFrame:
+def read_documents(
+    shards: DataFrame,
+    each: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+    schema: str = "doc_id long, start long, ids binary",
+) -> DataFrame:
     """(doc_id, start, ids) of every document, decoded from its shard; start:
-    number of ids of all documents before it."""
+    number of ids of all documents before it. ``each`` turns batches of these
+    rows into others, of ``schema``, where they are decoded."""
     spark = shards.sparkSession
     # One total a task of the writer; their number is the session's setting.
     totals = {r["part"]: r["n"] for r in shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}
@@ -235,6 +247,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
         at += totals[part]
     first_of = spark.sparkContext.broadcast(first)
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             for r in range(batch.num_rows):
@@ -247,24 +260,24 @@ def read_documents(shards: DataFrame) -> DataFrame:
                 raw = ids.astype("<u4").tobytes()
                 for lo in range(0, len(ends), 256):
                     pick = slice(lo, lo + 256)
-                    yield pa.RecordBatch.from_arrays(
+                    docs = pa.RecordBatch.from_arrays(
                         [pa.array(row["doc_ids"][pick], pa.int64()), pa.array(start[pick]), pa.array([raw[4 * b : 4 * e] for b, e in zip(begins[pick], ends[pick])], pa.binary())],
                         ["doc_id", "start", "ids"],
                     )
+                    yield docs if each is None else each(docs)
 
-    return shards.mapInArrow(run, "doc_id long, start long, ids binary")
+    return shards.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, tokenizer_file: str | None = None) -> DataFrame:
     """Write all ids, read them back, and describe each document's."""
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            raw = batch.column(2).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    ids = read_documents(encode_shards(docs, tokenizer_file))
-    return ids.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    def describe(docs: pa.RecordBatch) -> pa.RecordBatch:
+        raw = docs.column(2).to_pylist()
+        return pa.RecordBatch.from_arrays(
+            [docs.column(0), docs.column(1), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64())],
+            ["doc_id", "start", "n_tokens", "ids_crc32"],
+        )
+
+    shards = encode_shards(docs, tokenizer_file)
+    return read_documents(shards, describe, "doc_id long, start long, n_tokens long, ids_crc32 long")
