@@ -6,10 +6,12 @@ import glob
 import gzip
 import json
 import os
+import random
 
 from pyspark.sql import functions as F
 
-from tillroll.plans import incremental
+from tillroll.plans import catalog, incremental
+from tillroll.sources import arrays
 from tillroll.sources import schemas as S
 from tillroll.sources.arrays import read_arrays
 from tillroll.sources.documents import drop_nulls, parse_documents
@@ -84,3 +86,44 @@ def test_lines_of_few_versions_are_shuffled_once(spark):
     many, few = (latest_rows(df, ["k"], ["v"], "line", few=f) for f in (False, True))
     assert _plan(few).count("Exchange hashpartitioning") == 1 < _plan(many).count("Exchange hashpartitioning")
     assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
+def test_compressed_array_files_are_read_once(spark, scratch, monkeypatch):
+    def twice(parts):
+        for part in parts:
+            raise AssertionError(f"{part.num_rows} pieces were read before they are cut")
+        yield from ()
+
+    folder = os.path.join(scratch, "whole")
+    docs = spark.range(0, 9, 1, 2).select(F.format_string('{"_id":{"$oid":"%d"},"userId":"\\\\\\"}{[%s"}', "id", F.repeat(F.lit("\\"), 40)).alias("value"))
+    write_arrays(docs, folder, 4, "gzip")
+    with gzip.open(os.path.join(folder, "lines.json.gz"), "wt") as f:
+        f.write(' {"_id":{"$oid":"9"}}\n{"_id":{"$oid":"10"},"rewardsReceiptItemList":[{"itemNumber":"1"}]}')
+    with gzip.open(os.path.join(folder, "cut.json.gz"), "wt") as f:
+        f.write('[{"_id":{"$oid":"11"}},{"_id":{"$oid":"12"},"userId":"cut')
+    monkeypatch.setattr(arrays, "_summaries", twice)
+    read, _ = read_arrays(spark, folder, S.RECEIPT, on_corrupt="keep")
+    rows = read.select("_id.$oid", "userId", "_corrupt_record").collect()
+    assert sorted(int(r[0]) for r in rows if r[2] is None) == list(range(12))
+    assert {r[1] for r in rows if r[0] and int(r[0]) < 9} == {'\\"}{[' + "\\" * 20} and [r[2][:5] for r in rows if r[2]] == ['{"_id']
+
+
+def test_quotes_behind_any_number_of_backslashes():
+    rng = random.Random(7)
+    for n in range(200):
+        text = "".join(rng.choice(['"', "\\", "{", "}", "x", "\\" * rng.choice([1, 2, 17, 40])]) for _ in range(60)).encode()
+        inside, want = False, []
+        for at, c in enumerate(text.decode()):
+            run = len(text[:at]) - len(text[:at].rstrip(b"\\"))
+            if c == '"' and run % 2 == 0:
+                inside = not inside
+            elif c in "{}":
+                want.append((at, 1 if c == "{" else -1, inside))
+        found = arrays.marks(text)
+        assert list(zip(found.at.tolist(), found.step.tolist(), found.odd.tolist())) == want and found.flips == inside
+
+
+def test_source_documents_move_the_tables_columns(spark):
+    plan = _plan(catalog._receipt_source(spark, "/root/testdata/sf0.001"))
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and all("o_orderkey" in line or "l_orderkey" in line for line in moved)

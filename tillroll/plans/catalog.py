@@ -273,7 +273,8 @@ def items_saturation_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _receipt_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Receipt documents with every field and the receipt's items."""
     t = _t(spark, sf_dir)
-    return receipt_documents(with_fields(t.receipts, RECEIPT_FIELDS), t.items, item_fields=ITEM_FIELDS_OF_LINE)
+    receipts = with_fields(t.by_receipt("receipts"), RECEIPT_FIELDS)
+    return receipt_documents(receipts, t.by_receipt("items"), item_fields=ITEM_FIELDS_OF_LINE, dealt=True)
 
 
 def load_receipts_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,9 @@ after every ``}``:
    that crosses ranges comes in torn parts, which are put together by the range
    in which it begins.
 
+A file that can't be read from the middle on (compressed as a whole) is one range
+whose state is known, and is read once.
+
 The documents are parsed as they are cut, and the parsed ones are staged in the
 shared folder, so the second scan and the parse run once whatever is read from
 them. Text between documents that is no comma or white space (a number, a cut
@@ -28,12 +31,14 @@ the document it is in.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -42,6 +47,12 @@ from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.documents import CORRUPT, path_exists
 
 _BETWEEN = b" \t\r\n,[]\xef\xbb\xbf"
+_BEFORE = b" \t\r\n\xef\xbb\xbf"
+# Kinds of bytes; any other is 0.
+_QUOTE, _OPENS, _CLOSES = 1, 2, 3
+_KINDS = bytes({ord('"'): _QUOTE, ord("{"): _OPENS, ord("["): _OPENS, ord("}"): _CLOSES, ord("]"): _CLOSES}.get(b, 0) for b in range(256))
+#: Longer runs of backslashes are counted in one pass over the text.
+_SHORT_RUN = 16
 
 
 class Marks(NamedTuple):
@@ -54,25 +65,56 @@ class Marks(NamedTuple):
     flips: bool
 
 
-def marks(data: np.ndarray) -> Marks:
-    quotes = np.flatnonzero(data == ord('"'))
-    slashes = data == ord("\\")
-    if slashes.any() and len(quotes):
-        # A quote behind an odd number of backslashes belongs to its string.
-        place = np.arange(len(data))
-        plain = np.maximum.accumulate(np.where(slashes, -1, place))
-        before = quotes[quotes > 0] - 1
-        run = before - plain[before]
-        quotes = np.concatenate([quotes[quotes == 0], (before + 1)[run % 2 == 0]])
-    at = np.flatnonzero((data == ord("{")) | (data == ord("}")) | (data == ord("[")) | (data == ord("]")))
-    step = np.where((data[at] == ord("{")) | (data[at] == ord("[")), 1, -1)
+def _plain(data: np.ndarray, quotes: np.ndarray) -> np.ndarray:
+    """Those quotes that don't stand behind an odd number of backslashes: such a
+    quote belongs to its string."""
+    behind = np.flatnonzero((quotes > 0) & (data[quotes - 1] == ord("\\")))
+    if not len(behind):
+        return quotes
+    runs, live = np.ones(len(behind), int), np.arange(len(behind))
+    for n in range(2, _SHORT_RUN):
+        before = quotes[behind[live]] - n
+        live = live[(before >= 0) & (data[before] == ord("\\"))]
+        if not len(live):
+            break
+        runs[live] += 1
+    else:
+        last = np.maximum.accumulate(np.where(data == ord("\\"), -1, np.arange(len(data))))
+        before = quotes[behind] - 1
+        runs = before - last[before]
+    return np.delete(quotes, behind[runs % 2 == 1])
+
+
+def marks(data: np.ndarray | bytes) -> Marks:
+    text = data if isinstance(data, bytes) else data.tobytes()
+    kinds = np.frombuffer(text.translate(_KINDS), np.uint8)
+    places = np.flatnonzero(kinds)
+    kinds = kinds[places]
+    quotes = places[kinds == _QUOTE]
+    if b'\\"' in text:
+        quotes = _plain(np.frombuffer(text, np.uint8), quotes)
+    brackets = kinds != _QUOTE
+    at = places[brackets]
+    step = np.where(kinds[brackets] == _OPENS, 1, -1)
     return Marks(at, step, np.searchsorted(quotes, at) % 2 == 1, len(quotes) % 2 == 1)
 
 
-def _texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def _unsplit(text: DataFrame) -> tuple[str, ...]:
+    """The endings of those files that Spark reads as one range whatever their
+    size: compressed ones that can't be read from the middle on."""
+    spark = text.sparkSession
+    factory = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    found = []
+    for ending in sorted({os.path.splitext(name)[1] for name in text.inputFiles()} - {""}):
+        codec = factory.getCodec(spark._jvm.org.apache.hadoop.fs.Path(f"f{ending}"))
+        if codec is not None and not is_instance_of(spark.sparkContext._gateway, codec, "org.apache.hadoop.io.compress.SplittableCompressionCodec"):
+            found.append(ending)
+    return tuple(found)
+
+
+def _texts(text: DataFrame) -> DataFrame:
     """(path, start, size, value): the text of every range, in pieces that lack
     their last ``}``; size: of the file."""
-    text = spark.read.option("lineSep", "}").text(path)
     place = {"path": "file_path", "start": "file_block_start", "size": "file_size"}
     return text.select(*[F.col(f"_metadata.{field}").alias(name) for name, field in place.items()], "value")
 
@@ -102,9 +144,9 @@ def _summaries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield line()
             now = {"path": path, "start": start, "size": size, "read": 0, "first": "", "flips": False, "end0": 0, "least0": 0, "end1": 0, "least1": 0}
         now["read"] += len(text)
-        found = marks(np.frombuffer(text, np.uint8))
+        found = marks(text)
         if not now["first"]:
-            now["first"] = text.lstrip(b" \t\r\n\xef\xbb\xbf")[:1].decode("ascii", "replace")
+            now["first"] = text.lstrip(_BEFORE)[:1].decode("ascii", "replace")
         for inside in (0, 1):
             # Brackets count where the assumption puts them outside of strings.
             depth = np.cumsum(np.where(found.odd == bool(inside ^ now["flips"]), found.step, 0))
@@ -128,6 +170,13 @@ class State(NamedTuple):
     bare: bool = False
 
 
+def _is_bare(base: int, read: int, size: int, depth: int) -> bool:
+    """Whether the last ``}`` of a file was added to it. ``read``: with that one,
+    ``depth``: behind it. A compressed file's size tells nothing; an array never
+    ends with a document."""
+    return base == 1 or read == size + 1 or (read != size and depth < 0)
+
+
 def compose(lines: list[dict]) -> dict[tuple[str, int], State]:
     """The state of every range from the summaries of all, one line each."""
     states, bare, path, read = {}, {}, None, 0
@@ -141,8 +190,7 @@ def compose(lines: list[dict]) -> dict[tuple[str, int], State]:
         inside ^= line["flips"]
         begun = -1 if depth <= base else line["start"] if own else begun
         last, read = (path, line["start"]), read + line["read"]
-        # A compressed file's size tells nothing; an array never ends with a document.
-        bare[path] = (last, base == 1 or read == line["size"] + 1 or (read != line["size"] and depth < 0))
+        bare[path] = (last, _is_bare(base, read, line["size"], depth))
     for last, is_bare in bare.values():
         states[last] = states[last]._replace(bare=is_bare)
     return states
@@ -150,9 +198,12 @@ def compose(lines: list[dict]) -> dict[tuple[str, int], State]:
 
 class _Cutter:
     """Cuts one range into documents. ``rows``: (text, range it has begun in or
-    None for a whole one)."""
+    None for a whole one). Without a ``state`` the range is a whole file of
+    ``size`` bytes, which tells by itself how it begins and ends."""
 
-    def __init__(self, state: State, start: int):
+    def __init__(self, state: State | None, start: int, size: int = 0):
+        self.whole, self.size, self.read = state is None, size, 0
+        state = state or State(False, 0, 0, -1)
         self.state, self.start = state, start
         self.inside, self.depth = state.inside, state.depth
         self.open = state.begun >= 0  # in a document
@@ -163,12 +214,15 @@ class _Cutter:
 
     def add(self, text: bytes) -> None:
         """The range's text goes on; its last character waits for what follows."""
+        if self.whole and not self.read:
+            self.state = self.state._replace(base=int(text.lstrip(_BEFORE)[:1] == b"["))
+        self.read += len(text)
         text, self.last = self.last + text[:-1], text[-1:]
         self._add(text)
 
     def _add(self, text: bytes) -> None:
         base = self.state.base
-        found = marks(np.frombuffer(text, np.uint8))
+        found = marks(text)
         counts = found.odd == self.inside
         at, step = found.at[counts], found.step[counts]
         depth = self.depth + np.cumsum(step)
@@ -205,6 +259,10 @@ class _Cutter:
 
     def end(self) -> None:
         """The range is over: an open document goes on in the next one."""
+        if self.whole:
+            # The last character is a bracket, or it stands in a string.
+            depth = self.depth - (not self.inside)
+            self.state = self.state._replace(bare=_is_bare(self.state.base, self.read, self.size, depth))
         if not self.state.bare:
             self._add(self.last)
         if self.open and self.parts:
@@ -219,7 +277,7 @@ def _strings(texts: list[bytes]) -> pa.Array:
         return pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
 
 
-def _cuts(states: dict[tuple[str, int], State]):
+def _cuts(states: dict[tuple[str, int], State], unsplit: tuple[str, ...]):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, cutter = None, None
 
@@ -236,15 +294,16 @@ def _cuts(states: dict[tuple[str, int], State]):
                 ["value", "path", "begun", "part"],
             )
 
-        for path, start, _, text in _ranges(parts):
+        for path, start, size, text in _ranges(parts):
             if (path, start) != key:
                 if cutter is not None:
                     cutter.end()
                     yield out()
                 key = (path, start)
-                if key not in states:
+                whole = path.endswith(unsplit)
+                if key not in states and not (whole and start == 0):
                     raise RuntimeError(f"{path} was split differently the second time, at {start}")
-                cutter = _Cutter(states[key], start)
+                cutter = _Cutter(None if whole else states[key], start, size)
             cutter.add(text)
             yield out()
         if cutter is not None:
@@ -257,10 +316,14 @@ def _cuts(states: dict[tuple[str, int], State]):
 def array_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(value, path, begun, part): the text of every document, and of the torn
     parts of those that cross ranges (``path`` is NULL for whole ones)."""
-    texts = _texts(spark, path)
+    text = spark.read.option("lineSep", "}").text(path)
+    unsplit = _unsplit(text)
     kinds = "path string, start long, size long, read long, first string, flips boolean, end0 long, least0 long, end1 long, least1 long"
-    lines = [r.asDict() for r in texts.mapInArrow(_summaries, kinds).collect()]  # one a range
-    return texts.mapInArrow(_cuts(compose(lines)), "value string, path string, begun long, part long")
+    split = text
+    for ending in unsplit:
+        split = split.where(~F.col("_metadata.file_name").endswith(ending))
+    lines = [r.asDict() for r in _texts(split).mapInArrow(_summaries, kinds).collect()]  # one a range
+    return _texts(text).mapInArrow(_cuts(compose(lines), unsplit), "value string, path string, begun long, part long")
 
 
 def read_arrays(
@@ -292,7 +355,7 @@ def read_arrays(
 
     whole = F.col("path").isNull()
     cut = array_documents(spark, paths)
-    cut.select(F.when(whole, parsed(F.col("value"))).alias("doc"), "path", "begun", "part", F.when(~whole, F.col("value")).alias("value")).write.parquet(folder)
+    cut.select(F.when(whole, parsed(F.col("value"))).alias("doc"), "path", "begun", "part", F.when(~whole, F.col("value")).alias("value")).write.option("compression", "zstd").parquet(folder)
     staged = spark.read.parquet(folder)
     parts = F.array_sort(F.collect_list(F.struct("part", "value")))
     torn = staged.where(~whole).groupBy("path", "begun").agg(F.concat_ws("", F.transform(parts, lambda p: p["value"])).alias("value"))
