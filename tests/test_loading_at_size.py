@@ -11,12 +11,12 @@ import random
 from pyspark.sql import functions as F
 
 from tillroll.plans import catalog, incremental
-from tillroll.sources import arrays
+from tillroll.sources import arrays, sinks, snapshots
 from tillroll.sources import schemas as S
 from tillroll.sources.arrays import read_arrays
 from tillroll.sources.documents import drop_nulls, parse_documents
 from tillroll.sources.roundtrip import ITEM_COLUMNS, item_lists, receipt_documents, write_arrays
-from tillroll.sources.snapshots import latest_rows
+from tillroll.sources.snapshots import Snapshots, latest_rows
 from tillroll.sources.tables import ITEM_FIELDS_OF_LINE, ITEM_FIELDS_WRITTEN, with_fields
 
 _ITEMS = (
@@ -127,3 +127,46 @@ def test_source_documents_move_the_tables_columns(spark):
     plan = _plan(catalog._receipt_source(spark, "/root/testdata/sf0.001"))
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert moved and all("o_orderkey" in line or "l_orderkey" in line for line in moved)
+
+
+def test_a_batch_is_moved_in_rounds(spark, scratch, monkeypatch):
+    def batch(day, keys, lines):
+        texts = [json.dumps({"db_last_modified": {"$date": day}, "_id": {"$oid": k}, "rewardsReceiptItemList": [{"itemNumber": f"{day}.{n}"} for n in range(lines)]}) for k in keys]
+        return parse_documents(spark.createDataFrame([(t,) for t in texts], "value string"), incremental.SCHEMAS["receipts"])
+
+    found = []
+    for size in (1, 1 << 30):
+        monkeypatch.setattr(snapshots, "ROUND_BYTES", size)
+        root = os.path.join(scratch, f"rounds-{size}")
+        for day, keys, lines in ((1, "abcdefgh", 3), (2, "abcd", 1), (1, "aei", 2)):
+            incremental.apply_batch(spark, root, "receipts", batch(day, keys, lines), buckets=8)
+        store = Snapshots(spark, root)
+        shuffled = {f.split("/v=")[1].split("/")[0] for f in store.folders("rewards_receipt_items", 1)}
+        assert (len(shuffled) > 1) == (size == 1)
+        rows = lambda: sorted(map(str, incremental.current_tables(spark, root).items.select("receipt_id", "line_no", "item_number").collect()))  # noqa: E731, B023
+        found.append(rows())
+        incremental.compact(spark, root)
+        parts = store.manifest()["tables"]["rewards_receipt_items"]["parts"]
+        assert rows() == found[-1] and all(len(p) == 1 for p in parts.values()) and len(store.versions()) == 1
+    assert found[0] == found[1] and len(found[0]) == 4 * 1 + 4 * 3 + 2
+    incremental.apply_batch(spark, os.path.join(scratch, "none"), "receipts", batch(1, "", 1), buckets=8)
+
+
+def test_lines_of_a_key_stand_together(spark, scratch, monkeypatch):
+    monkeypatch.setattr(snapshots, "LINE_BLOCK", 100)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(f"k{k}", 1, n) for n in range(4) for k in range(50)] + [("long", 1, n) for n in range(3000)]
+    change = Snapshots(spark, os.path.join(scratch, "lines")).change()
+    change.upsert("t", spark.createDataFrame(rows, "k string, v int, line int").repartition(4), "k", "v", 2, line="line", merged=True)
+    change.commit()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    written = Snapshots(spark, os.path.join(scratch, "lines")).read("t").withColumn("f", F.input_file_name())
+    files = {r[0]: r[1] for r in written.groupBy("k").agg(F.countDistinct("f")).collect()}
+    assert written.count() == 3200 and files.pop("long") > 1 and set(files.values()) == {1}
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    before = spark.conf.get(sinks.FREE_SHUFFLES, None)
+    with sinks.freed_shuffles(spark):
+        assert spark.conf.get(sinks.FREE_SHUFFLES) == "true"
+    assert spark.conf.get(sinks.FREE_SHUFFLES, None) == before
